@@ -1,6 +1,12 @@
 """Registered queries of this subpackage and, where SQL can express them, their DuckDB oracles."""
 
+from .mixing import OP9_SQL, op9_mix_sources
+from .secrets import op7_secret_scan
 from .simhash import op10_simhash_neardup
 
-QUERIES = {"op10_simhash_neardup": op10_simhash_neardup}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    "op7_secret_scan": op7_secret_scan,
+    "op9_mix_sources": op9_mix_sources,
+    "op10_simhash_neardup": op10_simhash_neardup,
+}
+ORACLES: dict[str, str] = {"op9_mix_sources": OP9_SQL}

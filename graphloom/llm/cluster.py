@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -31,3 +32,9 @@ def staged(df: DataFrame, name: str = "stage", partition_by: list[str] | None =
 
 def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete the shuffle files of data frames that are no longer referenced."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -3,8 +3,10 @@
 from .mixing import OP9_SQL, op9_mix_sources
 from .secrets import op7_secret_scan
 from .simhash import op10_simhash_neardup
+from .substrings import op5_substring_dedup
 
 QUERIES = {
+    "op5_substring_dedup": op5_substring_dedup,
     "op7_secret_scan": op7_secret_scan,
     "op9_mix_sources": op9_mix_sources,
     "op10_simhash_neardup": op10_simhash_neardup,

@@ -1,13 +1,17 @@
 """Registered queries of this subpackage and, where SQL can express them, their DuckDB oracles."""
 
+from .decontamination import op8_decontaminate
 from .mixing import OP9_SQL, op9_mix_sources
 from .secrets import op7_secret_scan
 from .simhash import op10_simhash_neardup
 from .substrings import op5_substring_dedup
+from .toxicity import op4_toxicity
 
 QUERIES = {
+    "op4_toxicity": op4_toxicity,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_secret_scan": op7_secret_scan,
+    "op8_decontaminate": op8_decontaminate,
     "op9_mix_sources": op9_mix_sources,
     "op10_simhash_neardup": op10_simhash_neardup,
 }

@@ -110,13 +110,13 @@ def split_words(col: pa.Array) -> Words:
     return Words(data, starts, ends, np.searchsorted(starts, off))
 
 
-def word_hashes(w: Words) -> np.ndarray:
-    """64-bit hash of each word's bytes (polynomial in random byte codes, then mixed)."""
+def word_hashes(w: Words, lower: bool = False) -> np.ndarray:
+    """64-bit hash of each word's bytes (polynomial in random byte codes, then mixed); of A-Z in lower case if wanted."""
     if not len(w.starts):
         return np.zeros(0, np.uint64)
     p = _powers(_BYTE_BASE, len(w.data))
     total = np.zeros(len(w.data) + 1, np.uint64)
-    np.cumsum(_BYTE[w.data] * p, out=total[1:])
+    np.cumsum((_BYTE[_LOWER] if lower else _BYTE)[w.data] * p, out=total[1:])
     inverse = _powers(pow(_BYTE_BASE, -1, 1 << 64), len(w.data))
     return fmix64((total[w.ends] - total[w.starts]) * inverse[w.starts])
 

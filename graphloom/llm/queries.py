@@ -1,15 +1,21 @@
 """Registered queries of this subpackage and, where SQL can express them, their DuckDB oracles."""
 
 from .decontamination import op8_decontaminate
+from .extraction import op6_extract_text
 from .mixing import OP9_SQL, op9_mix_sources
 from .secrets import op7_secret_scan
 from .simhash import op10_simhash_neardup
 from .substrings import op5_substring_dedup
+from .tokencounts import op1_token_counts
 from .toxicity import op4_toxicity
+from .warc import op3_warc_roundtrip
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
+    "op3_warc_roundtrip": op3_warc_roundtrip,
     "op4_toxicity": op4_toxicity,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_extract_text": op6_extract_text,
     "op7_secret_scan": op7_secret_scan,
     "op8_decontaminate": op8_decontaminate,
     "op9_mix_sources": op9_mix_sources,

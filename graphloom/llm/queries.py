@@ -8,10 +8,12 @@ from .simhash import op10_simhash_neardup
 from .substrings import op5_substring_dedup
 from .tokencounts import op1_token_counts
 from .toxicity import op4_toxicity
+from .vectors import op2_embedding_neardup
 from .warc import op3_warc_roundtrip
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_embedding_neardup": op2_embedding_neardup,
     "op3_warc_roundtrip": op3_warc_roundtrip,
     "op4_toxicity": op4_toxicity,
     "op5_substring_dedup": op5_substring_dedup,

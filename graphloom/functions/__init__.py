@@ -1 +1 @@
-
+"""Formats, metrics and other column functions."""

@@ -1 +1 @@
-
+"""Primitives, iteration and algorithms."""

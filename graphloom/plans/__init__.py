@@ -1 +1 @@
-
+"""Fixture graphs, registered queries and their oracles."""

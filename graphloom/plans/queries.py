@@ -1,2 +1,242 @@
-QUERIES = {}
-ORACLES = {}
+"""All graph queries, by name, with their oracles."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import metrics as M
+from ..functions.formatting import result_lines
+from ..model import Graph
+from ..operators import algorithms as A
+from ..operators import primitives as P
+from . import fixtures, oracles
+from .fixtures import graph, root
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def on(name: str, f: Callable[[Graph], DataFrame]) -> Query:
+    return lambda spark, sf_dir: f(graph(spark, sf_dir, name))
+
+
+def _levels(g: Graph) -> DataFrame:
+    return A.bfs(g, root(g)).select("id", F.coalesce("level", F.lit(oracles.UNREACHED)).alias("level"))
+
+
+def _ranks(g: Graph, **kw) -> DataFrame:
+    return A.pagerank(g, **kw).select("id", F.round("rank", 10).alias("rank"))
+
+
+def _lcc(g: Graph) -> DataFrame:
+    return A.lcc(g).select("id", F.round("lcc", 10).alias("lcc"))
+
+
+def _distances(g: Graph) -> DataFrame:
+    return A.sssp(g, root(g)).select("id", F.round("distance", 4).alias("distance"))
+
+
+QUERIES: dict[str, Query] = {
+    **{f"bfs_{g}": on(g, _levels) for g in ("flow", "users", "coorder")},
+    **{f"pr_{g}": on(g, _ranks) for g in ("flow", "users")},
+    "pr_flow_d50_i5": on("flow", lambda g: _ranks(g, damping=0.5, iterations=5)),
+    **{f"wcc_{g}": on(g, A.wcc) for g in ("flow", "users", "coorder")},
+    **{f"cdlp_{g}": on(g, A.cdlp) for g in ("flow", "coorder")},
+    "cdlp_flow_isolated_first": on("flow", lambda g: A.cdlp(g, isolated="first")),
+    **{f"lcc_{g}": on(g, _lcc) for g in ("flow", "users", "coorder")},
+    **{f"sssp_{g}": on(g, _distances) for g in ("flow", "users")},
+    "wcc_component_sizes": on("flow", lambda g: A.wcc(g).groupBy("component").agg(F.count("*").alias("size"))),
+    "cdlp_label_sizes": on("coorder", lambda g: A.cdlp(g).groupBy("label").agg(F.count("*").alias("size"))),
+}
+ORACLES: dict[str, str] = {
+    **{f"bfs_{g}": oracles.bfs(g) for g in ("flow", "users", "coorder")},
+    **{f"pr_{g}": oracles.pr(g) for g in ("flow", "users")},
+    "pr_flow_d50_i5": oracles.pr("flow", 0.5, 5),
+    **{f"wcc_{g}": oracles.wcc(g) for g in ("flow", "users", "coorder")},
+    **{f"cdlp_{g}": oracles.cdlp(g) for g in ("flow", "coorder")},
+    "cdlp_flow_isolated_first": oracles.cdlp("flow", isolated="(SELECT min(id) FROM v)"),
+    **{f"lcc_{g}": oracles.lcc(g) for g in ("flow", "users", "coorder")},
+    **{f"sssp_{g}": oracles.sssp(g) for g in ("flow", "users")},
+    "wcc_component_sizes": oracles.wcc_sizes("flow"),
+    "cdlp_label_sizes": oracles.cdlp_sizes("coorder"),
+}
+
+
+# --- primitives ---------------------------------------------------------------------------------------
+
+
+def _start(g: Graph) -> DataFrame:
+    return g.vertices.where("id % 7 = 0")
+
+
+def _first_ranks(g: Graph) -> DataFrame:
+    """A rank of 1 / (1 + id) for every vertex, so that sums differ."""
+    return P.out_degrees(g).withColumn("rank", 1.0 / (1 + F.col("id")))
+
+
+def _state(g: Graph) -> DataFrame:
+    return g.vertices.where("id % 3 = 0").select("id", (F.col("id") * 10.0).alias("distance"))
+
+
+def _labels(g: Graph) -> DataFrame:
+    return g.vertices.select("id", F.pmod("id", F.lit(10)).alias("label"))
+
+
+def _histogram(g: Graph) -> DataFrame:
+    return P.label_histogram(_labels(g), P.neighbours(g.edges))
+
+
+START = "f AS (SELECT id FROM v WHERE id % 7 = 0)"
+RANKS = "k AS (SELECT v.id, count(e.src) AS degree, 1.0::DOUBLE / (1 + v.id) AS rank FROM v LEFT JOIN e ON e.src = v.id GROUP BY v.id)"
+STATE = "s AS (SELECT id, id * 10.0::DOUBLE AS distance FROM v WHERE id % 3 = 0)"
+RELAXED = "x AS (SELECT e.dst AS id, min(s.distance + e.weight) AS distance FROM s JOIN e ON e.src = s.id GROUP BY e.dst)"
+HISTOGRAM = "h AS (SELECT b.s AS id, b.d % 10 AS label, count(*) AS n FROM (SELECT src AS s, dst AS d FROM e UNION ALL SELECT dst, src FROM e) b GROUP BY 1, 2)"
+SETS = "b AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e)"
+
+PRIMITIVES: dict[str, tuple[str, Callable[[Graph], DataFrame], str, str]] = {
+    "graph_stats": ("flow", P.graph_stats, "", "SELECT (SELECT count(*) FROM v) AS vertices, (SELECT count(*) FROM e) AS edges"),
+    "out_degree": ("flow", P.out_degrees, "", "SELECT v.id, count(e.src) AS degree FROM v LEFT JOIN e ON e.src = v.id GROUP BY v.id"),
+    "in_degree": ("flow", P.in_degrees, "", "SELECT v.id, count(e.dst) AS degree FROM v LEFT JOIN e ON e.dst = v.id GROUP BY v.id"),
+    "symmetrize": ("flow", lambda g: P.neighbours(g.edges), "", "SELECT src, dst FROM e UNION ALL SELECT dst, src FROM e"),
+    "neighbor_set": ("flow", lambda g: P.neighbour_sets(g.edges), "", "SELECT src, dst FROM e UNION SELECT dst, src FROM e"),
+    "frontier_expand": ("flow", lambda g: P.expand_out(_start(g), g.edges.select("src", "dst")), START, "SELECT f.id, e.dst FROM f JOIN e ON e.src = f.id"),
+    "frontier_expand_in": ("flow", lambda g: P.expand_in(_start(g), g.edges.select("src", "dst")), START, "SELECT f.id, e.src FROM f JOIN e ON e.dst = f.id"),
+    "visit_once": (
+        "flow",
+        lambda g: P.unvisited(P.expand_out(_start(g), g.edges).select(F.col("dst").alias("id")), _start(g)),
+        START,
+        "SELECT DISTINCT e.dst AS id FROM f JOIN e ON e.src = f.id WHERE e.dst NOT IN (SELECT id FROM f)",
+    ),
+    "dangling_sum": ("flow", lambda g: P.dangling_sum(_first_ranks(g)).select(F.round("dangling", 10).alias("dangling")), RANKS, "SELECT round(coalesce(sum(rank), 0), 10) AS dangling FROM k WHERE degree = 0"),
+    "pr_scatter": ("flow", lambda g: P.scatter_add(_first_ranks(g), g.edges).select("id", F.round("sum", 10).alias("sum")), RANKS, "SELECT e.dst AS id, round(sum(k.rank / k.degree), 10) AS sum FROM k JOIN e ON e.src = k.id GROUP BY e.dst"),
+    "pr_apply": (
+        "flow",
+        lambda g: P.affine_apply(g.vertices, P.scatter_add(_first_ranks(g), g.edges), 0.85, F.lit(0.15)).select("id", F.round("rank", 10).alias("rank")),
+        RANKS,
+        "SELECT v.id, round(0.15 + 0.85 * coalesce(x.s, 0), 10) AS rank FROM v LEFT JOIN (SELECT e.dst AS id, sum(k.rank / k.degree) AS s FROM k JOIN e ON e.src = k.id GROUP BY e.dst) x ON x.id = v.id",
+    ),
+    "label_histogram": ("flow", _histogram, HISTOGRAM, "SELECT * FROM h"),
+    "label_argmax": ("flow", lambda g: P.most_frequent(_histogram(g)), HISTOGRAM, "SELECT id, label FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC, label) AS rn FROM h) WHERE rn = 1"),
+    "min_label_push": ("flow", lambda g: P.scatter_min(P.initial_state(g.vertices, "component", F.col("id")), g.edges, "component"), "", "SELECT dst AS id, min(src) AS component FROM e GROUP BY dst"),
+    "relax_step": ("flow", lambda g: P.relax(_state(g), g.edges).select("id", F.round("distance", 4).alias("distance")), f"{STATE}, {RELAXED}", "SELECT id, round(distance, 4) AS distance FROM x"),
+    "activate_improved": (
+        "flow",
+        lambda g: P.improved(P.relax(_state(g), g.edges), _state(g), "distance").select("id", F.round("distance", 4).alias("distance")),
+        f"{STATE}, {RELAXED}",
+        "SELECT x.id, round(x.distance, 4) AS distance FROM x LEFT JOIN s ON s.id = x.id WHERE s.distance IS NULL OR x.distance < s.distance",
+    ),
+    "intersect_count": (
+        "coorder",
+        lambda g: P.intersection_sizes(P.neighbour_sets(g.edges), g.edges.where("src < dst").select(F.col("src").alias("a"), F.col("dst").alias("b")).distinct()),
+        SETS,
+        "SELECT p.src AS a, p.dst AS b, count(*) AS n FROM (SELECT DISTINCT src, dst FROM e WHERE src < dst) p JOIN b x ON x.src = p.src JOIN b y ON y.src = p.dst AND y.dst = x.dst GROUP BY 1, 2",
+    ),
+    "guarded_ratio": (
+        "flow",
+        lambda g: P.out_degrees(g).select("id", F.round(P.guarded_ratio(F.col("degree") + 1, F.col("degree")), 10).alias("ratio")),
+        "",
+        "SELECT v.id, round(CASE WHEN count(e.src) >= 2 THEN (count(e.src) + 1)::DOUBLE / (count(e.src) * (count(e.src) - 1)) ELSE 0.0 END, 10) AS ratio FROM v LEFT JOIN e ON e.src = v.id GROUP BY v.id",
+    ),
+    "init_state": ("flow", lambda g: P.initial_state(g.vertices, "component", F.col("id")), "", "SELECT id, id AS component FROM v"),
+    "root_lookup": ("flow", lambda g: P.require_vertex(g.vertices, root(g)), "", "SELECT min(src) AS id FROM e"),
+    "unreachable_default": ("flow", lambda g: P.with_default(g.vertices, _state(g), "distance", F.lit(-1.0)), STATE, "SELECT v.id, coalesce(s.distance, -1.0)::DOUBLE AS distance FROM v LEFT JOIN s ON s.id = v.id"),
+    "edge_weights": ("flow", lambda g: g.edges.select("src", "dst", F.round("weight", 4).alias("weight")), "", "SELECT src, dst, round(weight, 4) AS weight FROM e"),
+    "edges_undirected": ("coorder", lambda g: g.edges.select("src", "dst"), "", "SELECT src, dst FROM e"),
+}
+
+# --- text forms -----------------------------------------------------------------------------------------
+
+FORMS: dict[str, tuple[str, Callable[[Graph], DataFrame], str, str]] = {
+    "fmt_bfs": (
+        "flow",
+        lambda g: result_lines(P.with_default(g.vertices, g.vertices.where("id % 3 = 0").select("id", F.pmod("id", F.lit(5)).alias("level")), "level", F.lit(None).cast("long")), "level"),
+        "",
+        f"SELECT id, id || ' ' || CASE WHEN id % 3 = 0 THEN id % 5 ELSE {oracles.UNREACHED} END AS line FROM v",
+    ),
+    "fmt_sssp": (
+        "flow",
+        lambda g: result_lines(P.with_default(g.vertices, g.vertices.where("id % 3 = 0").select("id", (F.col("id") / 4.0).alias("distance")), "distance", F.lit(None).cast("double")), "distance"),
+        "",
+        "SELECT id, id || ' ' || CASE WHEN id % 3 = 0 THEN format('{:.15e}', id / 4.0::DOUBLE) ELSE 'infinity' END AS line FROM v",
+    ),
+    "fmt_scientific": ("flow", lambda g: result_lines(g.vertices.select("id", (F.col("id") / 64.0).alias("rank")), "rank"), "", "SELECT id, id || ' ' || format('{:.15e}', id / 64.0::DOUBLE) AS line FROM v"),
+    "result_lines": ("flow", lambda g: result_lines(A.wcc(g), "component"), "", ""),
+}
+for _name, (_g, _f, _more, _select) in {**PRIMITIVES, **FORMS}.items():
+    QUERIES[_name] = on(_g, _f)
+    ORACLES[_name] = oracles.over(_g, _select, _more) if _select else oracles._wcc(_g) + " SELECT id, id || ' ' || component AS line FROM result"
+
+
+# --- logs and traces ---------------------------------------------------------------------------------
+
+
+def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run per user: begin and end out of its events' times."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", F.expr("timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', ts)").alias("ms"))
+    return events.groupBy(F.col("user_id").alias("run")).agg(F.min("ms").alias("t0"), F.max("ms").alias("t3"), F.count("*").alias("n"))
+
+
+def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log lines of the runs, with a stale begin that a later one replaces."""
+    lines = F.array(
+        F.lit("loading"),
+        F.concat(F.lit(f"INFO {M.STARTS}"), F.col("t0") - 5000),
+        F.concat(F.lit(M.STARTS), F.col("t0")),
+        F.concat(F.lit(M.ENDS), F.col("t3")),
+        F.lit("done"),
+    )
+    return _runs(spark, sf_dir).select("run", F.lit("run.log").alias("file"), F.posexplode(lines).alias("line_number", "line"))
+
+
+def _trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trace lines of the runs: job, load, process and offload with begin and end."""
+    n = F.col("n")
+    spans = [("Job", F.col("t0"), F.col("t3") + 100), ("LoadGraph", F.col("t0"), F.col("t0") + n), ("ProcessGraph", F.col("t0") + n, F.col("t0") + 3 * n), ("OffloadGraph", F.col("t3"), F.col("t3") + 50)]
+    rows = []
+    for mission, start, end in spans:
+        for info, value in (("StartTime", start), ("EndTime", end)):
+            rows.append(
+                M.trace_line(
+                    {
+                        "OperationUuid": F.concat(F.col("run"), F.lit(f"-{mission}")), "ActorType": F.lit("Graph Engine"), "ActorId": F.concat(F.lit("host:"), F.col("run")), "MissionType": F.lit(mission),
+                        "MissionId": F.col("run"), "InfoName": F.lit(info), "InfoValue": value, "Timestamp": value,
+                    }
+                )
+            )
+    return _runs(spark, sf_dir).select("run", F.explode(F.array(F.lit("noise"), *rows)).alias("line"))
+
+
+def _processing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.processing_times(_log(spark, sf_dir), ["run"]).select("run", F.col("processing_time").cast("double").alias("processing_time"))
+
+
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = M.trace_records(_trace(spark, sf_dir))
+    return r.select("run", *[F.col("record")[k].alias(a) for k, a in (("MissionType", "mission"), ("ActorType", "actor_type"), ("ActorId", "actor"), ("InfoName", "info"), ("InfoValue", "value"))])
+
+
+def _durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.operations(M.trace_records(_trace(spark, sf_dir))).select("operation", "mission", "parent", "duration_ms")
+
+
+def _breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.breakdown(M.operations(M.trace_records(_trace(spark, sf_dir))))
+
+
+def _top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.top_operation(M.operations(M.trace_records(_trace(spark, sf_dir))))
+
+
+_T = f"WITH r AS ({oracles.LOG_TIMES}), o AS (SELECT run, t0, t3, n, unnest(['Job', 'LoadGraph', 'ProcessGraph', 'OffloadGraph']) AS mission FROM r), "
+_T += """s AS (SELECT *, CASE mission WHEN 'ProcessGraph' THEN t0 + n WHEN 'OffloadGraph' THEN t3 ELSE t0 END AS a,
+ CASE mission WHEN 'Job' THEN t3 + 100 WHEN 'LoadGraph' THEN t0 + n WHEN 'ProcessGraph' THEN t0 + 3 * n ELSE t3 + 50 END AS b FROM o) """
+QUERIES |= {"processing_time": _processing, "trace_parse": _records, "trace_durations": _durations, "trace_breakdown": _breakdown, "trace_top": _top}
+ORACLES |= {
+    "processing_time": f"SELECT run, round((t3 - t0) / 1000.0, 3)::DOUBLE AS processing_time FROM ({oracles.LOG_TIMES})",
+    "trace_parse": _T + "SELECT run, mission, 'Graph Engine' AS actor_type, 'host:' || run AS actor, info, (CASE info WHEN 'StartTime' THEN a ELSE b END)::VARCHAR AS value FROM s, (SELECT unnest(['StartTime', 'EndTime']) AS info)",
+    "trace_durations": _T + "SELECT run || '-' || mission AS operation, mission, CASE mission WHEN 'Job' THEN 'TopActor' ELSE 'Job' END AS parent, (b - a)::BIGINT AS duration_ms FROM s",
+    "trace_breakdown": _T + "SELECT sum(b - a) FILTER (mission = 'ProcessGraph')::BIGINT AS processing_ms, sum(b - a) FILTER (mission = 'LoadGraph')::BIGINT AS io_ms, (2 * sum(b - a) FILTER (mission = 'Job') - sum(b - a) FILTER (mission <> 'OffloadGraph'))::BIGINT AS overhead_ms FROM s",
+    "trace_top": _T + "SELECT min(a)::BIGINT AS start_ms, max(b)::BIGINT AS end_ms, (max(b) - min(a))::BIGINT AS duration_ms FROM s",
+}

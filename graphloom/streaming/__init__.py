@@ -1 +1 @@
-
+"""The engine's graphs are static: there are no streams to process."""

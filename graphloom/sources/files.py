@@ -2,21 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.formatting import result_lines
 from ..model import EDGE_SCHEMA, VERTEX_SCHEMA, WEIGHTED_EDGE_SCHEMA, Graph, GraphError
 from ..storage import remove
 
 
+def _columns(spark: SparkSession, path: str, sep: str, schema: StructType) -> DataFrame:
+    """Leading columns of a separated text file by position; further columns are ignored, blank lines skipped."""
+    parts = F.split(F.trim("value"), f"{re.escape(sep)}+")
+
+    def column(i: int, name: str, kind: str) -> Column:
+        piece = F.get(parts, F.lit(i))
+        bad = F.raise_error(F.concat(F.lit(f"column {name} is no {kind}: "), F.col("value")))
+        return F.coalesce(piece.try_cast(kind), bad.cast(kind)).alias(name)
+
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return lines.select(*[column(i, f.name, f.dataType.simpleString()) for i, f in enumerate(schema)])
+
+
 def read_vertices(spark: SparkSession, path: str, sep: str = " ") -> DataFrame:
     """Vertex file without header: the id in the first column; a value that is no number fails the read."""
-    return spark.read.schema(VERTEX_SCHEMA).csv(path, sep=sep, mode="FAILFAST", header=False)
+    return _columns(spark, path, sep, VERTEX_SCHEMA)
 
 
 def read_edges(spark: SparkSession, path: str, weighted: bool = False, sep: str = " ") -> DataFrame:
     """Edge file without header: source, target and, if weighted, weight; a value that is no number fails the read."""
-    return spark.read.schema(WEIGHTED_EDGE_SCHEMA if weighted else EDGE_SCHEMA).csv(path, sep=sep, mode="FAILFAST", header=False)
+    return _columns(spark, path, sep, WEIGHTED_EDGE_SCHEMA if weighted else EDGE_SCHEMA)
 
 
 def read_text_graph(spark: SparkSession, vertices: str, edges: str, directed: bool = True, weighted: bool = False, name: str = "graph") -> Graph:

@@ -254,7 +254,7 @@ def export_archives(archives: DataFrame, folder: str) -> DataFrame:
         where.create_dir(path, recursive=True)
         for batch in batches:
             for name, content in zip(batch.column("archive").to_pylist(), batch.column("content").to_pylist()):
-                with where.open_output_stream(f"{path}/{name}") as f:
+                with where.open_output_stream(f"{path}/{name}", compression=None) as f:
                     f.write(content)
             yield batch.select(["archive"])
 

@@ -9,7 +9,7 @@ from ..model import Graph, GraphError
 from . import primitives as P
 from .iterate import Supersteps, ready, repeat, until_empty
 
-HOPS = 3  # levels or rounds computed per written superstep of a traversal
+HOPS = 2  # levels computed per written superstep of a traversal: more save jobs, but plans grow threefold with each
 
 
 def bfs(graph: Graph, root: int, hops: int = HOPS) -> DataFrame:

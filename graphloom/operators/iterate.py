@@ -34,8 +34,11 @@ class Supersteps:
 
 @contextmanager
 def ready(df: DataFrame, key: str) -> Iterator[DataFrame]:
-    """df dealt by key and kept in memory or on local disk while supersteps join it; lost parts are computed again."""
-    kept = df.repartition(key).persist()
+    """df dealt by key and kept in memory or on local disk while supersteps join it; lost parts are computed again.
+
+    With the session's own number of partitions, joins on the key move and sort only their other side.
+    """
+    kept = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key).sortWithinPartitions(key).persist()
     try:
         yield kept
     finally:

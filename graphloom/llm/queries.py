@@ -2,7 +2,8 @@
 
 from .decontamination import op8_decontaminate
 from .extraction import op6_extract_text
-from .mixing import OP9_SQL, op9_mix_sources
+from .mixing import op9_mix_sources
+from .oracles import OP2_SQL, OP3_SQL, OP5_SQL, OP9_SQL
 from .secrets import op7_secret_scan
 from .simhash import op10_simhash_neardup
 from .substrings import op5_substring_dedup
@@ -23,4 +24,9 @@ QUERIES = {
     "op9_mix_sources": op9_mix_sources,
     "op10_simhash_neardup": op10_simhash_neardup,
 }
-ORACLES: dict[str, str] = {"op9_mix_sources": OP9_SQL}
+ORACLES: dict[str, str] = {
+    "op2_embedding_neardup": OP2_SQL,
+    "op3_warc_roundtrip": OP3_SQL,
+    "op5_substring_dedup": OP5_SQL,
+    "op9_mix_sources": OP9_SQL,
+}

@@ -204,9 +204,11 @@ def extracted(pages: DataFrame) -> DataFrame:
     Null and empty pages have an empty text and no vote; pages without a host vote
     together.  Repeated rows each get a row; other columns are ignored; an empty table gives no rows.
     """
-    rows = pages.select("page_id", "url", "html", host_of("url").alias("_host"))
-    paths = host_paths(pages).select(F.col("host").alias("_h"), F.col("path").alias("_path"))
-    rows = rows.join(paths, rows._host == paths._h, "left").select(F.col("page_id").cast("long").alias("page_id"), "url", "html", "_path")
+    # Hosts are looked up for small rows; pages themselves are dealt by page, not by host, which may hold a third of them.
+    key = [F.xxhash64("page_id", "url").alias("_key"), host_of("url").alias("_host")]
+    paths = pages.select(*key).distinct().join(host_paths(pages), F.col("_host") == F.col("host")).select("_key", "_host", F.col("path").alias("_path"))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", *key)
+    rows = rows.join(paths, ["_key", "_host"], "left").select("page_id", "url", "html", "_path")
 
     def run(batches):
         for batch in batches:

@@ -201,6 +201,16 @@ def _page(uri: str) -> int | None:
     return int(m[1]) if m and m[1] else None
 
 
+def _sample(rows: DataFrame) -> list[bytes]:
+    """The first DICT_SAMPLE characters of DICT_PAGES pages at most, those with the smallest hashes; only hashes are compared."""
+    order = F.xxhash64("page_id", "url")
+    last = rows.select(order.alias("o")).orderBy("o").limit(DICT_PAGES).agg(F.max("o")).first()[0]
+    if last is None:
+        return []
+    some = rows.where(order <= last).select(F.substring("html", 1, DICT_SAMPLE).alias("html")).limit(DICT_PAGES)
+    return sorted(r.html.encode() for r in some.collect())
+
+
 def write_archives(pages: DataFrame, least: int = 0, limit: int = ARCHIVE_BYTES) -> DataFrame:
     """(archive, records, content): a record per row of pages, in archives of about `limit` bytes.
 
@@ -209,8 +219,7 @@ def write_archives(pages: DataFrame, least: int = 0, limit: int = ARCHIVE_BYTES)
     an empty payload, a null url leaves out the target.  An empty table gives no archive.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
-    sample = rows.where("html <> ''").select(F.xxhash64("page_id", "url").alias("_o"), F.substring("html", 1, DICT_SAMPLE).alias("html")).orderBy("_o", "html").limit(DICT_PAGES)
-    dictionary = train_dictionary([r.html.encode() for r in sample.select("html").collect()])
+    dictionary = train_dictionary(_sample(rows.where("html <> ''")))
     rows = rows.withColumn("_sha1", F.sha1("html"))
     again = rows.where(F.octet_length("html") >= least).groupBy(F.col("_sha1").alias("_k")).agg(F.count("*").alias("_n"), F.min("page_id").alias("_first")).where("_n > 1").select("_k", "_first")
     dealt = rows.join(again, (rows._sha1 == again._k) & (F.octet_length("html") >= least), "left").select("page_id", "url", "html", "_first")

@@ -181,6 +181,49 @@ def test_small_world_recall():
 # --- 3 archives -----------------------------------------------------------------------------------------
 
 
+class Lossy(vectors.SmallWorld):
+    """A graph whose searches miss nodes: up to a beam of `poor`, the last eight entries are far ones or unfilled."""
+
+    def search(self, q, beam, block=256):
+        sims = q.astype(np.float32) @ self.x.T
+        ids = np.argsort(-sims, axis=1, kind="stable")[:, :beam]
+        if beam <= self.poor:
+            ids[:, -8:] = np.argsort(sims, axis=1, kind="stable")[:, :8] if self.fill else -1
+            if self.blind:
+                ids = np.argsort(sims, axis=1, kind="stable")[:, :beam]
+        got = np.take_along_axis(sims, np.maximum(ids, 0), 1)
+        return ids, np.where(ids >= 0, got, -np.inf)
+
+
+def lossy(x, poor, fill=True, blind=False):
+    g = Lossy(x.shape[1], len(x))
+    g.x[:], g.n, g.poor, g.fill, g.blind = x, len(x), poor, fill, blind
+    return g
+
+
+@pytest.mark.parametrize("dense", [60, 200])
+@pytest.mark.parametrize("poor,fill", [(48, True), (48, False)])
+def test_audit_of_dense_queries(dense, poor, fill):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((30_000, 32))
+    x[:dense] = np.eye(32)[0] * 8 + 0.3 * rng.standard_normal((dense, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    true = x[:dense] @ x.T >= 0.806
+    assert (true.sum(1) >= dense).all()
+    q, n = vectors.near_leaders(lossy(x, poor, fill), x[:dense], 0.806)
+    assert {(a, b) for a, b in zip(q.tolist(), n.tolist())} >= set(zip(*(y.tolist() for y in np.nonzero(true))))
+
+
+def test_audit_without_pairs_in_reach():
+    x = np.random.default_rng(6).standard_normal((30_000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    g = lossy(x[100:], 48, blind=True)
+    q, n = vectors.near_leaders(g, x[100:200], 0.999)
+    assert set(zip(q.tolist(), n.tolist())) >= {(i, i) for i in range(100)}
+    assert not len(vectors.near_leaders(g, x[:100], 0.999)[0])
+    assert not vectors._passes(x[:100] @ x[100:].T, g.search(x[:100], 48)[0], 0.999)
+
+
 def test_archives(spark, tmp_path):
     rows = [(4, "http://a/\n x", "same"), (2, None, "same"), (9, "u", None), (8, "u", ""), (7, "v", "é" * 1000), (6, "w", "other"), (None, "z", "same")]
     df = frame(spark, rows, "page_id long, url string, html string", content="c", archive="a")

@@ -33,7 +33,7 @@ APART_NAMES = frozenset(
     " respond disqus widget toolbar pagination pager copyright login search skip".split()
 )
 APART_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog form menu".split())
-LEAST_SHARE = 0.6
+STRAY = 2  # characters that may stand outside the main container: separators and the like
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*(?:>|\Z)|</[^A-Za-z>][^>]*(?:>|\Z)|<(?=/?[A-Za-z]).*\Z", re.S)
 _ATTR = re.compile(r"([^\s=\"'/]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"']+)")
@@ -133,17 +133,17 @@ def parse(text: str) -> Page:
 
 
 def best_path(page: Page) -> str:
-    """Path of the deepest container with LEAST_SHARE of the page's text outside links and parts set apart ('' if there is none)."""
-    own = [0.0] * len(page.tag)
-    for node, _, piece, link in page.pieces:
-        if not page.apart[node] and not link:
-            own[node] += len(piece) - piece.count(" ")
+    """Path of the deepest container outside which all text is set apart, but for STRAY characters ('' if there is none)."""
+    own = [0] * len(page.tag)
+    for node, _, piece, _ in page.pieces:
+        if not page.apart[node]:
+            own[node] += len("".join(piece.split()))
     total = sum(own)
     for i in range(len(own) - 1, 0, -1):
         own[page.parent[i]] += own[i]
     best = 0
     for i in range(1, len(own)):
-        if page.tag[i] in CONTAINERS and not page.apart[i] and own[i] >= LEAST_SHARE * total > 0:
+        if page.tag[i] in CONTAINERS and not page.apart[i] and own[i] >= total - STRAY and 2 * own[i] > total:
             best = i  # a later one that qualifies lies inside: two shares above one half can't stand side by side
     return page.path[best]
 

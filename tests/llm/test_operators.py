@@ -396,6 +396,22 @@ def test_host_votes_decide(spark):
     assert got[9] == "short" and got[0] == good.strip()
 
 
+@pytest.mark.parametrize(
+    "body,want",
+    [
+        ("<article><h1>Head</h1><p>Lead</p><div class=body><p>{0}</p></div></article>", "Head Lead {0}"),
+        ("<article><h1><a href=x>Head</a></h1><div class=body><p>{0}</p></div></article>", "Head {0}"),
+        ("<article><div class=first>{0}{0}</div><div class=second>{0}</div></article>", "{0}{0} {0}"),
+        ("<table><tr><td class=a>{0}{0}<td>{0}</table>", "{0}{0} {0}"),
+        ("<div class=wrap>\n<article>\n<p>{0}</article> |</div>", "{0}"),
+    ],
+)
+def test_extract_leaves_no_text_outside(body, want):
+    text = "a long part of the story. " * 20
+    got = extraction.extract("<html><body><nav>menu</nav>" + body.format(text) + "<footer>us</footer></body></html>")
+    assert got.split() == want.format(text).split()
+
+
 def test_parse_survives_anything():
     for t in ["<", "<p", "</", "<!--", "<a b='", "</p></p></div>", "<b><i></b></i>", "<" * 500, "<p>" * 3000, "<a href=\"" * 50, "&#x110000;&bogus;", "<td>a<td>b", "\x00<p>\x00"]:
         extraction.extract(t)

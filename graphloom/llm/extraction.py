@@ -32,12 +32,13 @@ APART_NAMES = frozenset(
     " cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe signup share sharing social related recommended comment comments reply replies"
     " respond disqus widget toolbar pagination pager copyright login search skip".split()
 )
+READERS = frozenset("comment comments reply replies respond disqus".split())
 APART_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog form menu".split())
 STRAY = 2  # characters that may stand outside the main container: separators and the like
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*(?:>|\Z)|</[^A-Za-z>][^>]*(?:>|\Z)|<(?=/?[A-Za-z]).*\Z", re.S)
 _ATTR = re.compile(r"([^\s=\"'/]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"']+)")
-_NAME = re.compile(r"[a-z]+", re.I)
+_PARTS = re.compile(r"[\W\d_]+")
 _DIGITS = re.compile(r"\d+")
 
 
@@ -59,9 +60,34 @@ def _attributes(raw: str) -> dict[str, str]:
     return out
 
 
+def _named_apart(names: str) -> int:
+    """1 if a whole class or id (or each of its parts) is a name of parts set apart, 2 if one of readers' parts, else 0."""
+    found = 0
+    for name in names.lower().split():
+        parts = [x for x in _PARTS.split(name) if x]
+        if parts and all(x in APART_NAMES for x in parts):
+            found = max(found, 1 + (not READERS.isdisjoint(parts)))
+    return found
+
+
+def _set_apart(page: Page, named: dict[int, int]) -> None:
+    """Sets elements apart by their names, unless they hold most of the unlinked text (all of it for readers' parts)."""
+    own = [0] * len(page.tag)
+    for node, _, piece, link in page.pieces:
+        if not page.apart[node] and not link:
+            own[node] += len("".join(piece.split()))
+    total = sum(own)
+    for i in range(len(own) - 1, 0, -1):
+        own[page.parent[i]] += own[i]
+    for i in range(1, len(own)):
+        how = named.get(i, 0)
+        page.apart[i] |= page.apart[page.parent[i]] or (how == 1 and 2 * own[i] <= total) or (how == 2 and own[i] < total - STRAY)
+
+
 def parse(text: str) -> Page:
     """Lenient one-pass parse: unclosed, stray and cut-off tags are no errors."""
     page, stack, at, block = Page(), [0], 0, 0
+    named: dict[int, int] = {}
     n = len(text)
     links = 0
 
@@ -109,10 +135,12 @@ def parse(text: str) -> Page:
         names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
         above = stack[-1]
         apart = page.apart[above] or tag in APART_TAGS or "hidden" in attrs or attrs.get("role", "").lower() in APART_ROLES
-        if not apart and names != " " and tag not in ("html", "body", "main", "article"):
-            apart = any(x.lower() in APART_NAMES for x in _NAME.findall(names))
         if tag in VOID:
             continue
+        if not apart and names != " " and tag not in ("html", "body", "main", "article"):
+            how = _named_apart(names)
+            if how:
+                named[len(page.tag)] = how
         path = page.path[above]
         if tag in CONTAINERS:
             kinds = sorted({_DIGITS.sub("#", c.lower()) for c in attrs.get("class", "").split()})
@@ -129,6 +157,8 @@ def parse(text: str) -> Page:
             continue
         stack.append(len(page.tag) - 1)
         links += tag == "a"
+    if named:
+        _set_apart(page, named)
     return page
 
 
@@ -198,7 +228,7 @@ def extracted(pages: DataFrame) -> DataFrame:
 
     The text is that of the winning container: no parts set apart by tag, role, class or
     id (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader
-    comments), character references decoded, white space inside a block one space,
+    comments; by class or id only if the whole name says so and the part doesn't hold most of the text), character references decoded, white space inside a block one space,
     blocks in page order joined by an empty line.
 
     Null and empty pages have an empty text and no vote; pages without a host vote

@@ -412,6 +412,14 @@ def test_extract_leaves_no_text_outside(body, want):
     assert got.split() == want.format(text).split()
 
 
+@pytest.mark.parametrize("kind", ["content-sidebar-wrap", "has-sidebar", "menu-open page", "post category-social", "widget", "sidebar post"])
+def test_extract_wrappers_hold_the_article(kind):
+    body = "<p>the story of the page in many words</p><div class=market-share><p>its market share</p></div><div class='share ad-2'>tweet</div>"
+    comments = "<div id=comments><p>" + "readers write much more than the page has " * 9 + "</div>"
+    assert extraction.extract(f"<body><div class='{kind}'>{body}</div><div class='menu'><a href=x>{'link ' * 90}</a></div>") == "the story of the page in many words\n\nits market share"
+    assert extraction.extract(f"<body>{body}{comments}") == "the story of the page in many words\n\nits market share"
+
+
 def test_parse_survives_anything():
     for t in ["<", "<p", "</", "<!--", "<a b='", "</p></p></div>", "<b><i></b></i>", "<" * 500, "<p>" * 3000, "<a href=\"" * 50, "&#x110000;&bogus;", "<td>a<td>b", "\x00<p>\x00"]:
         extraction.extract(t)

@@ -2,7 +2,8 @@
 
 1. A character trigram model is counted over the letters of all documents.
 2. Tokens that look disguised (leetspeak, spaced or dotted letters, repeated letters) become lattices
-   of possible letters; the Viterbi path under that model restores them.
+   of possible letters; the Viterbi path under that model restores them.  Others with a sign, separator, mask or
+   doubled letter, and runs of single characters, may also stay as they are; if they don't, both readings count.
 3. Restored texts are scored by words and word beginnings whose presence in labelled documents
    goes with the label by more than chance.
 """
@@ -31,7 +32,8 @@ LEXICON = 200_000  # kept features at most, the strongest first
 # What a sign may stand for, and the log-probabilities of the channel's edits.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
 SEPARATORS = ".-_*~'`"
-SWAP, DROP_SAME, DROP_SIGN, DROP_SPACE = -1.5, -0.7, -0.3, -0.3
+SWAP, DROP_SAME, DROP_SIGN, DROP_SPACE, MASKED = -1.5, -0.7, -0.3, -0.3, -3.3
+MASK, ANY = "*", "abcdefghijklmnopqrstuvwxyz"
 
 LETTERS = 62
 _CODE = np.zeros(0x180, np.int64)  # letter classes: 0 none, 1-26 a-z, 27-58 further Latin letters, 60 others
@@ -73,8 +75,8 @@ def letter_model(docs: DataFrame) -> np.ndarray:
     return np.log(p3).astype(np.float32)
 
 
-def restore(token: str, model: np.ndarray) -> str:
-    """The likeliest letters behind a disguised token (lower case); spaces may stay or go."""
+def restore(token: str, model: np.ndarray, keep: bool = False) -> str:
+    """The likeliest letters behind a disguised token (lower case); spaces may stay or go, with `keep` signs too; then masks may hide letters."""
     states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     before = ""
     for ch in token:
@@ -87,6 +89,10 @@ def restore(token: str, model: np.ndarray) -> str:
             options = [(ch, 0.0)]
         else:
             options = [("", DROP_SIGN if ch in SEPARATORS else 2 * SWAP)]
+        if keep and ch != " " and not _code(ch):
+            options.append((ch, 0.0))
+            if ch == MASK:
+                options += [(x, MASKED) for x in ANY]
         if ch == before and ch != " ":
             options.append(("", DROP_SAME))
         new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
@@ -113,47 +119,56 @@ DISGUISED = re.compile(
     rf"|(?:^|(?<=\s)){_L}(?:[{re.escape(SEPARATORS)}]{_L}){{2,}}(?=\W|$)"  # l.i.k.e this
     rf"|(?:^|(?<=\s)){_L}(?: {_L}){{2,}}(?=\s|$)"  # or l i k e this
 )
+_UNIT = rf"(?:{_L}|[{_SIGNS}{re.escape(SEPARATORS)}])"
+_SINGLES = re.compile(rf"(?<!\w){_UNIT}(?:\s+{_UNIT}){{2,}}(?=[^\w\s]*(?:\s|$))")
+_EDGES = re.compile(rf"^[^\w{_SIGNS}]+|[^\w{_SIGNS}]+$")
+_MAYBE = re.compile(rf"({_L})\1|[\W\d_]")  # in a token with a letter: may be disguised
+_LETTER = re.compile(_L)
 _SPACED = re.compile(rf"(?:^|(?<=\s)){_L}(?: {_L}){{2,}}(?=\s|$)")
 
 _IS_LETTER = np.zeros(256, bool)
 _IS_LETTER[65:91] = _IS_LETTER[97:123] = True
 _IS_LETTER[128:] = True
-_IS_SIGN = np.zeros(256, bool)
-_IS_SIGN[[ord(x) for x in LEET if ord(x) < 128]] = True
-_IS_CLOSING = np.zeros(256, bool)
-_IS_CLOSING[[ord(x) for x in "013457@$"]] = True
 _IS_GAP = np.zeros(256, bool)
-_IS_GAP[[32, 9, 10, 11, 12, 13]] = True
-_IS_GAP[[ord(x) for x in SEPARATORS]] = True
+_IS_GAP[[32, 9, 10, 11, 12, 13, 28, 29, 30, 31]] = True
 
 
 def _suspects(data: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Rows that may hold a disguised token; the test on bytes is broader than DISGUISED."""
+    """Rows that may hold a disguised token: all but those of plain words of ASCII letters, none of them doubled or alone."""
     n = len(data)
-    letter, sign, gap, low = _IS_LETTER[data], _IS_SIGN[data], _IS_GAP[data], data | 32
+    hit = ~(_IS_LETTER[data] | _IS_GAP[data]) | (data >= 128)
+    if n > 1:
+        hit[1:] |= _IS_LETTER[data[1:]] & (data[1:] | 32 == data[:-1] | 32)
+    start = np.zeros(n + 1, bool)
+    start[off[:-1]] = True
+    before, after = np.ones(n, bool), np.ones(n, bool)
+    before[1:] = _IS_GAP[data[:-1]] | start[1:n]
+    after[:-1] = _IS_GAP[data[1:]] | start[1:n]
+    hit |= _IS_LETTER[data] & before & after
+    count = np.concatenate([[0], np.cumsum(hit)])
+    return np.flatnonzero(count[off[1:]] > count[off[:-1]])
+
 
-    def ahead(x: np.ndarray, k: int) -> np.ndarray:
-        out = np.zeros(n, bool)
-        out[: max(n - k, 0)] = x[k:]
+class Readings(dict):
+    """Tokens (lower case, without white space) and how they are read: disguised ones restored, others that may be with what they may mean before them."""
+
+    def __init__(self, model: np.ndarray) -> None:
+        self.model = model
+
+    def __missing__(self, token: str) -> str:
+        if DISGUISED.search(token):
+            out = restore(token, self.model)
+        else:
+            out = self.either(_EDGES.sub("", token), token)
+        if len(self) < 200_000 and len(token) <= 64:
+            self[token] = out
         return out
 
-    hit = sign & ahead(letter, 1)
-    hit |= letter & ahead(_IS_CLOSING[data], 1) & ~ahead(letter | sign, 2)
-    for width in (1, 2, 3):  # the same letter, of so many bytes, three times
-        same = np.zeros(n, bool)
-        same[width:] = letter[width:] & (low[width:] == low[:-width]) if n > width else False
-        thrice = same.copy()
-        for k in range(1, 2 * width):
-            thrice &= ahead(same, k)
-        hit |= thrice
-    wide = data >= 128
-    before = np.ones(n, bool)
-    before[1:] = gap[:-1] | wide[:-1]
-    after = ~ahead(~(gap | wide), 1)
-    total = np.concatenate([[0], np.cumsum(letter & before & after)])  # letters that may stand alone
-    hit |= total[np.minimum(np.arange(n) + 12, n)] - total[:n] >= 3
-    count = np.concatenate([[0], np.cumsum(hit)])
-    return np.flatnonzero(count[off[1:]] > count[off[:-1]])
+    def either(self, core: str, token: str) -> str:
+        if not _LETTER.search(core) or not _MAYBE.search(core):
+            return token
+        found = restore(core, self.model, True)
+        return token if re.findall(f"{_L}+", found) == re.findall(f"{_L}+", core) else f"{found} {token}"
 
 
 @dataclass
@@ -163,22 +178,13 @@ class Restorer:
     model: np.ndarray
 
     def __post_init__(self) -> None:
-        self.seen: dict[str, str] = {}
-
-    def _token(self, token: str) -> str:
-        out = self.seen.get(token)
-        if out is None:
-            out = restore(token, self.model)
-            if len(self.seen) < 100_000 and len(token) <= 64:
-                self.seen[token] = out
-        return out
+        self.seen = Readings(self.model)
 
     def text(self, text: str) -> str:
-        low = text.lower()
-        if not DISGUISED.search(low):
-            return text
-        low = _SPACED.sub(lambda m: self._token(m[0]), low)
-        return re.sub(r"\S+", lambda m: self._token(m[0]) if DISGUISED.search(m[0]) else m[0], low)
+        low = _SINGLES.sub(lambda m: restore(m[0], self.model) if _SPACED.fullmatch(m[0]) else self.seen.either(" ".join(m[0].split()), m[0]), text.lower())
+        was = low.split()
+        now = [self.seen[t] for t in was]
+        return text if now == was and low == text.lower() else " ".join(now)
 
     def column(self, col: pa.Array) -> pa.Array:
         """Lower-case texts with disguised tokens restored; null texts are empty."""

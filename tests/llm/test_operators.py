@@ -306,6 +306,30 @@ def test_restore(spark):
     assert {i for i, t in enumerate(texts) if t and toxicity.DISGUISED.search(t.lower())} <= suspects
 
 
+def test_restore_mixed_disguises(spark):
+    docs, labels = toxic_corpus()
+    r = toxicity.Restorer(toxicity.letter_model(frame(spark, docs)))
+    for t in ["stuupid", "stu-pid", "st*pid", '"$tupid"', "s.t.u.p.1.d", "s t u p 1 d", "s  t\nu  p i d.", "$tup1d,", "stup!d", "m0r0n,", "mor.on", "(m o r 0 n)", "worthle$$", "worthle55,", "w.o.r.t.h.l.e.5.5"]:
+        out = re.findall(r"[a-z]+", r.column(pa.array([f"you {t} there"]))[0].as_py())
+        assert {"stupid", "moron", "worthless"} & set(out), (t, out)
+    kept = "well known numbers 2024, x9 worthless (stupid) end."
+    assert {"worthless", "stupid", "known"} <= set(re.findall("[a-z]+", r.text(kept)))
+
+
+def test_suspects_hold_random_disguises(spark):
+    rng = random.Random(8)
+    signs = {"s": "$5", "i": "1!", "o": "0", "e": "3", "a": "@4"}
+    texts = ["a.s.s, b", "plain words", "", "words"]
+    for _ in range(400):
+        w = [rng.choice(signs[c]) if c in signs and rng.random() < 0.4 else c * rng.choice([1, 1, 2]) for c in rng.choice(["stupid", "moron", "idiot", "loser"])]
+        texts.append(rng.choice(["", "see "]) + rng.choice([".", "-", " ", "  ", "\n", ""]).join(w) + rng.choice(["", ",", '"', " x"]))
+    docs, _ = toxic_corpus(100)
+    r = toxicity.Restorer(toxicity.letter_model(frame(spark, docs)))
+    data, off = textops.string_bytes(pa.array(texts))
+    suspects = set(toxicity._suspects(data, off).tolist())
+    assert {i for i, t in enumerate(texts) if toxicity.DISGUISED.search(t.lower()) or r.text(t) != t} <= suspects and not suspects & {1, 2, 3}
+
+
 # --- 5 substrings ---------------------------------------------------------------------------------------
 
 

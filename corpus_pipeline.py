@@ -11,7 +11,7 @@ from graphloom.llm.cluster import shared_dir
 from graphloom.llm.decontamination import decontaminated
 from graphloom.llm.mixing import mixed
 from graphloom.llm.secrets import redacted
-from graphloom.llm.simhash import near_duplicates
+from graphloom.llm.simhash import without_near_duplicates
 from graphloom.llm.toxicity import without_toxic
 
 
@@ -21,9 +21,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, the document with the smallest doc_id."""
-    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """Of each group of near-duplicates, one row: that with the smallest doc_id, one without doc_id only if all are."""
+    return without_near_duplicates(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,16 +45,17 @@ def fingerprints_of(col: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fingerprint long) of every row; null texts have no words, so fingerprint 0."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, key: str | None = None) -> DataFrame:
+    """(doc_id, fingerprint long) of every row, and its `key` if one is named; null texts have no words, so fingerprint 0."""
+    names = ["doc_id", *([key] if key else [])]
 
     def run(batches):
         for batch in batches:
             for part in chunks(batch, "text"):
                 fp = fingerprints_of(part.column("text"), shingle).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(fp)], names=["doc_id", "fingerprint"])
+                yield pa.RecordBatch.from_arrays([*[part.column(n).cast(pa.int64()) for n in names], pa.array(fp)], names=[*names, "fingerprint"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fingerprint long")
+    return docs.select(*[F.col(n).cast("long").alias(n) for n in names], "text").mapInArrow(run, ", ".join(f"{n} long" for n in [*names, "fingerprint"]))
 
 
 # --- plan: partitions of correlated bits and their thresholds -----------------------------------------
@@ -231,6 +232,14 @@ def links(reps: DataFrame, groups: list[tuple[list[int], int]], radius: int = RA
     return dealt.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(compare, "a long, b long")
 
 
+def groups_of(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """(fingerprint, part): each fingerprint once, with the smallest one that it is linked to."""
+    reps = staged(fps.select("fingerprint").distinct().withColumn("rep", F.col("fingerprint")), "reps")
+    n, both = bit_moments(reps)
+    parts = connected_components(links(reps, plan(n, both, radius), radius, block))
+    return staged(reps.join(parts, reps.rep == parts.id, "left").select("fingerprint", F.coalesce("component", "rep").alias("part")), "groups")
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, block: int = BLOCK) -> DataFrame:
     """(doc_id, fingerprint, component_id): documents whose fingerprints link at `radius` or fewer differing bits.
 
@@ -241,17 +250,29 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
 
     Null and empty texts have fingerprint 0 and link like any other.  A text
     with fewer words than a shingle is one shingle.  Equal texts are compared once.
-    Rows without doc_id are dropped, as there is no id to return; a repeated doc_id gives
+    Rows without doc_id link, but name no component unless all its ids are null; a repeated doc_id gives
     one row per repetition.  Other columns are ignored, an empty table gives no rows.
     """
-    fps = staged(fingerprints(docs.where(F.col("doc_id").isNotNull()), shingle), "fingerprints")
-    reps = staged(fps.groupBy("fingerprint").agg(F.min("doc_id").alias("rep")), "reps")
-    n, both = bit_moments(reps)
-    parts = connected_components(links(reps, plan(n, both, radius), radius, block))
-    named = reps.join(parts, reps.rep == parts.id, "left").select("fingerprint", F.coalesce("component", "rep").alias("component_id"))
+    fps = staged(fingerprints(docs, shingle), "fingerprints")
+    named = fps.groupBy("fingerprint").agg(F.min("doc_id").alias("low")).join(groups_of(fps, radius, block), "fingerprint")
+    low = named.groupBy("part").agg(F.min("low").alias("component_id"))
+    named = named.join(low, "part").select("fingerprint", "component_id")
     return fps.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+def without_near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, block: int = BLOCK) -> DataFrame:
+    """One row of docs, with all its columns, of each group of near_duplicates: one of the smallest doc_id, or of none if all are null."""
+    key = "_row"
+    while key in docs.columns:
+        key += "_"
+    rows = staged(docs.withColumn(key, F.monotonically_increasing_id()), "rows")  # written, so that a row keeps its number
+    fps = staged(fingerprints(rows, shingle, key), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(key).alias("row"))).alias("x")
+    named = fps.groupBy("fingerprint").agg(first).join(groups_of(fps, radius, block), "fingerprint")
+    kept = named.groupBy("part").agg(F.min("x").alias("x")).select(F.col("x.row").alias(key))
+    return rows.join(kept, key, "left_semi").select(*docs.columns)
+
+
 def op10_simhash_neardup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from graphloom.llm import mixing, toxicity
+from graphloom.llm import mixing, simhash, toxicity
 
 from .test_operators import brute_base, brute_fingerprint, brute_hits, components, frame, toxic_corpus, words
 
@@ -73,6 +73,15 @@ def test_stages(spark, folder):
     assert {r.doc_id: r.taken for r in stage[4](spark, four, path).collect()} == want
 
 
+def test_near_duplicates_without_or_with_repeated_ids(spark):
+    a, b, c, d, e = (" ".join(words(90, 50 + i, 3000)) for i in range(5))
+    docs = frame(spark, [(1, a), (1, a), (1, a), (2, b), (3, b), (2, c), (5, d), (None, d), (None, e), (None, e)])
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
+    assert sorted(got, key=str) == sorted([(1, a), (2, b), (2, c), (5, d), (None, e)], key=str)
+    rows = [(r.doc_id, r.component_id) for r in simhash.near_duplicates(docs).collect()]
+    assert sorted(rows, key=str) == sorted([(1, 1)] * 3 + [(2, 2), (3, 2), (2, 2), (5, 5), (None, 5), (None, None), (None, None)], key=str)
+
+
 def test_run(spark, folder):
     path, _ = folder
     docs = spark.read.parquet(f"{path}/documents.parquet")

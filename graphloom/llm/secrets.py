@@ -96,19 +96,25 @@ def _battery(s: str, alphabet: str) -> str:
 
 _DIGITS, _UPPER, _LOW = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _INFER = f"""case
-  when not (t rlike '[0-9]' and t rlike '[A-Za-z]') then ''
+  when not t rlike '[A-Za-z0-9]' then ''
+  when t rlike '^[0-9]+$' then '{_DIGITS}'
+  when t rlike '^[a-z]+$' then '{_LOW}'
+  when t rlike '^[A-Z]+$' then '{_UPPER}'
+  when t rlike '^[A-Za-z]+$' then '{_UPPER}{_LOW}'
   when t rlike '^[0-9a-f]+$' then '{_DIGITS}abcdef'
   when t rlike '^[0-9A-F]+$' then '{_DIGITS}ABCDEF'
   when t rlike '^[A-Z2-7]+$' then '{_UPPER}234567'
   when t rlike '^[A-Z0-9]+$' then '{_DIGITS}{_UPPER}'
   when t rlike '^[a-z0-9]+$' then '{_DIGITS}{_LOW}'
-  when t rlike '[a-z]' and t rlike '[A-Z]' then '{_UPPER}{_LOW}{_DIGITS}+/'
-  else '' end"""
+  when t rlike '^[a-z0-9+/]+$' then '{_LOW}{_DIGITS}+/'
+  when t rlike '^[A-Z0-9+/]+$' then '{_UPPER}{_DIGITS}+/'
+  else '{_UPPER}{_LOW}{_DIGITS}+/' end"""
+_UUID = "^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$"
 
 
 def random_tests(text: str) -> Column:
-    """Tested tokens: start, end, length class and p-value; tokens that fit no encoding or hold too few bits aren't tested."""
-    test = _let("t", "translate(translate(c.token, '-_', '+/'), '=', '')", _let("e", _INFER, f"if(e = '' or length(t) * log2(length(e)) < {LEAST_BITS}, null, {_battery('t', 'e')})"))
+    """Tested tokens: start, end, length class and p-value; tokens of signs alone and those with too few bits aren't tested."""
+    test = _let("t", f"if(c.token rlike '{_UUID}', replace(c.token, '-', ''), translate(translate(c.token, '-_', '+/'), '=', ''))", _let("e", _INFER, f"if(e = '' or length(t) * log2(length(e)) < {LEAST_BITS}, null, {_battery('t', 'e')})"))
     cls = f"least({CLASSES - 1}, cast(floor(4 * log2(c.end - c.start)) as int))"
     return F.expr(f"filter(transform(_tokens, c -> struct(c.start as start, c.end as end, {cls} as cls, {test} as p)), x -> x.p is not null)")
 
@@ -139,7 +145,7 @@ def with_spans(docs: DataFrame) -> DataFrame:
     """docs with columns base and spans: arrays of (start, kind, end), code points, end exclusive, kind by its place in KINDS.
 
     base holds the fixed patterns' spans.  spans adds random tokens: runs of 20 or more
-    letters, digits and base64 signs whose encoding can be inferred, that hold
+    letters, digits and base64 signs (in the least alphabet that holds them, UUIDs without dashes), that hold
     LEAST_BITS bits, that don't overlap a base span, and for which the tests of chi-squared
     uniformity, runs and serial correlation don't reject randomness, with false-discovery
     control over all tokens of about the same length.

@@ -481,6 +481,17 @@ def test_secrets(spark):
     assert secrets.redacted(df).columns == df.columns and secrets.with_spans(df.limit(0)).count() == 0
 
 
+def test_secrets_of_every_alphabet(spark):
+    r = random.Random(9)
+    low, up, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    keys = ["".join(r.choice(x) for _ in range(40)) for x in (low, up, low + up, low + digits + "-_", up + digits + "-_")]
+    h = "".join(r.choice("0123456789abcdef") for _ in range(32))
+    keys.append("-".join([h[:8], h[8:12], h[12:16], h[16:20], h[20:]]))
+    df = frame(spark, [(i, f"key {k} here") for i, k in enumerate(keys)] + [(90, "-" * 60), (91, "xy" * 30)])
+    got = {x.doc_id: [tuple(s) for s in x.spans] for x in secrets.with_spans(df).collect()}
+    assert all(got[i] == [(4, 3, 4 + len(k))] for i, k in enumerate(keys)) and got[90] == got[91] == []
+
+
 def test_battery_is_calibrated(spark):
     r = random.Random(6)
     good = ["".join(r.choice("0123456789abcdef") for _ in range(64)) for _ in range(300)]

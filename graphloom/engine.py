@@ -5,21 +5,26 @@ from __future__ import annotations
 import logging
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .functions.metrics import processing_seconds
+from .functions import metrics as M
 from .model import Graph
 from .operators import algorithms as A
-from .sources.files import convert, delete_converted, read_text_graph, write_result
-from .storage import shared_dir
+from .sources.files import convert, delete_converted, read_converted, read_text_graph, write_result
+from .storage import shared_dir, staged
 
 log = logging.getLogger(__name__)
 
 
+def _now() -> int:
+    return int(time.time() * 1000)
+
+
 class ExecutionError(RuntimeError):
     """A run that can't be carried out or failed."""
 
@@ -54,7 +59,10 @@ class Run:
     lines: list[str]
 
     def metrics(self) -> dict[str, object]:
-        return {"processing_time": processing_seconds(self.lines), "unit": "s"}
+        """Processing time in seconds: that of the log's marks, or of its trace where it has one."""
+        spark = self.result.sparkSession
+        log = spark.createDataFrame([(x,) for x in self.lines], "line string")
+        return M.enriched({"processing_time": M.processing_seconds(self.lines), "unit": "s"}, M.operations(M.trace_records(log)))
 
 
 class Engine:
@@ -82,13 +90,18 @@ class Engine:
             log.setLevel(logging.INFO)
 
     def load_graph(self, name: str, vertices: str, edges: str, directed: bool = True, weighted: bool = False) -> Graph:
-        """Reads text files and converts them once; later runs read the converted form."""
-        graph = read_text_graph(self.spark, vertices, edges, directed, weighted, name)
-        return self.add_graph(name, graph)
+        """Reads text files, checks them (GraphError) and converts them once; later runs read the converted form."""
+        return self.add_graph(name, read_text_graph(self.spark, vertices, edges, directed, weighted, name))
 
     def add_graph(self, name: str, graph: Graph) -> Graph:
-        self.loaded[name] = convert(graph, f"{self.home}/{name}")
-        return self.loaded[name]
+        converted = convert(graph, f"{self.home}/{name}")
+        try:
+            converted.validate()
+        except Exception:
+            delete_converted(self.spark, f"{self.home}/{name}", name)
+            raise
+        self.loaded[name] = converted
+        return converted
 
     def delete_graph(self, name: str) -> bool:
         """Deletes the converted form."""
@@ -103,8 +116,9 @@ class Engine:
     def run(self, algorithm: str, graph: str | Graph, output: str | None = None, runs: int = 1, job_id: str | None = None, **parameters) -> Run:
         """Runs an algorithm to its end; with several runs the time logged is their mean.
 
-        Unknown algorithms raise ExecutionError, unknown parameters TypeError; what goes wrong in a run is raised as
-        ExecutionError.  The result is written to `output` unless that is empty.
+        Unknown algorithms raise ExecutionError, unknown parameters TypeError; what goes wrong in a run, its
+        cancelling included, is raised as ExecutionError.  The result is written to `output` unless that is empty.
+        The log tells begin and end of processing, and traces the job, its loading, processing and writing.
         """
         if algorithm not in ALGORITHMS:
             raise ExecutionError(f"unknown algorithm {algorithm!r}")
@@ -114,20 +128,25 @@ class Engine:
         values = {k: kind(parameters.get(k, default)) for k, (default, kind) in spec.parameters.items()}
         if isinstance(graph, str):
             self.prepare(graph)
-            graph = self.loaded[graph]
         job_id = job_id or uuid.uuid4().hex
         lines: list[str] = []
-        self.spark.sparkContext.setJobGroup(job_id, f"{algorithm} on {graph.name}", interruptOnCancel=True)
+        runs = max(1, runs)
+        self.spark.sparkContext.setJobGroup(job_id, f"{algorithm} on {graph if isinstance(graph, str) else graph.name}", interruptOnCancel=True)
         try:
-            begin = int(time.time() * 1000)
-            self._say(lines, f"Processing starts at: {begin}")
-            for _ in range(max(1, runs)):
-                result = spec.run(graph, **values)
-                result.write.format("noop").mode("overwrite").save()
-            self._say(lines, f"Processing ends at: {begin + round((time.time() * 1000 - begin) / max(1, runs))}")
-            write_result(result, spec.value, output)
+            with self._traced(lines, job_id, "Job"):
+                with self._traced(lines, job_id, "LoadGraph"):
+                    if isinstance(graph, str):
+                        graph = read_converted(self.spark, f"{self.home}/{graph}", self.loaded[graph].directed, graph)
+                with self._traced(lines, job_id, "ProcessGraph", runs):
+                    begin = _now()
+                    self._say(lines, f"{M.STARTS}{begin}")
+                    for _ in range(runs):
+                        result = staged(spec.run(graph, **values), "result")
+                    self._say(lines, f"{M.ENDS}{begin + round((_now() - begin) / runs)}")
+                with self._traced(lines, job_id, "OffloadGraph"):
+                    write_result(result, spec.value, output)
         except Exception as e:
-            raise ExecutionError(f"{algorithm} on {graph.name} failed: {e}") from e
+            raise ExecutionError(f"{algorithm} failed: {e}") from e
         finally:
             self.spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
         return Run(job_id, algorithm, result, spec.value, lines)
@@ -136,6 +155,14 @@ class Engine:
         lines.append(line)
         log.info(line)
 
+    @contextmanager
+    def _traced(self, lines: list[str], job_id: str, mission: str, runs: int = 1) -> Iterator[None]:
+        """Trace records of an operation's begin and end; of several runs the end is that of one of mean length."""
+        start = _now()
+        yield
+        for info, at in (("StartTime", start), ("EndTime", start + round((_now() - start) / runs))):
+            self._say(lines, M.trace_text(dict(zip(M.TRACE_FIELDS, (f"{job_id}-{mission}", self.name, "driver", mission, job_id, info, at, at)))))
+
     def finalize(self, run: Run) -> dict[str, object]:
         """The run's metrics; the log file is closed."""
         if self._handler:

@@ -67,6 +67,11 @@ def trace_line(values: dict[str, Column], marker: str = MARKER) -> Column:
     return F.concat_ws(" ", F.lit(f"{marker} -"), *parts)
 
 
+def trace_text(values: dict[str, object], marker: str = MARKER) -> str:
+    """The line that trace_line writes, of plain values."""
+    return " ".join([f"{marker} -", *(f"{k}:{str(values[k]).replace(':', '[COLON]').replace(' ', '[SPACE]')}" for k in TRACE_FIELDS)])
+
+
 def trace_lines(logs: DataFrame, marker: str = MARKER) -> DataFrame:
     return logs.where(F.col("line").contains(marker))
 

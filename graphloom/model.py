@@ -55,10 +55,6 @@ class Graph:
         if ends.join(self.vertices, "id", "left_anti").limit(1).count():
             raise GraphError("an edge ends at no vertex")
 
-    def materialized(self, write) -> "Graph":
-        """The graph with both tables written by `write` and read back, edges dealt by source."""
-        return Graph(write(self.vertices), write(self.edges.repartition("src")), self.directed, self.name)
-
 
 def symmetrized(edges: DataFrame) -> DataFrame:
     """edges and their reverses: a multiset, so a reciprocal pair counts twice."""

@@ -2,46 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from contextlib import nullcontext
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import Graph, GraphError
+from ..storage import new_path, static_plans, written
 from . import primitives as P
-from .iterate import Supersteps, ready, repeat, until_empty
+from .iterate import CHAIN, CHAIN_ROWS, HUB, Supersteps, dealt, hops_for, partitions_for, repeat
 
-HOPS = 2  # levels computed per written superstep of a traversal: more save jobs, but plans grow threefold with each
+MERGE = 8  # tables of a traversal's state before they are merged
 
 
-def bfs(graph: Graph, root: int, hops: int = HOPS) -> DataFrame:
-    """(id, level): least number of edges from the root along edge directions; null where it isn't reached.
+def _nearest(graph: Graph, root: int, edges: DataFrame, value: str, zero: Column, hub: int) -> DataFrame:
+    """(id, value): least sum of weights over edges (src, dst, weight) from the root, of vertices that are reached.
 
-    A missing root raises.  Each superstep expands `hops` levels and keeps ids not seen before.
+    A superstep relaxes several hops as one plan, in which vertices keep what they have by an edge to themselves.
+    Only what fell in its last hop is still to be sent on: the next frontier.
     """
     start = P.require_vertex(graph.vertices, root)
-    steps = Supersteps(graph.vertices.sparkSession, "bfs")
-    with ready(graph.edges.select("src", "dst").distinct(), "src") as edges:
-        first = steps.write(start.select("id", F.lit(0).cast("long").alias("level")))
-        depth = 0
-
-        def step(frontier: DataFrame) -> DataFrame:
-            nonlocal depth
-            seen, found = steps.all().select("id"), []
-            for _ in range(hops):
-                depth += 1
-                frontier = P.unvisited(P.expand_out(frontier.select("id"), edges).select(F.col("dst").alias("id")), seen)
-                frontier = frontier.withColumn("level", F.lit(depth).cast("long"))
-                found.append(frontier)
-                seen = seen.unionAll(frontier.select("id"))
-            out = found[0]
-            for f in found[1:]:
-                out = out.unionAll(f)
-            return steps.write(out).where(F.col("level") == depth)
-
-        until_empty(first, step)
-    return P.with_default(graph.vertices, steps.all(), "level", F.lit(None).cast("long"))
-
-
-def sssp(graph: Graph, root: int, hops: int = 2) -> DataFrame:
+    spark = graph.vertices.sparkSession
+    steps = Supersteps(spark, value)
+    ways = edges.select("src", "dst", "weight")
+    stay = graph.vertices.select("id", "id", F.lit(None).cast(ways.schema["weight"].dataType))
+    with dealt(ways.unionAll(stay), "src", hub, least=F.min("weight")) as ways:
+        if (ways.measures["least"] or 0) < 0:
+            raise GraphError("negative weights")
+        frontier, _ = steps.write(start.select("id", zero.alias(value), F.lit(True).alias("front")))
+        hops, rows = 4, 1
+        while rows:
+            found = frontier
+            for h in range(1, hops + 1):
+                found = P.relax(found, ways, value, last=h == hops)
+            fresh = P.improved(found, P.least(steps.all(), value), value)
+            table, seen = steps.write(fresh, front=F.count(F.when(F.col("front"), 1)))
+            frontier = table.where("front")
+            hops, rows = hops_for(seen["front"], rows, hops), seen["front"]
+            if rows and len(steps.paths) > MERGE:
+                steps.replace(P.least(steps.but_last(), value).withColumn("front", F.lit(False)), keep=1)
+    return P.least(steps.all(), value)
+
+
+def bfs(graph: Graph, root: int, hub: int = HUB) -> DataFrame:
+    """(id, level): least number of edges from the root along edge directions; null where it isn't reached.
+
+    A missing root raises.
+    """
+    once = graph.edges.select("src", "dst").distinct().withColumn("weight", F.lit(1).cast("long"))
+    levels = _nearest(graph, root, once, "level", F.lit(0).cast("long"), hub)
+    return P.with_default(graph.vertices, levels, "level", F.lit(None).cast("long"))
+
+
+def sssp(graph: Graph, root: int, hub: int = HUB) -> DataFrame:
     """(id, distance): least sum of weights from the root; null where it isn't reached.
 
     Only vertices whose distance fell are expanded.  Weights must not make a
@@ -49,52 +62,54 @@ def sssp(graph: Graph, root: int, hops: int = 2) -> DataFrame:
     """
     if not graph.weighted:
         raise GraphError("distances need a weighted graph")
-    start = P.require_vertex(graph.vertices, root)
-    least = graph.edges.groupBy("src", "dst").agg(F.min("weight").alias("weight"))
-    steps = Supersteps(graph.vertices.sparkSession, "sssp")
-    with ready(least, "src") as edges:
-        if not edges.where("weight < 0").isEmpty():
-            raise GraphError("negative weights")
-        first = steps.write(start.select("id", F.lit(0.0).alias("distance")))
+    light = graph.edges.groupBy("src", "dst").agg(F.min("weight").alias("weight")).where("weight is not null")
+    distances = _nearest(graph, root, light, "distance", F.lit(0.0), hub)
+    return P.with_default(graph.vertices, distances, "distance", F.lit(None).cast("double"))
 
-        def best() -> DataFrame:
-            return steps.all().groupBy("id").agg(F.min("distance").alias("distance"))
 
-        def step(frontier: DataFrame) -> DataFrame:
-            state = best()
-            fresh = P.improved(P.relax(frontier, edges), state, "distance")
-            found = fresh
-            for _ in range(hops - 1):
-                state = state.unionAll(fresh).groupBy("id").agg(F.min("distance").alias("distance"))
-                fresh = P.improved(P.relax(fresh, edges), state, "distance")
-                found = found.unionAll(fresh)
-            return steps.write(found.groupBy("id").agg(F.min("distance").alias("distance")))
-
-        until_empty(first, step)
-        found = best()
-    return P.with_default(graph.vertices, found, "distance", F.lit(None).cast("double"))
-
-
-def pagerank(graph: Graph, damping: float = 0.85, iterations: int = 10) -> DataFrame:
+def pagerank(graph: Graph, damping: float = 0.85, iterations: int = 10, hub: int = HUB) -> DataFrame:
     """(id, rank) after a fixed number of synchronous steps, one at least; parallel edges and self-loops count.
 
     The rank of vertices without out-edges is shared by all.  An empty graph gives no rows.
+
+    A step is linear: rank = scale * scattered rank + the same offset for all.  So the steps only scatter, without
+    waiting for a sum over all vertices, first 1 from each vertex, then what came of that (walks of 0, 1, 2 ... edges).
+    What each step scatters in total tells the rank of vertices without out-edges, hence the offsets, hence
+    each step's part in the ranks.
     """
     spark = graph.vertices.sparkSession
+    times = max(1, iterations)
     steps = Supersteps(spark, "pagerank")
     n = graph.vertices.count()
     if not n:
         return graph.vertices.select("id", F.lit(0.0).alias("rank"))
-    with ready(graph.edges.select("src", "dst"), "src") as edges:
-        degrees = P.out_degrees(Graph(graph.vertices, edges))
-        state = steps.write(degrees.select("id", "degree", F.lit(1.0 / n).alias("rank")))
-        vertices = state.select("id", "degree")
-
-        def step(ranks: DataFrame) -> DataFrame:
-            offset = F.lit((1 - damping) / n) + F.lit(damping / n) * P.dangling_sum(ranks).scalar()
-            return P.affine_apply(vertices, P.scatter_add(ranks, edges), damping, offset)
-
-        return repeat(state, step, iterations, steps).select("id", "rank")
+    totals = [float(n)]
+    with dealt(P.shares(graph.edges.select("src", "dst")), "src", hub) as edges:
+        walk = graph.vertices.select("id", F.lit(1.0).alias("rank"))
+        for i in range(1, times + 1, CHAIN):
+            last = min(i + CHAIN - 1, times)
+            out = None
+            for k in range(i, last + 1):
+                walk = P.scatter_add(walk, edges).withColumnRenamed("sum", "rank")
+                tagged = walk.withColumn("step", F.lit(k))
+                out = tagged if out is None else out.unionAll(tagged)
+            table, seen = steps.write(out, **{f"t{k}": F.sum(F.when(F.col("step") == k, F.col("rank"))) for k in range(i, last + 1)})
+            totals += [seen[f"t{k}"] or 0.0 for k in range(i, last + 1)]
+            walk = table.where(F.col("step") == last).select("id", "rank")
+    parts = _walk_parts(totals, damping, n, times)
+    weight = F.element_at(F.array(*[F.lit(p) for p in parts]), F.col("step") + 1)
+    sums = steps.all().groupBy("id").agg(F.sum(F.col("rank") * weight).alias("sum"))
+    return P.affine_apply(graph.vertices.select("id"), sums, 1.0, F.lit(parts[0]))
+
+
+def _walk_parts(totals: list[float], damping: float, n: int, times: int) -> list[float]:
+    """Each step's part in the ranks after `times` steps; totals: what is left after 0, 1, 2 ... steps of scattering 1 each."""
+    lost = [a - b for a, b in zip(totals, totals[1:])]  # what vertices without out-edges held
+    parts = [1.0 / n]
+    for _ in range(times):
+        dangling = sum(p * m for p, m in zip(parts, lost))
+        parts = [(1 - damping + damping * dangling) / n, *[damping * p for p in parts]]
+    return parts
 
 
 def wcc(graph: Graph, rounds: int = 100) -> DataFrame:
@@ -103,18 +118,17 @@ def wcc(graph: Graph, rounds: int = 100) -> DataFrame:
     Links are contracted to stars by alternating steps, which takes about log(n) rounds
     where passing labels along edges takes as many as the longest path.
     """
-    spark = graph.vertices.sparkSession
-    steps = Supersteps(spark, "wcc")
+    steps = Supersteps(graph.vertices.sparkSession, "wcc")
     links = graph.edges.where("src <> dst").select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b")).distinct()
-    links, before = steps.write(links), None
+    check = {"links": F.count("*"), "hash": F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))}
+    links, before = steps.write(links, **check)
     for _ in range(rounds):
-        both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        low = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
-        large = both.join(low, "u").where("v > u and v <> m").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.inline(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))))
-        links = steps.write(small.where("a <> b").distinct())
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        # few links: one plan and one job; many: plans that adapt, so that a vertex of many links is split
+        few = before["links"] < CHAIN_ROWS
+        with static_plans(steps.spark, partitions_for(steps.spark, before["links"]), compiled=False) if few else nullcontext():
+            stars, now = steps.write(P.star_step(links), **check)
+        steps.drop_first()
+        links = stars
         if now == before:
             break
         before = now
@@ -123,7 +137,7 @@ def wcc(graph: Graph, rounds: int = 100) -> DataFrame:
     return P.with_default(graph.vertices, links.select(F.col("a").alias("id"), F.col("b").alias("component")), "component", F.col("id"))
 
 
-def cdlp(graph: Graph, iterations: int = 10, isolated: str = "own", every: int = 3) -> DataFrame:
+def cdlp(graph: Graph, iterations: int = 10, isolated: str = "own", hub: int = HUB) -> DataFrame:
     """(id, label) after a fixed number of synchronous votes, one at least.
 
     Each vertex takes the most frequent label among its in- and out-neighbours, of equals
@@ -134,16 +148,13 @@ def cdlp(graph: Graph, iterations: int = 10, isolated: str = "own", every: int =
     if isolated not in ("own", "first"):
         raise GraphError(f"isolated is 'own' or 'first', not {isolated!r}")
     steps = Supersteps(graph.vertices.sparkSession, "cdlp")
-    with ready(P.neighbours(graph.edges).groupBy("src", "dst").agg(F.count("*").alias("times")), "dst") as both:
-        alone = F.col("id")
-        if isolated == "first":
-            alone = F.lit(graph.vertices.agg(F.min("id")).first()[0])
-
-        def step(labels: DataFrame) -> DataFrame:
-            votes = both.join(labels, both.dst == labels.id).groupBy(both.src.alias("id"), "label").agg(F.sum("times").alias("n"))
-            return P.with_default(graph.vertices, P.most_frequent(votes), "label", alone)
-
-        return repeat(graph.vertices.select("id", F.col("id").alias("label")), step, iterations, steps, every)
+    with dealt(P.neighbour_counts(graph.edges), "src", hub) as both:
+        labels = P.initial_state(graph.vertices, "label", F.col("id"))
+        labels = repeat(labels, lambda x: P.most_frequent(P.label_histogram(x, both)), iterations, steps)
+    alone = F.col("id")
+    if isolated == "first":
+        alone = F.lit(graph.vertices.agg(F.min("id")).first()[0])
+    return P.with_default(graph.vertices, labels, "label", alone)
 
 
 def lcc(graph: Graph) -> DataFrame:
@@ -153,28 +164,34 @@ def lcc(graph: Graph) -> DataFrame:
     loop.  Triangles are found once each, from their vertex of least degree, so a hub's pairs of
     neighbours are never listed; then each counts for its three vertices by the directed edges between the other two.
     """
-    out = graph.edges.select("src", "dst").distinct()
-    loops = out.where("src = dst").select(F.col("src").alias("id"))
-    pairs = out.where("src <> dst").groupBy(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")).agg(F.count("*").alias("m"))
+    spark = graph.vertices.sparkSession
+    forth, back = F.max((F.col("src") < F.col("dst")).cast("int")), F.max((F.col("src") > F.col("dst")).cast("int"))
+    pairs = graph.edges.groupBy(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")).agg((forth + back).alias("m"))
+    pairs, seen = written(pairs, new_path(spark, "pairs"), loops=F.count(F.when(F.col("m") == 0, 1)))
+    loops, pairs = pairs.where("u = v").select(F.col("u").alias("id")), pairs.where("u < v")
     degrees = pairs.select(F.explode(F.array("u", "v")).alias("id"), "m").groupBy("id").agg(F.count("*").alias("d"), F.sum("m").alias("touching"))
+    degrees, _ = written(degrees, new_path(spark, "degrees"))
     du, dv = (degrees.select(F.col("id").alias(k), F.col("d").alias(f"d{k}")) for k in "uv")
-    ranked = pairs.join(du, "u").join(dv, "v")
     up = F.struct("du", "u") < F.struct("dv", "v")
-    low = ranked.select(
+    low = pairs.join(du, "u").join(dv, "v").select(
         F.when(up, F.col("u")).otherwise(F.col("v")).alias("a"),
         F.when(up, F.col("v")).otherwise(F.col("u")).alias("b"),
         F.when(up, F.col("dv")).otherwise(F.col("du")).alias("d"),
         "m",
     )
+    low, _ = written(low, new_path(spark, "ranked"))
     one, two = (low.select("a", F.col("b").alias(f"b{i}"), F.col("d").alias(f"d{i}"), F.col("m").alias(f"m{i}")) for i in (1, 2))
     wedges = one.join(two, "a").where(F.struct("d1", "b1") < F.struct("d2", "b2"))
     closing = low.select(F.col("a").alias("b1"), F.col("b").alias("b2"), F.col("m").alias("m12"))
     triangles = wedges.join(closing, ["b1", "b2"])
-    per = triangles.select(F.inline(F.array(F.struct(F.col("a").alias("id"), F.col("m12").alias("t")), F.struct(F.col("b1").alias("id"), F.col("m2").alias("t")), F.struct(F.col("b2").alias("id"), F.col("m1").alias("t")))))
-    # loops: one at a neighbour is an edge among neighbours; a vertex's own makes it its own neighbour
-    others = pairs.select(F.col("u").alias("id"), F.col("v").alias("w")).unionAll(pairs.select(F.col("v").alias("id"), F.col("u").alias("w")))
-    looped = others.join(loops.select(F.col("id").alias("w")), "w", "left_semi").select("id", F.lit(1).cast("long").alias("t"))
-    counts = per.unionAll(looped).groupBy("id").agg(F.sum("t").alias("t"))
-    state = graph.vertices.join(degrees, "id", "left").join(counts, "id", "left").join(loops.withColumn("loop", F.lit(1)), "id", "left").na.fill(0, ["d", "touching", "t", "loop"])
+    counts = triangles.select(F.inline(F.array(F.struct(F.col("a").alias("id"), F.col("m12").alias("t")), F.struct(F.col("b1").alias("id"), F.col("m2").alias("t")), F.struct(F.col("b2").alias("id"), F.col("m1").alias("t")))))
+    if seen["loops"]:
+        # one at a neighbour is an edge among neighbours; a vertex's own makes it its own neighbour
+        others = pairs.select(F.col("u").alias("id"), F.col("v").alias("w")).unionAll(pairs.select(F.col("v").alias("id"), F.col("u").alias("w")))
+        counts = counts.unionAll(others.join(loops.select(F.col("id").alias("w")), "w", "left_semi").select("id", F.lit(1).alias("t")))
+    counts = counts.groupBy("id").agg(F.sum("t").alias("t"))
+    state = graph.vertices.join(degrees, "id", "left").join(counts, "id", "left")
+    state = state.join(loops.withColumn("loop", F.lit(1)), "id", "left") if seen["loops"] else state.withColumn("loop", F.lit(0))
+    state = state.na.fill(0, ["d", "touching", "t", "loop"])
     count = F.col("t") + F.col("loop") * (F.col("touching") + 1)
     return state.select("id", P.guarded_ratio(count, F.col("d") + F.col("loop")).alias("lcc"))

@@ -1,66 +1,135 @@
-"""Iteration: supersteps that end in a written table, and the graph kept ready between them."""
+"""Iteration: supersteps of several hops that end in a written table, and edges kept dealt by their source between them."""
 
 from __future__ import annotations
 
-import uuid
+import math
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..storage import shared_dir
+from ..storage import new_path, remove, static_plans, written
+
+HUB = 100_000  # a source with more edges is dealt over several partitions, once that is more than a share of 1 / SHARES of one
+SHARES = 16
+PART_EDGES = 25_000  # fewer edges don't fill a partition: small graphs are dealt over fewer than the session's number
+CHAIN = 5  # steps of fixed-count iterations planned as one job
+MOST_HOPS, CHAIN_ROWS = 10, 1_000_000  # hops of a traversal planned as one job, as long as they are expected to reach no more rows
 
 
 class Supersteps:
-    """Writes each superstep's rows to the shared folder: plans stay short, and lost executors cost one step at most."""
+    """Writes each superstep's rows to the shared folder: plans stay short, and lost executors cost one superstep at most."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.folder = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.folder = new_path(spark, name)
         self.paths: list[str] = []
         self.schema = None
+        self.made = 0
 
-    def write(self, df: DataFrame) -> DataFrame:
-        path = f"{self.folder}/{len(self.paths)}"
-        df.write.parquet(path)
+    def write(self, df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
+        """df as a new table, and the measures taken while it was written."""
+        path = f"{self.folder}/{self.made}"
+        out, seen = written(df, path, **measures)
         self.schema = self.schema or df.schema
         self.paths.append(path)
-        return self.spark.read.schema(self.schema).parquet(path)
+        self.made += 1
+        return out, seen
 
     def all(self) -> DataFrame:
-        """Rows of all supersteps so far."""
+        """Rows of all tables that are there."""
         return self.spark.read.schema(self.schema).parquet(*self.paths)
 
+    def replace(self, df: DataFrame, keep: int = 0) -> DataFrame:
+        """df, made from the tables that are there less the last `keep`, in their place: they are deleted."""
+        cut = len(self.paths) - keep
+        old, rest = self.paths[:cut], self.paths[cut:]
+        self.paths = []
+        out, _ = self.write(df)
+        self.paths += rest
+        for path in old:
+            remove(self.spark, path)
+        return out
+
+    def drop_first(self) -> None:
+        """Deletes the oldest table that is there."""
+        remove(self.spark, self.paths.pop(0))
+
+    def but_last(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*self.paths[:-1])
+
+
+def partitions_for(spark: SparkSession, rows: int) -> int:
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // PART_EDGES)))
+
+
+@dataclass
+class Dealt:
+    """Edges dealt by the vertex that messages leave, and kept; hubs' edges lie under several salts."""
+
+    edges: DataFrame
+    key: str
+    hubs: DataFrame | None
+    measures: dict
+
+    def sends(self, state: DataFrame) -> DataFrame:
+        """state (id, ...), a row per id, joined with the edges of its ids.
+
+        The state is hashed per partition, the edges only stream past it; without hubs a state dealt by id doesn't move.
+        """
+        if self.hubs is None:
+            return state.hint("shuffle_hash").join(self.edges, F.col("id") == F.col(self.key))
+        # one row per hub, fewer than SHARES * partitions * 2 by the limit that makes a hub
+        spread = state.join(F.broadcast(self.hubs), "id", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+        return spread.hint("shuffle_hash").join(self.edges, (F.col("id") == F.col(self.key)) & (F.col("_salt") == F.col("salt")))
+
 
 @contextmanager
-def ready(df: DataFrame, key: str) -> Iterator[DataFrame]:
-    """df dealt by key and kept in memory or on local disk while supersteps join it; lost parts are computed again.
+def dealt(df: DataFrame, key: str = "src", hub: int = HUB, **measures: Column) -> Iterator[Dealt]:
+    """df written once, then dealt by `key` and kept in memory or on local disk; lost parts are read again.
 
-    With the session's own number of partitions, joins on the key move and sort only their other side.
+    No partition gets a hub's edges alone: what leaves a vertex of more than `limit` edges is dealt by salt too.
+    Inside, plans are static and over as many partitions as the edges.
     """
-    kept = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key).sortWithinPartitions(key).persist()
+    spark = df.sparkSession
+    path = new_path(spark, "dealt")
+    rows, seen = written(df, path, _n=F.count("*"), **measures)
+    parts = partitions_for(spark, seen["_n"])
+    limit = max(hub, math.ceil(seen["_n"] / (SHARES * parts)))
+    hubs, by = None, [key]
+    if seen["_n"] > limit:
+        degrees = rows.groupBy(F.col(key).alias("id")).agg(F.count("*").alias("n")).where(F.col("n") > limit)
+        hubs, _ = written(degrees.select("id", F.ceil(F.col("n") / limit).cast("int").alias("salts")), f"{path}-hubs")
+        if hubs.isEmpty():
+            hubs = None
+    if hubs is not None:
+        other = [c for c in df.columns if c != key]
+        salt = F.pmod(F.xxhash64(*other), F.coalesce("salts", F.lit(1))).cast("int")
+        rows = rows.join(F.broadcast(hubs), rows[key] == hubs.id, "left").withColumn("salt", salt).drop("id", "salts")
+        by = [key, "salt"]
+    kept = rows.repartition(parts, *by).persist()
     try:
-        yield kept
+        with static_plans(spark, parts, compiled=seen["_n"] > CHAIN_ROWS):
+            yield Dealt(kept, key, hubs, seen)
     finally:
         kept.unpersist()
+        remove(spark, path)
+        remove(spark, f"{path}-hubs")
 
 
-def repeat(state: DataFrame, step: Callable[[DataFrame], DataFrame], times: int, steps: Supersteps, every: int = 1) -> DataFrame:
-    """A fixed number of steps, one at least, written every so many and at the end."""
+def repeat(state: DataFrame, step: Callable[[DataFrame], DataFrame], times: int, steps: Supersteps, chain: int = CHAIN) -> DataFrame:
+    """A fixed number of steps, one at least; `chain` of them are one job, written at its end over what was before."""
     times = max(1, times)
     for i in range(1, times + 1):
         state = step(state)
-        if i % every == 0 or i == times:
-            state = steps.write(state)
+        if i % chain == 0 or i == times:
+            state = steps.replace(state)
     return state
 
 
-def until_empty(frontier: DataFrame, step: Callable[[DataFrame], DataFrame], most: int | None = None) -> int:
-    """Steps from frontier to frontier until one is empty; returns how many ran."""
-    n = 0
-    while not frontier.isEmpty():
-        if most is not None and n >= most:
-            raise RuntimeError(f"no fix-point after {n} steps")
-        frontier = step(frontier)
-        n += 1
-    return n
+def hops_for(rows: int, before: int, hops: int) -> int:
+    """Hops of the next superstep: as many as keep the rows under CHAIN_ROWS, if they grow as they did in the last one."""
+    growth = max(1.1, rows / max(before, 1)) ** (1 / hops)
+    return max(1, min(MOST_HOPS, int(math.log(max(CHAIN_ROWS / max(rows, 1), 1)) / math.log(growth))))

@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import Graph, MissingRootError, symmetrized
+from .iterate import Dealt
 
 
-def expand_out(frontier: DataFrame, edges: DataFrame) -> DataFrame:
-    """Edges that leave the frontier (id, ...): frontier's columns with dst and the edges' other columns."""
-    return frontier.join(edges, frontier.id == edges.src).drop("src")
+def expand_out(frontier: DataFrame, edges: DataFrame | Dealt) -> DataFrame:
+    """Edges, a table or dealt ones, that leave the frontier (id, ...): frontier's columns with dst and the edges' other columns."""
+    return edges.sends(frontier) if isinstance(edges, Dealt) else frontier.join(edges, frontier.id == edges.src).drop("src")
 
 
 def expand_in(frontier: DataFrame, edges: DataFrame) -> DataFrame:
@@ -23,6 +24,11 @@ def neighbours(edges: DataFrame) -> DataFrame:
     return symmetrized(edges.select("src", "dst"))
 
 
+def neighbour_counts(edges: DataFrame) -> DataFrame:
+    """(src, dst, times): out- and in-neighbours with how often they are."""
+    return neighbours(edges).groupBy("src", "dst").agg(F.count("*").alias("times"))
+
+
 def neighbour_sets(edges: DataFrame) -> DataFrame:
     """(src, dst): out- and in-neighbours as sets."""
     return neighbours(edges).distinct()
@@ -49,10 +55,16 @@ def dangling_sum(ranks: DataFrame) -> DataFrame:
     return ranks.agg(F.coalesce(F.sum(F.when(F.col("degree") == 0, F.col("rank"))), F.lit(0.0)).alias("dangling"))
 
 
-def scatter_add(ranks: DataFrame, edges: DataFrame) -> DataFrame:
-    """(id, sum): what vertices get when each (id, degree, rank) deals its rank evenly to its out-edges."""
-    share = ranks.where("degree > 0").select("id", (F.col("rank") / F.col("degree")).alias("share"))
-    return expand_out(share, edges.select("src", "dst")).groupBy(F.col("dst").alias("id")).agg(F.sum("share").alias("sum"))
+def shares(edges: DataFrame) -> DataFrame:
+    """(src, dst, share): the part of a vertex's rank that goes along its edges to each target, parallel ones together."""
+    pairs = edges.groupBy("src", "dst").agg(F.count("*").alias("times"))
+    degrees = edges.groupBy("src").agg(F.count("*").alias("degree"))
+    return pairs.join(degrees, "src").select("src", "dst", (F.col("times") / F.col("degree")).alias("share"))
+
+
+def scatter_add(ranks: DataFrame, edges: DataFrame | Dealt) -> DataFrame:
+    """(id, sum): what vertices get when each (id, rank) deals its rank over edges (src, dst, share)."""
+    return expand_out(ranks, edges).groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("rank") * F.col("share")).alias("sum"))
 
 
 def affine_apply(vertices: DataFrame, sums: DataFrame, scale: float, offset: Column) -> DataFrame:
@@ -65,22 +77,42 @@ def scatter_min(state: DataFrame, edges: DataFrame, value: str) -> DataFrame:
     return expand_out(state.select("id", value), edges.select("src", "dst")).groupBy(F.col("dst").alias("id")).agg(F.min(value).alias(value))
 
 
-def relax(frontier: DataFrame, edges: DataFrame) -> DataFrame:
-    """(id, distance): the least distance + weight over the edges that leave (id, distance)."""
-    found = expand_out(frontier.select("id", "distance"), edges)
-    return found.groupBy(F.col("dst").alias("id")).agg(F.min(F.col("distance") + F.col("weight")).alias("distance"))
+def star_step(links: DataFrame) -> DataFrame:
+    """Links (a, b), a > b, contracted: first each a to the least neighbour of its b, then each b of an a to the least of them."""
+    low = links.groupBy(F.col("a").alias("c")).agg(F.min("b").alias("m"))
+    large = links.join(low, links.b == low.c, "left").select("a", F.coalesce("m", "b").alias("b"))
+    low = large.groupBy("a").agg(F.min("b").alias("m"))
+    small = large.join(low, "a").select(F.inline(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))))
+    return small.where("a <> b").distinct()
+
+
+def relax(frontier: DataFrame, edges: DataFrame | Dealt, value: str = "distance", last: bool = False) -> DataFrame:
+    """(id, value): the least value + weight over the edges that leave (id, value); an edge without weight adds nothing.
+
+    With `last` also front: whether the value is less than what came along the edge without weight, if one did.
+    """
+    sums = F.col(value) + F.coalesce("weight", F.lit(0))
+    by = expand_out(frontier, edges).groupBy(F.col("dst").alias("id"))
+    if not last:
+        return by.agg(F.min(sums).alias(value))
+    was = F.max(F.when(F.col("weight").isNull(), F.col(value)))
+    return by.agg(F.min(sums).alias(value), was.alias("was")).select("id", value, F.coalesce(F.col(value) < F.col("was"), F.lit(True)).alias("front"))
 
 
 def improved(candidates: DataFrame, state: DataFrame, value: str) -> DataFrame:
-    """Candidates (id, value) less than what the state has, or new to it."""
+    """Candidates (id, value, ...) less than what the state has, or new to it."""
     old = state.select("id", F.col(value).alias("_old"))
-    return candidates.join(old, "id", "left").where(F.col("_old").isNull() | (F.col(value) < F.col("_old"))).select("id", value)
+    return candidates.join(old, "id", "left").where(F.col("_old").isNull() | (F.col(value) < F.col("_old"))).select(*candidates.columns)
+
+
+def least(states: DataFrame, value: str) -> DataFrame:
+    """(id, value): the least value of each id."""
+    return states.groupBy("id").agg(F.min(value).alias(value))
 
 
-def label_histogram(labels: DataFrame, both: DataFrame) -> DataFrame:
-    """(id, label, n): labels (id, label) among each vertex's neighbours (src, dst)."""
-    votes = both.join(labels, both.dst == labels.id).select(both.src.alias("id"), "label")
-    return votes.groupBy("id", "label").agg(F.count("*").alias("n"))
+def label_histogram(labels: DataFrame, both: DataFrame | Dealt) -> DataFrame:
+    """(id, label, n): labels (id, label) that each vertex's neighbours send over edges (src, dst, times) to dst."""
+    return expand_out(labels, both).groupBy(F.col("dst").alias("id"), "label").agg(F.sum("times").alias("n"))
 
 
 def most_frequent(histogram: DataFrame) -> DataFrame:

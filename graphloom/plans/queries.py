@@ -12,24 +12,24 @@ from ..functions.formatting import result_lines
 from ..model import Graph
 from ..operators import algorithms as A
 from ..operators import primitives as P
-from ..storage import staged
+from ..sources.files import convert, read_text_graph, write_result, write_text_graph
+from ..storage import new_path, staged
 from . import oracles
-from .fixtures import graph, root
+from .fixtures import FIXTURES, graph, root
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def on(name: str, f: Callable[[Graph], DataFrame]) -> Query:
-    return lambda spark, sf_dir: f(graph(spark, sf_dir, name))
+def derived(g: Graph) -> Graph:
+    """The graph written once, for algorithms, which read it more than once."""
+    return Graph(staged(g.vertices, "vertices"), staged(g.edges, "edges"), g.directed, g.name)
 
 
-def _derived(g: Graph) -> Graph:
-    """The graph with its edges derived once, for queries that read them more than once."""
-    return Graph(g.vertices, staged(g.edges, "edges"), g.directed, g.name)
+def on(name: str, f: Callable[[Graph], DataFrame]) -> Query:
+    return lambda spark, sf_dir: f(graph(spark, sf_dir, name))
 
 
 def _levels(g: Graph) -> DataFrame:
-    g = _derived(g)
     return A.bfs(g, root(g)).select("id", F.coalesce("level", F.lit(oracles.UNREACHED)).alias("level"))
 
 
@@ -42,50 +42,41 @@ def _lcc(g: Graph) -> DataFrame:
 
 
 def _distances(g: Graph) -> DataFrame:
-    g = _derived(g)
     return A.sssp(g, root(g)).select("id", F.round("distance", 4).alias("distance"))
 
 
-QUERIES: dict[str, Query] = {
-    **{f"bfs_{g}": on(g, _levels) for g in ("flow", "users", "coorder")},
-    **{f"pr_{g}": on(g, _ranks) for g in ("flow", "users")},
-    "pr_flow_d50_i5": on("flow", lambda g: _ranks(g, damping=0.5, iterations=5)),
-    **{f"wcc_{g}": on(g, A.wcc) for g in ("flow", "users", "coorder")},
-    **{f"cdlp_{g}": on(g, A.cdlp) for g in ("flow", "coorder")},
-    "cdlp_flow_isolated_first": on("flow", lambda g: A.cdlp(g, isolated="first")),
-    **{f"lcc_{g}": on(g, _lcc) for g in ("flow", "users", "coorder")},
-    **{f"sssp_{g}": on(g, _distances) for g in ("flow", "users")},
-    "wcc_component_sizes": on("flow", lambda g: A.wcc(g).groupBy("component").agg(F.count("*").alias("size"))),
-    "cdlp_label_sizes": on("coorder", lambda g: A.cdlp(g).groupBy("label").agg(F.count("*").alias("size"))),
-}
-ORACLES: dict[str, str] = {
-    **{f"bfs_{g}": oracles.bfs(g) for g in ("flow", "users", "coorder")},
-    **{f"pr_{g}": oracles.pr(g) for g in ("flow", "users")},
-    "pr_flow_d50_i5": oracles.pr("flow", 0.5, 5),
-    **{f"wcc_{g}": oracles.wcc(g) for g in ("flow", "users", "coorder")},
-    **{f"cdlp_{g}": oracles.cdlp(g) for g in ("flow", "coorder")},
-    "cdlp_flow_isolated_first": oracles.cdlp("flow", isolated="(SELECT min(id) FROM v)"),
-    **{f"lcc_{g}": oracles.lcc(g) for g in ("flow", "users", "coorder")},
-    **{f"sssp_{g}": oracles.sssp(g) for g in ("flow", "users")},
-    "wcc_component_sizes": oracles.wcc_sizes("flow"),
-    "cdlp_label_sizes": oracles.cdlp_sizes("coorder"),
+#: whole algorithms: name to graph, what runs, oracle
+ALGORITHMS: dict[str, tuple[str, Callable[[Graph], DataFrame], str]] = {
+    **{f"bfs_{g}": (g, _levels, oracles.bfs(g)) for g in FIXTURES},
+    **{f"pr_{g}": (g, _ranks, oracles.pr(g)) for g in FIXTURES},
+    "pr_flow_d50_i5": ("flow", lambda g: _ranks(g, damping=0.5, iterations=5), oracles.pr("flow", 0.5, 5)),
+    **{f"wcc_{g}": (g, A.wcc, oracles.wcc(g)) for g in FIXTURES},
+    **{f"cdlp_{g}": (g, A.cdlp, oracles.cdlp(g)) for g in FIXTURES},
+    "cdlp_flow_isolated_first": ("flow", lambda g: A.cdlp(g, isolated="first"), oracles.cdlp("flow", isolated="(SELECT min(id) FROM v)")),
+    **{f"lcc_{g}": (g, _lcc, oracles.lcc(g)) for g in FIXTURES},
+    **{f"sssp_{g}": (g, _distances, oracles.sssp(g)) for g in FIXTURES},
+    "wcc_component_sizes": ("flow", lambda g: A.wcc(g).groupBy("component").agg(F.count("*").alias("size")), oracles.wcc_sizes("flow")),
+    "cdlp_label_sizes": ("coorder", lambda g: A.cdlp(g).groupBy("label").agg(F.count("*").alias("size")), oracles.cdlp_sizes("coorder")),
 }
+QUERIES: dict[str, Query] = {k: on(g, lambda g, f=f: f(derived(g))) for k, (g, f, _) in ALGORITHMS.items()}
+ORACLES: dict[str, str] = {k: sql for k, (_, _, sql) in ALGORITHMS.items()}
 
 
 # --- primitives ---------------------------------------------------------------------------------------
 
 
-def _start(g: Graph) -> DataFrame:
-    return g.vertices.where("id % 7 = 0")
-
-
 def _first_ranks(g: Graph) -> DataFrame:
     """A rank of 1 / (1 + id) for every vertex, so that sums differ."""
     return P.out_degrees(g).withColumn("rank", 1.0 / (1 + F.col("id")))
 
 
 def _state(g: Graph) -> DataFrame:
-    return g.vertices.where("id % 3 = 0").select("id", (F.col("id") * 10.0).alias("distance"))
+    """A distance of every vertex, so that some edges make it less and some don't."""
+    return P.initial_state(g.vertices, "distance", F.col("id") * 10.0)
+
+
+def _sources(g: Graph) -> DataFrame:
+    return P.out_degrees(g).where("degree > 0")
 
 
 def _labels(g: Graph) -> DataFrame:
@@ -93,12 +84,12 @@ def _labels(g: Graph) -> DataFrame:
 
 
 def _histogram(g: Graph) -> DataFrame:
-    return P.label_histogram(_labels(g), P.neighbours(g.edges))
+    return P.label_histogram(_labels(g), P.neighbour_counts(g.edges))
 
 
-START = "f AS (SELECT id FROM v WHERE id % 7 = 0)"
 RANKS = "k AS (SELECT v.id, count(e.src) AS degree, 1.0::DOUBLE / (1 + v.id) AS rank FROM v LEFT JOIN e ON e.src = v.id GROUP BY v.id)"
-STATE = "s AS (SELECT id, id * 10.0::DOUBLE AS distance FROM v WHERE id % 3 = 0)"
+STATE = "s AS (SELECT id, id * 10.0::DOUBLE AS distance FROM v)"
+SOURCES = "k AS (SELECT src AS id, count(*) AS degree, min(weight) AS least FROM e GROUP BY src)"
 RELAXED = "x AS (SELECT e.dst AS id, min(s.distance + e.weight) AS distance FROM s JOIN e ON e.src = s.id GROUP BY e.dst)"
 HISTOGRAM = "h AS (SELECT b.s AS id, b.d % 10 AS label, count(*) AS n FROM (SELECT src AS s, dst AS d FROM e UNION ALL SELECT dst, src FROM e) b GROUP BY 1, 2)"
 SETS = "b AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e)"
@@ -109,19 +100,19 @@ PRIMITIVES: dict[str, tuple[str, Callable[[Graph], DataFrame], str, str]] = {
     "in_degree": ("flow", P.in_degrees, "", "SELECT v.id, count(e.dst) AS degree FROM v LEFT JOIN e ON e.dst = v.id GROUP BY v.id"),
     "symmetrize": ("flow", lambda g: P.neighbours(g.edges), "", "SELECT src, dst FROM e UNION ALL SELECT dst, src FROM e"),
     "neighbor_set": ("flow", lambda g: P.neighbour_sets(g.edges), "", "SELECT src, dst FROM e UNION SELECT dst, src FROM e"),
-    "frontier_expand": ("flow", lambda g: P.expand_out(_start(g), g.edges.select("src", "dst")), START, "SELECT f.id, e.dst FROM f JOIN e ON e.src = f.id"),
-    "frontier_expand_in": ("flow", lambda g: P.expand_in(_start(g), g.edges.select("src", "dst")), START, "SELECT f.id, e.src FROM f JOIN e ON e.dst = f.id"),
+    "frontier_expand": ("flow", lambda g: P.expand_out(g.vertices, g.edges.select("src", "dst")), "", "SELECT src AS id, dst FROM e"),
+    "frontier_expand_in": ("flow", lambda g: P.expand_in(g.vertices, g.edges.select("src", "dst")), "", "SELECT dst AS id, src FROM e"),
     "visit_once": (
         "flow",
-        lambda g: P.unvisited(P.expand_out(_start(g), g.edges).select(F.col("dst").alias("id")), _start(g)),
-        START,
-        "SELECT DISTINCT e.dst AS id FROM f JOIN e ON e.src = f.id WHERE e.dst NOT IN (SELECT id FROM f)",
+        lambda g: P.unvisited(P.expand_out(_sources(g).select("id"), g.edges).select(F.col("dst").alias("id")), _sources(g)),
+        "",
+        "SELECT DISTINCT dst AS id FROM e WHERE dst NOT IN (SELECT src FROM e)",
     ),
     "dangling_sum": ("flow", lambda g: P.dangling_sum(_first_ranks(g)).select(F.round("dangling", 10).alias("dangling")), RANKS, "SELECT round(coalesce(sum(rank), 0), 10) AS dangling FROM k WHERE degree = 0"),
-    "pr_scatter": ("flow", lambda g: P.scatter_add(_first_ranks(g), g.edges).select("id", F.round("sum", 10).alias("sum")), RANKS, "SELECT e.dst AS id, round(sum(k.rank / k.degree), 10) AS sum FROM k JOIN e ON e.src = k.id GROUP BY e.dst"),
+    "pr_scatter": ("flow", lambda g: P.scatter_add(_first_ranks(g), P.shares(g.edges)).select("id", F.round("sum", 10).alias("sum")), RANKS, "SELECT e.dst AS id, round(sum(k.rank / k.degree), 10) AS sum FROM k JOIN e ON e.src = k.id GROUP BY e.dst"),
     "pr_apply": (
         "flow",
-        lambda g: P.affine_apply(g.vertices, P.scatter_add(_first_ranks(g), g.edges), 0.85, F.lit(0.15)).select("id", F.round("rank", 10).alias("rank")),
+        lambda g: P.affine_apply(g.vertices, P.scatter_add(_first_ranks(g), P.shares(g.edges)), 0.85, F.lit(0.15)).select("id", F.round("rank", 10).alias("rank")),
         RANKS,
         "SELECT v.id, round(0.15 + 0.85 * coalesce(x.s, 0), 10) AS rank FROM v LEFT JOIN (SELECT e.dst AS id, sum(k.rank / k.degree) AS s FROM k JOIN e ON e.src = k.id GROUP BY e.dst) x ON x.id = v.id",
     ),
@@ -133,7 +124,7 @@ PRIMITIVES: dict[str, tuple[str, Callable[[Graph], DataFrame], str, str]] = {
         "flow",
         lambda g: P.improved(P.relax(_state(g), g.edges), _state(g), "distance").select("id", F.round("distance", 4).alias("distance")),
         f"{STATE}, {RELAXED}",
-        "SELECT x.id, round(x.distance, 4) AS distance FROM x LEFT JOIN s ON s.id = x.id WHERE s.distance IS NULL OR x.distance < s.distance",
+        "SELECT x.id, round(x.distance, 4) AS distance FROM x LEFT JOIN s ON s.id = x.id WHERE x.distance < s.distance",
     ),
     "intersect_count": (
         "coorder",
@@ -149,7 +140,7 @@ PRIMITIVES: dict[str, tuple[str, Callable[[Graph], DataFrame], str, str]] = {
     ),
     "init_state": ("flow", lambda g: P.initial_state(g.vertices, "component", F.col("id")), "", "SELECT id, id AS component FROM v"),
     "root_lookup": ("flow", lambda g: P.require_vertex(g.vertices, root(g)), "", "SELECT min(src) AS id FROM e"),
-    "unreachable_default": ("flow", lambda g: P.with_default(g.vertices, _state(g), "distance", F.lit(-1.0)), STATE, "SELECT v.id, coalesce(s.distance, -1.0)::DOUBLE AS distance FROM v LEFT JOIN s ON s.id = v.id"),
+    "unreachable_default": ("flow", lambda g: P.with_default(g.vertices, _sources(g), "degree", F.lit(-1)), SOURCES, "SELECT v.id, coalesce(k.degree, -1)::BIGINT AS degree FROM v LEFT JOIN k ON k.id = v.id"),
     "edge_weights": ("flow", lambda g: g.edges.select("src", "dst", F.round("weight", 4).alias("weight")), "", "SELECT src, dst, round(weight, 4) AS weight FROM e"),
     "edges_undirected": ("coorder", lambda g: g.edges.select("src", "dst"), "", "SELECT src, dst FROM e"),
 }
@@ -159,20 +150,47 @@ PRIMITIVES: dict[str, tuple[str, Callable[[Graph], DataFrame], str, str]] = {
 FORMS: dict[str, tuple[str, Callable[[Graph], DataFrame], str, str]] = {
     "fmt_bfs": (
         "flow",
-        lambda g: result_lines(P.with_default(g.vertices, g.vertices.where("id % 3 = 0").select("id", F.pmod("id", F.lit(5)).alias("level")), "level", F.lit(None).cast("long")), "level"),
-        "",
-        f"SELECT id, id || ' ' || CASE WHEN id % 3 = 0 THEN id % 5 ELSE {oracles.UNREACHED} END AS line FROM v",
+        lambda g: result_lines(P.with_default(g.vertices, _sources(g).withColumnRenamed("degree", "level"), "level", F.lit(None).cast("long")), "level"),
+        SOURCES,
+        f"SELECT v.id, v.id || ' ' || coalesce(k.degree, {oracles.UNREACHED}) AS line FROM v LEFT JOIN k ON k.id = v.id",
     ),
     "fmt_sssp": (
         "flow",
-        lambda g: result_lines(P.with_default(g.vertices, g.vertices.where("id % 3 = 0").select("id", (F.col("id") / 4.0).alias("distance")), "distance", F.lit(None).cast("double")), "distance"),
-        "",
-        "SELECT id, id || ' ' || CASE WHEN id % 3 = 0 THEN format('{:.15e}', id / 4.0::DOUBLE) ELSE 'infinity' END AS line FROM v",
+        lambda g: result_lines(P.with_default(g.vertices, g.edges.groupBy(F.col("src").alias("id")).agg(F.min("weight").alias("distance")), "distance", F.lit(None).cast("double")), "distance"),
+        SOURCES,
+        "SELECT v.id, v.id || ' ' || CASE WHEN k.id IS NULL THEN 'infinity' ELSE format('{:.15e}', k.least::DOUBLE) END AS line FROM v LEFT JOIN k ON k.id = v.id",
     ),
     "fmt_scientific": ("flow", lambda g: result_lines(g.vertices.select("id", (F.col("id") / 64.0).alias("rank")), "rank"), "", "SELECT id, id || ' ' || format('{:.15e}', id / 64.0::DOUBLE) AS line FROM v"),
     "result_lines": ("flow", lambda g: result_lines(A.wcc(g), "component"), "", ""),
 }
-for _name, (_g, _f, _more, _select) in {**PRIMITIVES, **FORMS}.items():
+
+
+def _reread(g: Graph) -> Graph:
+    """The graph written as text files and read back."""
+    path = new_path(g.vertices.sparkSession, "text")
+    return read_text_graph(g.vertices.sparkSession, *write_text_graph(g, path), weighted=True)
+
+
+def _converted(g: Graph) -> Graph:
+    return convert(g, new_path(g.vertices.sparkSession, "converted"))
+
+
+def _written_lines(g: Graph) -> DataFrame:
+    """Result lines as a text sink holds them."""
+    spark, path = g.vertices.sparkSession, new_path(g.vertices.sparkSession, "lines")
+    write_result(P.out_degrees(g).withColumnRenamed("degree", "label"), "label", path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+_EDGES = "SELECT src, dst, weight::DOUBLE AS weight FROM e"
+SOURCES_AND_SINKS: dict[str, tuple[str, Callable[[Graph], DataFrame], str, str]] = {
+    "text_vertices": ("users", lambda g: _reread(g).vertices, "", "SELECT id FROM v"),
+    "text_edges": ("flow", lambda g: _reread(g).edges, "", _EDGES),
+    "text_edges_undirected": ("coorder", lambda g: _reread(g).edges, "", _EDGES),
+    "converted_scan": ("flow", lambda g: _converted(g).edges, "", _EDGES),
+    "written_lines": ("flow", _written_lines, "", "SELECT v.id || ' ' || count(e.src) AS line FROM v LEFT JOIN e ON e.src = v.id GROUP BY v.id"),
+}
+for _name, (_g, _f, _more, _select) in {**PRIMITIVES, **FORMS, **SOURCES_AND_SINKS}.items():
     QUERIES[_name] = on(_g, _f)
     ORACLES[_name] = oracles.over(_g, _select, _more) if _select else oracles._wcc(_g) + " SELECT id, id || ' ' || component AS line FROM result"
 

@@ -41,9 +41,12 @@ def read_text_graph(spark: SparkSession, vertices: str, edges: str, directed: bo
 
 
 def convert(graph: Graph, path: str) -> Graph:
-    """Writes the loaded form, edges dealt by source, over what was there, and returns it as read from there."""
+    """Writes the loaded form, edges in ranges of (source, target), over what was there, and returns it as read from there.
+
+    A vertex with many edges may stretch over several ranges, so no file or task has to hold them all.
+    """
     graph.vertices.write.mode("overwrite").parquet(f"{path}/vertices")
-    graph.edges.repartition("src").sortWithinPartitions("src").write.mode("overwrite").parquet(f"{path}/edges")
+    graph.edges.repartitionByRange("src", "dst").sortWithinPartitions("src", "dst").write.mode("overwrite").parquet(f"{path}/edges")
     return read_converted(graph.vertices.sparkSession, path, graph.directed, graph.name)
 
 
@@ -52,6 +55,14 @@ def read_converted(spark: SparkSession, path: str, directed: bool = True, name:
     return Graph(spark.read.parquet(f"{path}/vertices"), spark.read.parquet(f"{path}/edges"), directed, name)
 
 
+def write_text_graph(graph: Graph, path: str) -> tuple[str, str]:
+    """Writes `<id>` and `<src> <dst>[ <weight>]` lines into two folders and returns their paths."""
+    graph.vertices.select(F.col("id").cast("string")).write.mode("overwrite").text(f"{path}/vertices")
+    names = ["src", "dst", *(["weight"] if graph.weighted else [])]
+    graph.edges.select(F.concat_ws(" ", *[F.col(c).cast("string") for c in names])).write.mode("overwrite").text(f"{path}/edges")
+    return f"{path}/vertices", f"{path}/edges"
+
+
 def write_result(result: DataFrame, value: str, path: str | None) -> bool:
     """Writes `<id> <value>` lines; False, and nothing written, without a path."""
     if not path:

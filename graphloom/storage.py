@@ -2,26 +2,37 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where none is named."""
+    """The folder that the cluster names in spark.checkpoint.dir.
+
+    Where none is named, a temporary one serves a local master, whose executors share the driver's disk; on a
+    cluster they wouldn't, so there it raises.
+    """
     have = spark.sparkContext.getCheckpointDir()
     if have:
         return have
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
     return spark.sparkContext.getCheckpointDir()
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None) -> DataFrame:
     """df written as Parquet in the shared folder and read back: executors can be lost afterwards."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -29,10 +40,12 @@ def staged(df: DataFrame, name: str = "stage", partition_by: list[str] | None =
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner delete the shuffle files of data frames that are no longer referenced."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def written(df: DataFrame, path: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """df written to a path and read back, with aggregates that were taken while it was written (no further job)."""
+    seen = Observation()
+    watched = df.observe(seen, *[c.alias(k) for k, c in measures.items()]) if measures else df
+    watched.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get if measures else {}
 
 
 def remove(spark: SparkSession, path: str) -> bool:
@@ -40,3 +53,20 @@ def remove(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     return fs.exists(p) and fs.delete(p, True)
+
+
+@contextmanager
+def static_plans(spark: SparkSession, partitions: int, compiled: bool) -> Iterator[None]:
+    """Plans run as they were planned, as one job, over that many shuffle partitions; where few rows are known to come, interpreted.
+
+    For chains of many shuffles whose sizes are known and whose partitions are even by construction.
+    """
+    names = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(partitions), "spark.sql.codegen.wholeStage": str(compiled).lower()}
+    was = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)

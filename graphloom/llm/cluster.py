@@ -3,31 +3,10 @@
 from __future__ import annotations
 
 import gc
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where none is named."""
-    have = spark.sparkContext.getCheckpointDir()
-    if have:
-        return have
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
-    return spark.sparkContext.getCheckpointDir()
-
-
-def staged(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None) -> DataFrame:
-    """df written as Parquet in the shared folder and read back: executors can be lost afterwards."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    writer = df.write.option("compression", "zstd")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+from pyspark.sql import SparkSession
+
+from ..storage import new_path, remove, shared_dir, staged  # noqa: F401
 
 
 def width(spark: SparkSession) -> int:

@@ -2,13 +2,15 @@
 
 Every committed batch is one folder with signed entries per document and their sums by
 source, language and tokenizer version.  Totals are the sums of all batches' sums, so
-they never need the texts again.  A folder appears by one rename: a batch that is
-committed twice, or whose job is repeated, counts once.
+they never need the texts again.  A batch counts from when its marker, a small file written last
+and never over another, names its folder: a batch that is committed twice, or whose job is
+repeated, counts once, on object stores too.  Compaction sums up the batches so far in one folder.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import re
 import uuid
 from collections.abc import Callable
@@ -16,23 +18,28 @@ from dataclasses import dataclass
 from pathlib import Path
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .cluster import shared_dir
+from .cluster import new_path, remove
 from .textops import chunks
 
 TOKENIZERS = "/opt/tokenizers"
 # Fixed value: how byte-level BPE of this family splits text.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+LONG = 10_000  # white space of so many characters is cut off where PATTERN splits, and counted as the one piece it is
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # fixed value: characters that \s stands for in PATTERN
+_GAP = re.compile(f"[{_SPACE}]{{{LONG},}}")
+
 _KEYS = ["source", "lang", "tokenizer"]
 _SUMS = ["n_docs", "n_tokens", "n_chars"]
 _ENTRY = "doc_id long, source string, lang string, tokenizer string, n_docs long, n_tokens long, n_chars long"
 
 
 def bpe_counter(name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> Callable[[], Callable[[list[str]], list[int]]]:
-    """Counts tokens of texts under a vocabulary of ranks; the file is read here and travels with the job."""
+    """Counts tokens of whole texts of any length under a vocabulary of ranks; the file is read here and travels with the job."""
     raw = (Path(folder) / f"{name}.tiktoken").read_bytes()
 
     def make():
@@ -40,7 +47,17 @@ def bpe_counter(name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> Callabl
 
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}
         coder = tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        return lambda texts: [len(coder.encode_ordinary(t)) for t in texts]
+
+        def count(text: str) -> int:
+            """Long white space up to its last character is one piece; the pattern would step back through all of it, in a stack that has an end."""
+            total, at = 0, 0
+            for m in _GAP.finditer(text) if len(text) >= LONG else ():
+                end = m.end() if m.end() == len(text) else m.end() - 1
+                total += len(coder.encode_ordinary(text[at : m.start()])) + len(coder._encode_single_piece(text[m.start() : end]))
+                at = end
+            return total + len(coder.encode_ordinary(text[at:]))
+
+        return lambda texts: [count(t) for t in texts]
 
     return make
 
@@ -72,22 +89,61 @@ class TokenRollup:
     folder: str
     counters: dict[str, Callable]
 
-    def _fs(self, path: str):
+    def _mark(self, name: str, **content) -> bool:
+        """Writes a marker; False if there is one of that name."""
         jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
-    def _batches(self) -> list[str]:
-        fs, root = self._fs(f"{self.folder}/batches")
-        return sorted(s.getPath().toString() for s in fs.listStatus(root)) if fs.exists(root) else []
+        p = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/markers/{name}")
+        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        try:
+            out = fs.create(p, False)
+        except Py4JJavaError:
+            if fs.exists(p):
+                return False
+            raise
+        out.write(bytearray(json.dumps(content).encode()))
+        out.close()
+        return True
 
-    def _read(self, kind: str) -> DataFrame | None:
-        paths = [f"{b}/{kind}" for b in self._batches()]
+    def _state(self) -> tuple[list[str], set[str], int]:
+        """Folders that count, ids of all committed batches, and compactions so far."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/markers")
+        if not p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p):
+            return [], set(), 0
+        rows = self.spark.read.option("wholetext", "true").text(f"{self.folder}/markers").collect()  # one small row a batch
+        marks = [json.loads(r.value) for r in rows if r.value]
+        bases = [m for m in marks if "covers" in m]
+        base = max(bases, key=lambda m: m["number"], default={"covers": [], "number": 0})
+        covered = set(base["covers"])
+        loose = [m for m in marks if "covers" not in m]
+        return [*([base["path"]] if bases else []), *(m["path"] for m in loose if m["id"] not in covered)], {m["id"] for m in loose}, base["number"]
+
+    def _read(self, kind: str, folders: list[str] | None = None) -> DataFrame | None:
+        paths = [f"{self.folder}/{b}/{kind}" for b in (self._state()[0] if folders is None else folders)]
         return self.spark.read.schema(_ENTRY if kind == "entries" else _ENTRY.partition(", ")[2]).parquet(*paths) if paths else None
 
     def committed(self, batch_id: str) -> bool:
-        fs, path = self._fs(f"{self.folder}/batches/{batch_id}")
-        return fs.exists(path)
+        return batch_id in self._state()[1]
+
+    def _write(self, entries: DataFrame) -> str:
+        path = f"data/{uuid.uuid4().hex}"
+        entries.write.option("compression", "zstd").parquet(f"{self.folder}/{path}/entries")
+        done = self.spark.read.schema(_ENTRY).parquet(f"{self.folder}/{path}/entries")
+        done.groupBy(*_KEYS).agg(*[F.sum(c).alias(c) for c in _SUMS]).write.parquet(f"{self.folder}/{path}/sums")
+        return path
+
+    def compact(self) -> bool:
+        """Sums up all batches in one folder, entries that cancel out left out; False if there is one folder or another compaction came first."""
+        paths, ids, number = self._state()
+        if len(paths) < 2:
+            return False
+        have = self._read("entries", paths).groupBy("doc_id", *_KEYS).agg(*[F.sum(c).alias(c) for c in _SUMS]).where("n_docs <> 0")
+        path = self._write(have.select("doc_id", *_KEYS, *_SUMS))
+        if not self._mark(f"base-{number + 1}", path=path, covers=sorted(ids), number=number + 1):
+            remove(self.spark, f"{self.folder}/{path}")
+            return False
+        for old in paths:
+            remove(self.spark, f"{self.folder}/{old}")
+        return True
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
         """Applies a batch of changes (op, doc_id, source, lang, text); False if this batch was committed before.
@@ -108,17 +164,10 @@ class TokenRollup:
             ids = changes.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
             old = have.join(ids, "doc_id", "left_semi").groupBy("doc_id", *_KEYS).agg(*[(-F.sum(c)).alias(c) for c in _SUMS]).where("n_docs <> 0")
             new = new.unionAll(old)
-        temp = f"{self.folder}/pending/{uuid.uuid4().hex}"
-        new.write.option("compression", "zstd").parquet(f"{temp}/entries")
-        done = self.spark.read.schema(_ENTRY).parquet(f"{temp}/entries")
-        done.groupBy(*_KEYS).agg(*[F.sum(c).alias(c) for c in _SUMS]).write.parquet(f"{temp}/sums")
-        fs, root = self._fs(f"{self.folder}/batches")
-        fs.mkdirs(root)
-        (_, source), (_, target) = self._fs(temp), self._fs(f"{self.folder}/batches/{batch_id}")
-        if fs.exists(target) or not fs.rename(source, target):
-            fs.delete(source, True)
+        path = self._write(new)
+        if not self._mark(f"batch-{batch_id}", id=batch_id, path=path):
+            remove(self.spark, f"{self.folder}/{path}")
             return False
-        fs.delete(self._fs(f"{target.toString()}/{source.getName()}")[1], True)  # a rename into a folder made meanwhile
         return True
 
     def totals(self) -> DataFrame:
@@ -129,17 +178,30 @@ class TokenRollup:
         return sums.groupBy(*_KEYS).agg(*[F.sum(c).alias(c) for c in _SUMS]).where("n_docs <> 0")
 
 
-def token_totals(docs: DataFrame, counters: dict[str, Callable], batches: int = 2) -> DataFrame:
-    """Totals of a whole table, committed as `batches` batches of inserts, the first one twice.
+def token_totals(docs: DataFrame, counters: dict[str, Callable]) -> DataFrame:
+    """Totals of a whole table, committed as two batches of inserts, the first one twice, with changes that cancel out.
+
+    The second batch also deletes a 32nd of the documents of the first; a third inserts these again and revises
+    a 32nd of those of the second; then the batches are compacted.
 
     Null sources and languages are groups of their own, null and empty texts count as documents
     without tokens, repeated rows all count; other columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    rollup = TokenRollup(spark, f"{shared_dir(spark)}/token-rollup-{uuid.uuid4().hex}", counters)
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(batches))
-    for i in [*range(batches), 0]:
-        rollup.commit(f"load-{i}", docs.where(part == i).select(F.lit("insert").alias("op"), "doc_id", "source", "lang", "text"))
+    rollup = TokenRollup(spark, new_path(spark, "token-rollup"), counters)
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(64))  # a document's rows are in one part
+    rows = docs.select("doc_id", "source", "lang", "text")
+    change = lambda op, which: rows.where(which).select(F.lit(op).alias("op"), "*")
+    known = F.col("doc_id").isNotNull()
+    first, gone, again = part < 32, known & (part == 0), known & (part == 32)
+    load = {
+        "load-0": change("insert", first),
+        "load-1": change("insert", ~first).unionAll(rows.where(gone).select(F.lit("delete").alias("op"), "doc_id", "source", "lang", F.lit(None).cast("string"))),
+        "load-2": change("insert", gone).unionAll(change("revise", again)),
+    }
+    for name, batch in [*load.items(), ("load-0", load["load-0"])]:
+        rollup.commit(name, batch)
+    rollup.compact()
     return rollup.totals()
 
 

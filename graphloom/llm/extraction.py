@@ -48,10 +48,36 @@ class Page:
 
     parent: list[int] = field(default_factory=lambda: [-1])
     tag: list[str] = field(default_factory=lambda: [""])
-    path: list[str] = field(default_factory=lambda: [""])
+    path: list[int] = field(default_factory=lambda: [0])  # of the nearest container; 0: none
+    names: list[tuple[int, str]] = field(default_factory=lambda: [(-1, "")])  # of each path: the path above and its own tag with classes
+    known: dict[tuple[int, str], int] = field(default_factory=dict)
     apart: list[bool] = field(default_factory=lambda: [False])
     pieces: list[tuple[int, int, str, bool]] = field(default_factory=list)
 
+    def path_below(self, path: int, name: str) -> int:
+        """A path's number: deep pages hold each step once."""
+        at = self.known.get((path, name))
+        if at is None:
+            at = self.known[(path, name)] = len(self.names)
+            self.names.append((path, name))
+        return at
+
+    def written(self, path: int) -> str:
+        steps = []
+        while path:
+            path, name = self.names[path]
+            steps.append(name)
+        return "".join(f">{x}" for x in reversed(steps))
+
+    def number(self, written: str) -> int | None:
+        """The number of a written path, None if the page has no such."""
+        path = 0
+        for name in written.split(">")[1:]:
+            path = self.known.get((path, name))
+            if path is None:
+                return None
+        return path
+
 
 def _attributes(raw: str) -> dict[str, str]:
     out: dict[str, str] = {}
@@ -87,6 +113,7 @@ def _set_apart(page: Page, named: dict[int, int]) -> None:
 def parse(text: str) -> Page:
     """Lenient one-pass parse: unclosed, stray and cut-off tags are no errors."""
     page, stack, at, block = Page(), [0], 0, 0
+    open_at: dict[str, list[int]] = {}  # places on the stack of the open elements of each tag
     named: dict[int, int] = {}
     n = len(text)
     links = 0
@@ -98,8 +125,12 @@ def parse(text: str) -> Page:
     def close(depth: int) -> None:
         nonlocal links
         while len(stack) > depth:
-            if page.tag[stack.pop()] == "a":
-                links -= 1
+            tag = page.tag[stack.pop()]
+            open_at[tag].pop()
+            links -= tag == "a"
+
+    def nearest(tags: frozenset[str] | set[str]) -> int:
+        return max((open_at[t][-1] for t in tags if open_at.get(t)), default=0)
 
     while at < n:
         m = _MARKUP.search(text, at)
@@ -114,22 +145,17 @@ def parse(text: str) -> Page:
         if tag in BLOCKS:
             block += 1
         if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if page.tag[stack[i]] == tag:
-                    close(i)
-                    break
+            if open_at.get(tag):
+                close(open_at[tag][-1])
             continue
         if tag == "br" or tag in ("td", "th"):
             put(" ")
         if tag in CLOSES_P or tag in PEERS:
             ends, scope = ({"p"}, CONTAINERS | {"table"}) if tag not in PEERS else (PEERS[tag] | {"p"}, SCOPES[tag])
-            for i in range(len(stack) - 1, 0, -1):
+            while (i := nearest(ends)) and i > nearest(scope):
                 t = page.tag[stack[i]]
-                if t in ends:
-                    close(i)
-                    if t != "p":
-                        break
-                elif t in scope:
+                close(i)
+                if t != "p":
                     break
         attrs = _attributes(m[3]) if "=" in m[3] else {}
         names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
@@ -143,8 +169,8 @@ def parse(text: str) -> Page:
                 named[len(page.tag)] = how
         path = page.path[above]
         if tag in CONTAINERS:
-            kinds = sorted({_DIGITS.sub("#", c.lower()) for c in attrs.get("class", "").split()})
-            path = f"{path}>{'.'.join([tag, *kinds])}"
+            kinds = sorted({_DIGITS.sub("#", c.lower()) for c in attrs.get("class", "").replace(">", "_").split()})
+            path = page.path_below(path, ".".join([tag, *kinds]))
         page.parent.append(above)
         page.tag.append(tag)
         page.path.append(path)
@@ -155,6 +181,7 @@ def parse(text: str) -> Page:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(text, at)
             at = end.end() if end else n
             continue
+        open_at.setdefault(tag, []).append(len(stack))
         stack.append(len(page.tag) - 1)
         links += tag == "a"
     if named:
@@ -175,16 +202,19 @@ def best_path(page: Page) -> str:
     for i in range(1, len(own)):
         if page.tag[i] in CONTAINERS and not page.apart[i] and own[i] >= total - STRAY and 2 * own[i] > total:
             best = i  # a later one that qualifies lies inside: two shares above one half can't stand side by side
-    return page.path[best]
+    return page.written(page.path[best])
 
 
 def text_at(page: Page, path: str) -> str | None:
     """Text of the containers at a path, blocks joined by an empty line; None if the page has no such container."""
     inside = [False] * len(page.tag)
-    found = path == ""
+    at = page.number(path)
+    if at is None:
+        return None
+    found = at == 0
     inside[0] = found
     for i in range(1, len(inside)):
-        hit = page.tag[i] in CONTAINERS and page.path[i] == path and not page.apart[i]
+        hit = page.tag[i] in CONTAINERS and page.path[i] == at and not page.apart[i]
         found |= hit
         inside[i] = hit or inside[page.parent[i]]
     if not found:
@@ -231,7 +261,7 @@ def extracted(pages: DataFrame) -> DataFrame:
     comments; by class or id only if the whole name says so and the part doesn't hold most of the text), character references decoded, white space inside a block one space,
     blocks in page order joined by an empty line.
 
-    Null and empty pages have an empty text and no vote; pages without a host vote
+    Pages of any length and depth are read whole, in linear time.  Null and empty pages have an empty text and no vote; pages without a host vote
     together.  Repeated rows each get a row; other columns are ignored; an empty table gives no rows.
     """
     # Hosts are looked up for small rows; pages themselves are dealt by page, not by host, which may hold a third of them.

@@ -19,6 +19,7 @@ RADIUS = 4
 SHINGLE = 4
 BLOCK = 2048
 PAIR_COST, ENTRY_COST = 1.0, 60.0
+SAMPLED = 2048  # fingerprints whose pairs tell how far apart pairs are in a group of bits; only costs are estimated from them
 _ONE = np.uint64(1)
 
 
@@ -102,15 +103,19 @@ def bit_partitions(n: int, both: np.ndarray, m: int) -> list[list[int]]:
     return groups
 
 
-def within(p: np.ndarray, most: int) -> np.ndarray:
-    """P(two fingerprints differ in <= t of these bits), t = 0..most, bits taken as independent."""
-    dist = np.zeros(most + 1)
-    dist[0] = 1
-    for x in p:
-        d = 2 * x * (1 - x)
-        dist[1:] = dist[1:] * (1 - d) + dist[:-1] * d
-        dist[0] *= 1 - d
-    return np.cumsum(dist)
+def sampled(reps: DataFrame, most: int = SAMPLED) -> np.ndarray:
+    """The fingerprints of the smallest hashes, `most` at most."""
+    rows = reps.select("fingerprint").orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(most).collect()
+    return np.array([r.fingerprint for r in rows], np.int64).view(np.uint64)
+
+
+def within(bits: list[int], most: int, sample: np.ndarray) -> np.ndarray:
+    """Share of the sample's pairs that differ in <= t of these bits, t = 0..most; half a pair at least."""
+    mask = np.uint64(sum(1 << b for b in bits))
+    times = np.zeros(65, np.int64)
+    for i in range(1, len(sample)):
+        times += np.bincount(np.bitwise_count((sample[:i] ^ sample[i]) & mask), minlength=65)
+    return np.cumsum(np.maximum(times[: most + 1], [0.5] + [0] * most)) / max(times.sum(), 1)
 
 
 def allocate(cost: list[list[float]], radius: int) -> tuple[float, list[int]]:
@@ -129,15 +134,17 @@ def allocate(cost: list[list[float]], radius: int) -> tuple[float, list[int]]:
     return best[top]
 
 
-def plan(n: int, both: np.ndarray, radius: int = RADIUS) -> list[tuple[list[int], int]]:
-    """Groups of bits and the threshold of each: if two fingerprints differ in <= radius bits, then in some group in <= its threshold."""
-    p = np.diag(both) / max(n, 1)
+def plan(n: int, both: np.ndarray, sample: np.ndarray, radius: int = RADIUS) -> list[tuple[list[int], int]]:
+    """Groups of bits and the threshold of each: if two fingerprints differ in <= radius bits, then in some group in <= its threshold.
+
+    Bits of a group go together, so how many pairs meet in it is counted on sampled fingerprints.
+    """
     found = []
     for m in range(1, radius + 2):
         groups = bit_partitions(n, both, m)
         cost = []
         for g in groups:
-            near = within(p[g], radius)
+            near = within(g, radius, sample)
             cost.append([0.0] + [PAIR_COST * n * (n - 1) / 2 * near[t] + ENTRY_COST * n * comb(len(g), t) for t in range(radius + 1)])
         c, thresholds = allocate(cost, radius)
         found.append((c, m, [(g, t) for g, t in zip(groups, thresholds) if t >= 0]))
@@ -236,7 +243,7 @@ def groups_of(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataF
     """(fingerprint, part): each fingerprint once, with the smallest one that it is linked to."""
     reps = staged(fps.select("fingerprint").distinct().withColumn("rep", F.col("fingerprint")), "reps")
     n, both = bit_moments(reps)
-    parts = connected_components(links(reps, plan(n, both, radius), radius, block))
+    parts = connected_components(links(reps, plan(n, both, sampled(reps), radius), radius, block))
     return staged(reps.join(parts, reps.rep == parts.id, "left").select("fingerprint", F.coalesce("component", "rep").alias("part")), "groups")
 
 
@@ -248,7 +255,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     thresholds sum to radius - groups + 1, so two fingerprints within the radius
     meet under some probe.  All pairs that meet are verified on the whole fingerprint.
 
-    Null and empty texts have fingerprint 0 and link like any other.  A text
+    Texts of any length are read whole; null and empty ones have fingerprint 0 and link like any other.  A text
     with fewer words than a shingle is one shingle.  Equal texts are compared once.
     Rows without doc_id link, but name no component unless all its ids are null; a repeated doc_id gives
     one row per repetition.  Other columns are ignored, an empty table gives no rows.

@@ -1,15 +1,18 @@
-"""A corpus pipeline: toxicity, near-duplicates, decontamination, secrets, mix."""
+"""A corpus pipeline: toxicity, near-duplicates, decontamination, secrets, mix.
 
-from __future__ import annotations
+Null and empty texts are documents like others (they are near-duplicates of each other).  Of rows that repeat, with one
+doc_id or several, the near-duplicate stage keeps one.  Rows without doc_id are judged by their texts as others are.
+An empty table gives no rows at any stage.
+"""
 
-import uuid
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm.cluster import shared_dir
+from graphloom.llm.cluster import new_path, remove
 from graphloom.llm.decontamination import decontaminated
-from graphloom.llm.mixing import mixed
+from graphloom.llm.mixing import taken_documents
 from graphloom.llm.secrets import redacted
 from graphloom.llm.simhash import without_near_duplicates
 from graphloom.llm.toxicity import without_toxic
@@ -37,8 +40,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: documents that it takes, with the words taken and the virtual finish time of the first copy."""
-    return mixed(docs).where("taken > 0").select("doc_id", "source", "size", "source_size", "target", "taken", "finish")
+    """The mix: documents that it takes, texts and all, with the words taken and the virtual finish time of the first copy."""
+    return taken_documents(docs)
 
 
 STAGES = [
@@ -54,10 +57,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other, each result written as Parquet in the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages one after the other, each result written as Parquet in the shared folder and read again.
+
+    A stage's table is deleted when the next one is written; the last stays.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for i, (_, stage) in enumerate(STAGES):
-        path = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}/{i}"
+        path = new_path(spark, f"pipeline-{i}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs

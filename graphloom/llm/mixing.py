@@ -54,8 +54,8 @@ def source_targets(totals: DataFrame, weights: tuple[float, ...] = WEIGHTS, repe
     return filled.select("source", "source_size", "start", target.alias("target"))
 
 
-def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken, finish) of every row.
+def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: int = REPEATS, row: str | None = None) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken, finish) of every row, and its column `row`, a number, if one is named.
 
     size is the number of words; the documents of a source are shuffled by MD5 of their id and
     queued, up to `repeats` times over.  A copy's virtual finish time is the source's
@@ -64,27 +64,39 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: int =
     the words of a document's copies inside the budget; finish is the first copy's time.
 
     Null texts have size 0.  A null source is a source.  Rows with equal or null ids
-    each count for themselves, in an order given by (MD5, id, size).  An empty table gives
+    each count for themselves, in an order given by (MD5, id, size, hash of the text).  Texts of any length are counted whole.  An empty table gives
     no rows; if all sizes are 0, targets and taken are 0.  Other columns are ignored.
     """
+    own = [] if row is None else [row]
     key = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long")
-    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")).withColumn("key", key)
+    sized = docs.select(*own, F.xxhash64("text").alias("hash"), F.col("doc_id").cast("long").alias("doc_id"), "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")).withColumn("key", key)
     sized = staged(sized, "sized")
     targets = staged(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, repeats), "targets")
-    order = [F.col("source").asc_nulls_last(), F.col("key").asc(), F.col("doc_id").asc_nulls_first(), F.col("size").asc()]
+    order = [F.col("source").asc_nulls_last(), F.col("key").asc(), F.col("doc_id").asc_nulls_first(), F.col("size").asc(), F.col("hash").asc()]
     queued = running_sums(sized, order, {"rank": F.lit(1), "upto": F.col("size")})
     t = targets.withColumnRenamed("source", "_source")
     queued = queued.join(t, queued.source.eqNullSafe(t._source)).drop("_source")
     copies = queued.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
     finish = F.when(F.col("target") > 0, (F.col("copy") * F.col("source_size") + F.col("upto") - F.col("start")) / F.col("target")).otherwise(F.lit(0.0))
-    copies = copies.select("rank", "doc_id", "source", "size", "source_size", "target", "copy", finish.alias("finish"))
+    copies = copies.select("rank", *own, "doc_id", "source", "size", "source_size", "target", "copy", finish.alias("finish"))
     budget = sized.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     sent = running_sums(copies, [F.col("finish"), F.col("rank"), F.col("copy")], {"sent": F.col("size")})
-    return sent.groupBy("rank", "doc_id", "source", "size", "source_size", "target").agg(
+    return sent.groupBy("rank", *own, "doc_id", "source", "size", "source_size", "target").agg(
         F.sum(F.when(F.col("sent") <= budget, F.col("size")).otherwise(0)).alias("taken"), F.min("finish").alias("finish")
     ).drop("rank")
 
 
+def taken_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
+    """The rows of docs that the mix takes, with all their columns and size, source_size, target, taken and finish (of that name they are replaced)."""
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "rows")  # written, so that a row keeps its number
+    more = ["size", "source_size", "target", "taken", "finish"]
+    mix = mixed(rows, weights, repeats, row).where("taken > 0").select(row, *more)
+    return rows.drop(*more).join(mix, row).drop(row)
+
+
 def op9_mix_sources(spark, sf_dir: str) -> DataFrame:
     return mixed(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "size", "source_size", "target", "taken")
 

@@ -110,10 +110,34 @@ def test_token_rollup(spark, tmp_path):
     assert roll.commit("b2", second) and not roll.commit("b2", second)
     got = {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens, r.n_chars) for r in roll.totals().collect()}
     assert got == {("s", "de", "v1"): (2, 3, 4), ("s", "de", "v2"): (2, 4, 4), ("t", "en", "v1"): (1, 1, 1), ("t", "en", "v2"): (1, 1, 1)}
+    assert roll.compact() and not roll.compact() and not roll.commit("b1", first)
+    assert {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens, r.n_chars) for r in roll.totals().collect()} == got
+    assert len(list((tmp_path / "roll" / "data").iterdir())) == 1 and roll._read("entries").where("n_docs < 0").count() == 0
+    assert roll.commit("b3", spark.createDataFrame([("delete", 1, None, None, None), ("revise", 3, "u", "de", "q")], change)) and roll.committed("b3")
+    assert roll._read("entries").where("n_docs < 0").count() == 4
+    last = {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens) for r in roll.totals().collect()}
+    assert last == {("u", "de", "v1"): (1, 1), ("u", "de", "v2"): (1, 1), ("t", "en", "v1"): (1, 1), ("t", "en", "v2"): (1, 1)}
     with pytest.raises(ValueError):
         roll.commit("../x", first)
 
 
+@pytest.mark.skipif(not Path(tokencounts.TOKENIZERS, "byte_bpe_50k.tiktoken").exists() or not Path("/root/testdata/sf0.001").exists(), reason="vocabulary and tables needed")
+def test_token_query_by_brute_force(spark):
+    """The whole query against a loop over the rows."""
+    want = Counter()
+    count = tokencounts.bpe_counter()()
+    for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect():
+        key = (r.source, r.lang, "byte_bpe_50k")
+        want[(key, 0)] += 1
+        want[(key, 1)] += count([r.text or ""])[0]
+        want[(key, 2)] += len(r.text or "")
+    got = Counter()
+    for r in tokencounts.op1_token_counts(spark, "/root/testdata/sf0.001").collect():
+        for i, n in enumerate((r.n_docs, r.n_tokens, r.n_chars)):
+            got[((r.source, r.lang, r.tokenizer), i)] += n
+    assert got == want
+
+
 def test_token_totals(spark):
     rows = [(1, "a b", "en", "s"), (1, "a b", "en", "s"), (2, None, None, None), (3, "", "en", "s")]
     got = {(r.source, r.lang): (r.n_docs, r.n_tokens) for r in tokencounts.token_totals(frame(spark, rows, tokenizer="x", op="delete"), {"v": by_length}).collect()}
@@ -126,6 +150,22 @@ def test_bpe_round_trip():
     assert tokencounts.bpe_counter()()(["", "hello world", "é" * 3, "<|endoftext|>"])[:2] == [0, 2]
 
 
+@pytest.mark.skipif(not Path(tokencounts.TOKENIZERS, "byte_bpe_50k.tiktoken").exists(), reason="vocabulary needed")
+def test_bpe_of_long_white_space(monkeypatch):
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, Path(tokencounts.TOKENIZERS, "byte_bpe_50k.tiktoken").read_bytes().splitlines())}
+    coder = tiktoken.Encoding("x", pat_str=tokencounts.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    count = tokencounts.bpe_counter()()
+    r = random.Random(3)
+    texts = ["".join(r.choice([" ", "\n", "\t", "\xa0", "\u2003", "a", "é", "1", ".", "'s", " x", "\x1c"]) * r.choice([1, 1, 2, 9, 30]) for _ in range(60)) for _ in range(200)] + ["a" + " " * 50_000 + "b", "\n" * 20_000]
+    monkeypatch.setattr(tokencounts, "LONG", 5)
+    monkeypatch.setattr(tokencounts, "_GAP", re.compile(f"[{tokencounts._SPACE}]{{5,}}"))
+    assert count(texts) == [len(coder.encode_ordinary(t)) for t in texts]
+    monkeypatch.undo()
+    assert all(x > 0 for x in count([" " * 1_000_000, "a" * 1_000_000, "x \n" * 300_000, "word" + "\n" * 1_000_000 + " end", "é" * 500_000]))
+
+
 # --- 2 embeddings ---------------------------------------------------------------------------------------
 
 
@@ -380,7 +420,8 @@ def test_index_batches_and_compaction(spark):
     df = frame(spark, rows, "doc_id long, text string")
     index = substrings.WindowIndex.sized_for(df)
     claims = [index.add(df.where(F.col("doc_id") == i)).collect() for i in range(8)]
-    assert len(index.runs) <= substrings.MAX_RUNS + 1
+    assert index.runs <= substrings.MAX_RUNS and index.made > 8
+    index.close()
     assert [len(c) for c in claims] == [0] + [1] * 7
     assert all(c[0].src == c[0].doc - 1 and c[0].words == 30 for c in claims[1:])
 
@@ -395,6 +436,35 @@ def test_hot_anchors_are_dealt_by_window(spark, monkeypatch):
     assert got == brute_repeats(rows)
 
 
+def test_windows_of_equal_hash(spark, monkeypatch):
+    """Hashes cut to a few bits: most claims fail, and what repeats all the same is found by the words."""
+    whole = substrings.groups_of
+
+    def short(batch):
+        g = whole(batch)
+        return substrings.Groups(g.anchor & np.uint64(3), g.doc, g.pos, g.cnt, g.wins & np.uint64(7))
+
+    monkeypatch.setattr(substrings, "groups_of", short)
+    monkeypatch.setattr(substrings, "ASKS", 50)
+    shared = words(30, 9)
+    rows = [(i, " ".join(words(30, 40 + i) + (shared[: 14 + i % 9] if i % 3 else []) + words(15, 90 + i % 11))) for i in range(40)]
+    df = frame(spark, rows, "doc_id long, text string")
+    got = {r.doc_id: [(r.n_words, r.n_removed, r.kept_sha256)] for r in substrings.without_repeats(df, 3).collect()}
+    assert got == brute_repeats(rows)
+
+
+def test_history_does_not_move(spark):
+    df = frame(spark, [(i, " ".join(words(60, i))) for i in range(30)], "doc_id long, text string")
+    index = substrings.WindowIndex.sized_for(df)
+    index.add(df.where("doc_id < 20"))
+    old = index._rows(2).select(*substrings._NAMES)
+    new = substrings._pieces(df.where("doc_id >= 20"), False).mapInArrow(substrings._map(index.buckets, index.hot), substrings._ROW)
+    plan = new.groupBy("bucket").cogroup(old.groupBy("bucket")).applyInArrow(substrings._merge(True, index.buckets), substrings._ROW)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    index.close()
+    assert text.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in text
+
+
 # --- 6 extraction ---------------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var x="</p>"</script></head><body class=home><nav><ul><li><a href=/>Menu</a></ul></nav>
@@ -444,6 +514,19 @@ def test_extract_wrappers_hold_the_article(kind):
     assert extraction.extract(f"<body>{body}{comments}") == "the story of the page in many words\n\nits market share"
 
 
+def test_parse_is_linear():
+    import time
+
+    begin = time.time()
+    deep = "<div class=a1>" * 60_000 + "text"
+    assert extraction.extract(deep) == "text" and extraction.extract(deep, extraction.best_path(extraction.parse(deep))) == "text"
+    assert extraction.extract("<b>" * 20_000 + "</i>" * 40_000 + "x") == "x"
+    assert extraction.extract("<table><tr><td><p>" + "<td>" + "<b>" * 8000 + "<div>y</div>" * 8000).count("y") == 8000
+    assert len(extraction.extract("<article><p>" + "many words " * 100_000)) == 1_099_999
+    assert extraction.extract("<p>a<li>b</p>" * 20_000).count("a") == 20_000
+    assert time.time() - begin < 60
+
+
 def test_parse_survives_anything():
     for t in ["<", "<p", "</", "<!--", "<a b='", "</p></p></div>", "<b><i></b></i>", "<" * 500, "<p>" * 3000, "<a href=\"" * 50, "&#x110000;&bogus;", "<td>a<td>b", "\x00<p>\x00"]:
         extraction.extract(t)
@@ -503,6 +586,30 @@ def test_battery_is_calibrated(spark):
     assert all(p[300 + i] < 1e-4 for i in range(len(bad)))
 
 
+def test_secrets_in_long_texts(spark):
+    import time
+
+    r = random.Random(5)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    many = " é ".join("".join(r.choice(letters) for _ in range(24)) for _ in range(16_000)) + " password=abc123def"
+    texts = ["".join(r.choice(letters) for _ in range(1_000_000)), many, "secret: hunter22 " * 60_000, " " * 1_000_000, "x" * 1_000_000]
+    begin = time.time()
+    df = frame(spark, list(enumerate(texts)))
+    got = {x.doc_id: x for x in secrets.with_spans(df).collect()}
+    took = time.time() - begin
+    assert [tuple(s) for s in got[0].spans] == [(0, 3, 1_000_000)] and len(got[2].base) == 60_000 and got[3].spans == []
+    assert [tuple(s) for s in got[1].base] == brute_base(many) and len(got[1].spans) > 15_000
+    for x in (got[1], got[2]):
+        assert all(re.fullmatch(r"[A-Za-z0-9+/]{24}|password=abc123def|secret: hunter22", texts[x.doc_id][s.start : s.end]) for s in x.spans)
+    clean = {x.doc_id: x.text for x in secrets.redacted(df).collect()}
+    assert clean[0] == "[SECRET]" and clean[2] == "[SECRET] " * 60_000
+    spans, want, at = got[1].spans, [], 0
+    for s in spans:
+        want += [many[at : s.start], "[SECRET]"]
+        at = s.end
+    assert clean[1] == "".join([*want, many[at:]]) and took < 100, took
+
+
 # --- 8 decontamination ----------------------------------------------------------------------------------
 
 
@@ -556,11 +663,48 @@ def test_decontamination(spark):
 def test_blocks_find_all_within_radius():
     r = np.random.default_rng(2)
     own = r.integers(0, 2**64, 40, dtype=np.uint64)
-    items = decontamination.Items(list(range(40)), [9] * 40, [], np.zeros(0, np.uint64), {9: list(range(40))}, own)
+    none = np.zeros(0, np.int64)
+    items = decontamination.Items(list(range(40)), [0] * 40, [9] * 40, b"", none, none, np.zeros(0, np.uint64), {9: (np.arange(40), own, decontamination._block_tables(own))})
     flips = np.array([sum(1 << int(k) for k in r.choice(64, int(n), replace=False)) for n in r.integers(10, 40, 400)], np.uint64)
     probe = own[r.integers(0, 40, 400)] ^ flips
     want = {(i, j) for i in range(400) for j in range(40) if int(np.bitwise_count(probe[i] ^ own[j])) <= decontamination.RADIUS}
     assert set(items.within(9, probe)) == want and len(want) > 100
+    assert sum(decontamination.THRESHOLDS) == decontamination.RADIUS - decontamination.BLOCKS + 1
+
+
+def test_similar_windows_lie_within_the_radius():
+    """Pairs of windows of 12 to 200 words with similarity 0.8 or more, at its lower end mostly: none is beyond the radius."""
+    r, far, n = random.Random(5), [], 0
+    for seed in range(3000):
+        size = r.randrange(12, 200)
+        a = words(size, seed, 4000)
+        b = list(a)
+        for _ in range(max(1, int(size * r.choice([0.01, 0.02, 0.022])))):
+            k, how = r.randrange(len(b)), r.randrange(3)
+            b[k : k + 1] = [["x"], [], [b[k], "y"]][how]
+        x, y = (Counter(tuple(t[p : p + 5]) for p in range(len(t) - 4)) for t in (a, b))
+        if decontamination._similarity(x, y) >= 0.8:
+            prints = []
+            for t in (a, b):
+                w = textops.split_words(pa.array([" ".join(t)]))
+                g = textops.window_hashes(textops.word_hashes(w), np.arange(len(t) - 4), 5)
+                prints.append(decontamination._fingerprints(g, np.zeros(1, np.int64), len(g))[0])
+            far.append(int(np.bitwise_count(prints[0] ^ prints[1])))
+            n += 1
+    assert n > 1500 and max(far) <= decontamination.RADIUS - 2
+    print("pairs", n, "mean", np.mean(far), "deviation", np.std(far), "most", max(far))
+
+
+def test_benchmark_in_passes(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "ITEM_BYTES", 200)
+    items = [(j, " ".join(words(20, 40 + j, 2000))) for j in range(6)]
+    docs = [(i, " ".join(words(50, 700 + i, 2000)) + " " + items[i][1]) for i in range(6)] + [(9, " ".join(words(50, 1, 2000)))]
+    d, b = frame(spark, docs, "doc_id long, text string"), frame(spark, items, "item_id long, text string")
+    assert len(list(decontamination.item_passes(b, 200))) > 2
+    passes = decontamination.item_passes
+    monkeypatch.setattr(decontamination, "item_passes", lambda x: passes(x, 200))
+    assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(d, b).collect()} == {(i, i) for i in range(6)}
+    assert [r.doc_id for r in decontamination.decontaminated(d, b).collect()] == [9]
 
 
 # --- 9 mixing -------------------------------------------------------------------------------------------
@@ -627,7 +771,7 @@ def test_plan_is_complete():
     bits = np.unpackbits(fp.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(float)
     for n, m in ((500, None), (10**7, None), (10**9, None), (500, 3)):
         both = bits.T @ bits * n / 500
-        groups = simhash.plan(n, both) if m is None else [(g, t) for g, t in zip(simhash.bit_partitions(n, both, m), (1, 0, 1))]
+        groups = simhash.plan(n, both, fp) if m is None else [(g, t) for g, t in zip(simhash.bit_partitions(n, both, m), (1, 0, 1))]
         assert sorted(b for g, _ in groups for b in g) == sorted(set(b for g, _ in groups for b in g))
         masks = simhash.probe_masks(groups)
         a = fp[:200]

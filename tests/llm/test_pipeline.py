@@ -70,7 +70,22 @@ def test_stages(spark, folder):
     con.execute("CREATE TABLE d (doc_id BIGINT, source VARCHAR, text VARCHAR)")
     con.executemany("INSERT INTO d VALUES (?, ?, ?)", [(r.doc_id, r.source, r.text) for r in now.values()])
     want = {i: k for i, *_, k in con.execute(mixing.mix_sql("d")).fetchall() if k}
-    assert {r.doc_id: r.taken for r in stage[4](spark, four, path).collect()} == want
+    five = {r.doc_id: r for r in stage[4](spark, four, path).collect()}
+    assert {i: r.taken for i, r in five.items()} == want and all(tuple(r)[:5] == tuple(now[i]) for i, r in five.items())
+
+
+def test_run_of_empty_table_and_null_ids(spark, folder, tmp_path):
+    path, _ = folder
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{path}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    text = " ".join(words(60, 77, 3000))
+    frame(spark, [(None, text, "en", "s", 1), (None, text, "en", None, 1), (None, None, None, None, None), (7, "", "en", "s", 0), (8, text.replace("w", "W"), "en", "s", 1)]).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), "")
+    assert {r.doc_id for r in kept.collect()} == {7, 8}
+    assert [r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()] == [8]
 
 
 def test_near_duplicates_without_or_with_repeated_ids(spark):

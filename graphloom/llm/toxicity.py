@@ -5,7 +5,9 @@
    of possible letters; the Viterbi path under that model restores them.  Others with a sign, separator, mask or
    doubled letter, and runs of single characters, may also stay as they are; if they don't, both readings count.
 3. Restored texts are scored by words and word beginnings whose presence in labelled documents
-   goes with the label by more than chance.
+   goes with the label by more than chance: the three strongest of the whole text, and its length.
+
+Texts of any length are read whole, in time that grows with their length.
 """
 
 from __future__ import annotations
@@ -17,17 +19,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .cluster import staged
-from .textops import _BYTE, _BYTE_BASE, _powers, chunks, fmix64, split_words, string_bytes, window_hashes, word_hashes
+from .textops import _BYTE, _BYTE_BASE, Words, _powers, chunks, fmix64, split_words, string_bytes, window_hashes, word_hashes
 
 LABELLED = 20_000  # labelled documents learned from, at most: those with the smallest hashes of doc_id
 FOLDS = 5
 PREFIXES = (4, 5, 6, 7)
-LEXICON = 200_000  # kept features at most, the strongest first
 
 # What a sign may stand for, and the log-probabilities of the channel's edits.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
@@ -75,34 +77,51 @@ def letter_model(docs: DataFrame) -> np.ndarray:
     return np.log(p3).astype(np.float32)
 
 
-def restore(token: str, model: np.ndarray, keep: bool = False) -> str:
+def _edits(ch: str, keep: bool) -> list[tuple[str, int, float]]:
+    """What a character may stand for: letters (none: it is left out), their code and the log-probability of the edit."""
+    if ch == " ":
+        return [(" ", 0, 0.0), ("", 0, DROP_SPACE)]
+    code = _code(ch)
+    if ch in LEET:
+        out = [(x, _code(x), SWAP) for x in LEET[ch]]
+    elif code:
+        return [(ch, code, 0.0)]
+    else:
+        out = [("", 0, DROP_SIGN if ch in SEPARATORS else 2 * SWAP)]
+    if keep and not code:
+        out.append((ch, 0, 0.0))
+        if ch == MASK:
+            out += [(x, _code(x), MASKED) for x in ANY]
+    return out
+
+
+_EDITS: dict[tuple[str, bool], list[tuple[str, int, float]]] = {}
+
+
+def restore(token: str, model, keep: bool = False) -> str:
     """The likeliest letters behind a disguised token (lower case); spaces may stay or go, with `keep` signs too; then masks may hide letters."""
     states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     before = ""
     for ch in token:
-        options: list[tuple[str, float]] = []
-        if ch == " ":
-            options = [(" ", 0.0), ("", DROP_SPACE)]
-        elif ch in LEET:
-            options = [(x, SWAP) for x in LEET[ch]]
-        elif _code(ch):
-            options = [(ch, 0.0)]
-        else:
-            options = [("", DROP_SIGN if ch in SEPARATORS else 2 * SWAP)]
-        if keep and ch != " " and not _code(ch):
-            options.append((ch, 0.0))
-            if ch == MASK:
-                options += [(x, MASKED) for x in ANY]
-        if ch == before and ch != " ":
-            options.append(("", DROP_SAME))
+        options = _EDITS.get((ch, keep))
+        if options is None:
+            options = _edits(ch, keep)
+            if len(_EDITS) < 100_000:
+                _EDITS[(ch, keep)] = options
         new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (s, path) in states.items():
-            for x, cost in options:
-                key, t, way = ((a, b), s + cost, path) if not x else ((b, _code(x)), s + cost + float(model[a, b, _code(x)]), (path, x))
-                if key not in new or t > new[key][0]:
-                    new[key] = (t, way)
+            row = model[a][b]
+            for x, code, cost in options:
+                if x:
+                    key, t = (b, code), s + cost + row[code]
+                    if key not in new or t > new[key][0]:
+                        new[key] = (t, (path, x))
+                elif (a, b) not in new or s + cost > new[(a, b)][0]:
+                    new[(a, b)] = (s + cost, path)
+            if ch == before and ch != " " and ((a, b) not in new or s + DROP_SAME > new[(a, b)][0]):
+                new[(a, b)] = (s + DROP_SAME, path)
         states, before = new, ch
-    _, path = max(((s + float(model[a, b, 0]), path) for (a, b), (s, path) in states.items()), key=lambda x: x[0])
+    _, path = max(((s + model[a][b][0], path) for (a, b), (s, path) in states.items()), key=lambda x: x[0])
     out: list[str] = []
     while path is not None:
         path, x = path
@@ -124,6 +143,8 @@ _SINGLES = re.compile(rf"(?<!\w){_UNIT}(?:\s+{_UNIT}){{2,}}(?=[^\w\s]*(?:\s|$))"
 _EDGES = re.compile(rf"^[^\w{_SIGNS}]+|[^\w{_SIGNS}]+$")
 _MAYBE = re.compile(rf"({_L})\1|[\W\d_]")  # in a token with a letter: may be disguised
 _LETTER = re.compile(_L)
+_DOUBLED = re.compile(r"(.)\1")
+_PLAIN_EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in LEET and c != "_")
 _SPACED = re.compile(rf"(?:^|(?<=\s)){_L}(?: {_L}){{2,}}(?=\s|$)")
 
 _IS_LETTER = np.zeros(256, bool)
@@ -133,29 +154,59 @@ _IS_GAP = np.zeros(256, bool)
 _IS_GAP[[32, 9, 10, 11, 12, 13, 28, 29, 30, 31]] = True
 
 
-def _suspects(data: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Rows that may hold a disguised token: all but those of plain words of ASCII letters, none of them doubled or alone."""
+def _odd_words(data: np.ndarray, off: np.ndarray) -> tuple[Words, np.ndarray, np.ndarray]:
+    """Words; those that may be disguised: with anything but ASCII letters, or a doubled one; and words of one character that may stand in a run of such."""
     n = len(data)
-    hit = ~(_IS_LETTER[data] | _IS_GAP[data]) | (data >= 128)
+    gap = _IS_GAP[data]
+    word = ~gap
+    st, en = word.copy(), word.copy()
+    st[1:] &= gap[:-1]
+    en[:-1] &= gap[1:]
+    some = off[:-1] < off[1:]
+    st[off[:-1][some]] = word[off[:-1][some]]
+    en[off[1:][some] - 1] = word[off[1:][some] - 1]
+    starts, ends = np.flatnonzero(st), np.flatnonzero(en) + 1
+    w = Words(data, starts, ends, np.searchsorted(starts, off))
+    odd = word & (~_IS_LETTER[data] | (data >= 128))
     if n > 1:
-        hit[1:] |= _IS_LETTER[data[1:]] & (data[1:] | 32 == data[:-1] | 32)
-    start = np.zeros(n + 1, bool)
-    start[off[:-1]] = True
-    before, after = np.ones(n, bool), np.ones(n, bool)
-    before[1:] = _IS_GAP[data[:-1]] | start[1:n]
-    after[:-1] = _IS_GAP[data[1:]] | start[1:n]
-    hit |= _IS_LETTER[data] & before & after
-    count = np.concatenate([[0], np.cumsum(hit)])
-    return np.flatnonzero(count[off[1:]] > count[off[:-1]])
+        odd[1:] |= _IS_LETTER[data[1:]] & (data[1:] | 32 == data[:-1] | 32)
+    odd[starts] &= ~_IS_LETTER[data[starts]] | (data[starts] >= 128)  # a first letter repeats none
+    count = np.concatenate([[0], np.cumsum(odd)])
+    flag = count[ends] > count[starts]
+    lone, first, last = _lone(data, starts, ends)
+    near = np.zeros(len(starts), bool)
+    if len(starts) > 2:
+        near[1:-1] = lone[1:-1] & last[:-2] & first[2:]
+    return w, flag, near
+
+
+def _lone(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of one character; words whose first, and whose last character no letter or digit follows or precedes (non-ASCII ones may be either)."""
+    lead = (data & 0xC0) != 0x80
+    chars = np.concatenate([[0], np.cumsum(lead)])
+    one = chars[ends] - chars[starts] == 1
+    plain = np.zeros(256, bool)
+    plain[48:58] = plain[65:91] = plain[97:123] = True
+    second, before = data[np.minimum(starts + 1, len(data) - 1)] if len(data) else data, data[np.maximum(ends - 2, 0)] if len(data) else data
+    return one, one | ~plain[second], one | ~plain[before]
+
+
+def _suspects(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Rows that may hold a disguised token."""
+    w, flag, near = _odd_words(data, off)
+    return np.unique(np.searchsorted(w.first, np.flatnonzero(flag | near), side="right") - 1)
 
 
 class Readings(dict):
     """Tokens (lower case, without white space) and how they are read: disguised ones restored, others that may be with what they may mean before them."""
 
-    def __init__(self, model: np.ndarray) -> None:
+    def __init__(self, model) -> None:
         self.model = model
 
     def __missing__(self, token: str) -> str:
+        core = token.strip(_PLAIN_EDGES)
+        if (core.isascii() and core.isalpha() and not _DOUBLED.search(core)) or not _LETTER.search(token):
+            return token
         if DISGUISED.search(token):
             out = restore(token, self.model)
         else:
@@ -168,7 +219,7 @@ class Readings(dict):
         if not _LETTER.search(core) or not _MAYBE.search(core):
             return token
         found = restore(core, self.model, True)
-        return token if re.findall(f"{_L}+", found) == re.findall(f"{_L}+", core) else f"{found} {token}"
+        return token if found == core or re.findall(f"{_L}+", found) == re.findall(f"{_L}+", core) else f"{found} {token}"
 
 
 @dataclass
@@ -178,26 +229,62 @@ class Restorer:
     model: np.ndarray
 
     def __post_init__(self) -> None:
-        self.seen = Readings(self.model)
+        self.seen = Readings(self.model.tolist())
 
     def text(self, text: str) -> str:
-        low = _SINGLES.sub(lambda m: restore(m[0], self.model) if _SPACED.fullmatch(m[0]) else self.seen.either(" ".join(m[0].split()), m[0]), text.lower())
-        was = low.split()
-        now = [self.seen[t] for t in was]
-        return text if now == was and low == text.lower() else " ".join(now)
+        low = text.lower()
+        now = self.singles(low)
+        was = now.split()
+        read = [self.seen[t] for t in was]
+        return text if read == was and now == low else " ".join(read)
+
+    def singles(self, low: str) -> str:
+        """Runs of single characters read as words."""
+        return _SINGLES.sub(lambda m: restore(m[0], self.seen.model) if _SPACED.fullmatch(m[0]) else self.seen.either(" ".join(m[0].split()), m[0]), low)
 
     def column(self, col: pa.Array) -> pa.Array:
-        """Lower-case texts with disguised tokens restored; null texts are empty."""
-        data, off = string_bytes(col)
-        out = None
-        for i in _suspects(data, off).tolist():
-            was = data[off[i] : off[i + 1]].tobytes().decode("utf-8", "replace")
-            now = self.text(was)
-            if now is not was:
-                out = col.to_pylist() if out is None else out
-                out[i] = now
-        col = pa.array(out, pa.string()) if out is not None else col
-        return pa.array([x.lower() if x else "" for x in col.to_pylist()], pa.string())
+        """Lower-case texts with disguised tokens restored; null texts are empty.
+
+        Each different odd word of the column is read once; only texts whose readings differ are written anew.
+        """
+        low = pc.fill_null(pc.utf8_lower(col), "")
+        data, off = string_bytes(low)
+        w, flag, near = _odd_words(data, off)
+        row_of = lambda k: np.searchsorted(w.first, k, side="right") - 1
+        at = np.flatnonzero(flag)
+        _, first, back = np.unique(word_hashes(w)[at], return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        readings: list[str | None] = []
+        for s, e in zip(w.starts[at[first]].tolist(), w.ends[at[first]].tolist()):
+            token = raw[s:e].decode("utf-8", "replace")
+            read = " ".join([self.seen[t] for t in token.split()])
+            readings.append(read if read != token else None)
+        new = np.array([r is not None for r in readings], bool)[back] if len(at) else np.zeros(0, bool)
+        changed = {}
+        for i in np.unique(row_of(np.flatnonzero(near))).tolist():
+            was = raw[off[i] : off[i + 1]].decode("utf-8", "replace")
+            now = self.singles(was)
+            if now != was:
+                changed[i] = " ".join([self.seen[t] for t in now.split()])
+        rows = row_of(at[new])
+        edges = np.append(np.flatnonzero(np.concatenate([[True], np.diff(rows) != 0])), len(rows)) if len(rows) else [0]
+        of = back[new] if len(at) else back
+        s, e = w.starts[at[new]], w.ends[at[new]]
+        for a, b in zip(edges[:-1], edges[1:]):
+            i = int(rows[a])
+            if i in changed:
+                continue
+            parts, last = [], int(off[i])
+            for k in range(a, b):
+                parts += [raw[last : s[k]].decode("utf-8", "replace"), readings[of[k]]]
+                last = int(e[k])
+            changed[i] = "".join([*parts, raw[last : off[i + 1]].decode("utf-8", "replace")])
+        if not changed:
+            return low
+        out = low.to_pylist()
+        for i, text in changed.items():
+            out[i] = text
+        return pa.array(out, low.type)
 
 
 def features(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -223,7 +310,7 @@ def features(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return np.searchsorted(off, s, side="right") - 1, whole, np.concatenate(words), np.concatenate(hashes)
 
 
-TOP = 3
+TOP = 3  # the model's evidence in a text is its strongest words, found anywhere in it: a long text isn't toxic for many weak ones
 
 
 @dataclass
@@ -253,11 +340,11 @@ class Classifier:
         w = np.log((a + 0.5) / (n1 + 1)) - np.log((b + 0.5) / (n0 + 1))
         return np.where((a >= 2) & (gain > math.log(len(self.hashes) + 1)), np.maximum(w, 0), 0)
 
-    def evidence(self, col: pa.Array, restorer: Restorer, y: np.ndarray | None = None) -> np.ndarray:
-        """Per text: 1, the weights of its TOP strongest different words, whether it has any, and the log of its words."""
+    def evidence(self, col: pa.Array, y: np.ndarray | None = None) -> np.ndarray:
+        """Per restored text: 1, the weights of its TOP strongest different words, whether it has any, and the log of its words."""
         out = np.zeros((len(col), TOP + 3))
         out[:, 0] = 1
-        row, word, of, h = features(restorer.column(col))
+        row, word, of, h = features(col)
         out[:, -1] = np.log1p(np.bincount(row, minlength=len(col)))
         if len(self.hashes) and len(h):
             near = np.flatnonzero(self.quick[(h & np.uint64(0xFFFFF)).astype(np.int64)])
@@ -279,7 +366,7 @@ class Classifier:
         return out
 
     def scores(self, col: pa.Array, restorer: Restorer) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.evidence(col, restorer) @ self.beta, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.evidence(restorer.column(col)) @ self.beta, -30, 30)))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, rounds: int = 50) -> np.ndarray:
@@ -330,12 +417,17 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> Classifi
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").isNotNull())
     votes = texts.join(F.broadcast(sample), "doc_id").mapInArrow(_sketches, "doc_id long, sketch long, toxic int").groupBy("sketch", "toxic").agg(F.min("doc_id").alias("doc_id"))
 
-    def count(batches):
+    def read(batches):
         restorer = Restorer(model)
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                yield pa.RecordBatch.from_arrays([part.column("toxic"), restorer.column(part.column("text"))], names=["toxic", "text"])
+
+    def count(batches):
         for batch in batches:
             for part in chunks(batch, "text", 4 << 20):
                 toxic = part.column("toxic").to_numpy(zero_copy_only=False) > 0
-                row, _, of, h = features(restorer.column(part.column("text")))
+                row, _, of, h = features(part.column("text"))
                 row = row[of]
                 order = np.lexsort((h, row))
                 row, h = row[order], h[order]
@@ -346,11 +438,10 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> Classifi
                 yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(ones), pa.array(zeros)], names=["h", "ones", "zeros"])
 
     votes = staged(votes.select("doc_id", "toxic"), "votes")  # as many as the sample at most
-    chosen = texts.join(F.broadcast(votes), "doc_id")
+    chosen = staged(texts.join(F.broadcast(votes), "doc_id").select("toxic", "text").mapInArrow(read, "toxic int, text string"), "read")
     counts = chosen.mapInArrow(count, "h long, ones long, zeros long")
     counts = counts.groupBy("h").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
-    kept = counts.where("h = 0 or ones >= 3").orderBy(F.when(F.col("h") == 0, 1e18).otherwise(F.col("ones") / (F.col("zeros") + 1)).desc(), F.desc("ones"), "h").limit(LEXICON)
-    rows = kept.toPandas()
+    rows = counts.where("h = 0 or ones >= 3").toPandas()  # words that three or more of `bound` labelled texts share
     whole = rows[rows["h"] == 0]
     n1, n0 = (float(whole["ones"].sum()), float(whole["zeros"].sum()))
     rows = rows[rows["h"] != 0]
@@ -363,11 +454,10 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> Classifi
         return known
 
     def weigh(batches):  # the lexicon was counted on these texts too, so each is weighed without its own counts
-        restorer = Restorer(model)
         for batch in batches:
             for part in chunks(batch, "text", 4 << 20):
                 y = (part.column("toxic").to_numpy(zero_copy_only=False) > 0).astype(np.float64)
-                x = known.evidence(part.column("text"), restorer, y)
+                x = known.evidence(part.column("text"), y)
                 yield pa.RecordBatch.from_arrays([pa.array(y), *[pa.array(c) for c in x.T]], names=["y", *[f"x{i}" for i in range(x.shape[1])]])
 
     seen = chosen.mapInArrow(weigh, "y double, " + ", ".join(f"x{i} double" for i in range(TOP + 3))).toPandas().to_numpy()

@@ -82,10 +82,10 @@ def test_run_of_empty_table_and_null_ids(spark, folder, tmp_path):
     docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
     text = " ".join(words(60, 77, 3000))
-    frame(spark, [(None, text, "en", "s", 1), (None, text, "en", None, 1), (None, None, None, None, None), (7, "", "en", "s", 0), (8, text.replace("w", "W"), "en", "s", 1)]).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    frame(spark, [(None, text, "en", "s", 1), (None, text, "en", None, 1), (None, None, None, None, None), (7007, "", "en", "s", 0), (8008, text.replace("w", "W"), "en", "s", 1)]).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
     kept = corpus_pipeline.drop_near_duplicates(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), "")
-    assert {r.doc_id for r in kept.collect()} == {7, 8}
-    assert [r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()] == [8]
+    assert {r.doc_id for r in kept.collect()} == {7007, 8008}
+    assert [r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()] == [8008]
 
 
 def test_near_duplicates_without_or_with_repeated_ids(spark):

@@ -30,7 +30,7 @@ WIN_BYTES = 5
 BATCH_BYTES = 8 << 20  # text of one map batch
 BUCKET_BYTES = 2 << 20  # text whose windows one bucket gets, on average
 HOT_LEAST, HOT_MOST = 20_000, 1_000_000
-MAX_RUNS = 2
+MAX_RUNS = 4  # of an index that grows on; the query's own compacts sooner
 ASKS = 10_000  # passages of one document that one task hashes, at most
 _ROW = "bucket int, kind int, n int, anchor binary, doc binary, pos binary, cnt binary, wins binary"
 
@@ -287,6 +287,7 @@ class WindowIndex:
     buckets: int
     hot: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
     table: str = field(default_factory=lambda: f"window_runs_{uuid.uuid4().hex}")
+    most_runs: int = MAX_RUNS
     runs: int = 0  # runs in the table now
     made: int = 0  # batches and compactions so far
     paths: list[str] = field(default_factory=list)
@@ -331,7 +332,7 @@ class WindowIndex:
         claims = self._rows(1).where(F.col("part") == part).select(*_NAMES)
         segments = staged(claims.groupBy("bucket").applyInArrow(_segments, "doc long, pos long, words long, src long, spos long"), "claims")
         self.runs += keep
-        if self.runs > MAX_RUNS:
+        if self.runs > self.most_runs:
             self.compact()
         return segments
 
@@ -450,11 +451,11 @@ def _looked_at_again(docs: DataFrame, wrong: DataFrame, pieces: bool) -> DataFra
     return windows.distinct().join(seen, ["doc", "pos", "words"]).join(low, "digest").where("low < doc").select("doc", "pos", "words")
 
 
-def without_repeats(docs: DataFrame, batches: int = 4) -> DataFrame:
+def without_repeats(docs: DataFrame, batches: int = 3, most_runs: int = 1) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256): words in 13-word windows that a smaller document has too are removed.
 
     Documents enter the index in `batches` ranges of doc_id, so that what earlier
-    batches hold is always smaller.  Windows are judged on the input.  Every claimed
+    batches hold is always smaller; more than `most_runs` runs are compacted.  Windows are judged on the input.  Every claimed
     passage is compared with the passage it repeats by SHA-256 of the words; where they
     differ (equal hashes of unequal windows), its windows are compared with all others of such claims.
 
@@ -467,6 +468,7 @@ def without_repeats(docs: DataFrame, batches: int = 4) -> DataFrame:
     low, high = names.agg(F.min("doc_id"), F.max("doc_id")).first()
     pieces = bool(names.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count())
     index = WindowIndex.sized_for(names)
+    index.most_runs = most_runs
     claims = docs.sparkSession.createDataFrame([], "doc long, pos long, words long, src long, spos long")
     for i in range(batches if low is not None else 0):
         a, b = low + (high - low + 1) * i // batches, low + (high - low + 1) * (i + 1) // batches

@@ -575,6 +575,12 @@ def test_secrets_of_every_alphabet(spark):
     assert all(got[i] == [(4, 3, 4 + len(k))] for i, k in enumerate(keys)) and got[90] == got[91] == []
 
 
+def test_identifiers_are_no_secrets(spark):
+    names = "UnsupportedOperation parse_format_specifier ConnectionRefusedError int_to_decimal_string warn_default_encoding CO_FUTURE_BARRY_AS_BDFL ensure_directory_exists getElementsByTagNameNS maximum-transmission-unit src/main/resources/config".split()
+    df = frame(spark, [(i, f"use {n} here") for i, n in enumerate(names)])
+    assert {names[x.doc_id] for x in secrets.with_spans(df).collect() if x.spans} == set()
+
+
 def test_battery_is_calibrated(spark):
     r = random.Random(6)
     good = ["".join(r.choice("0123456789abcdef") for _ in range(64)) for _ in range(300)]

@@ -40,3 +40,24 @@ kept AS (
 SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(kept.n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+OP8_SQL = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+t AS (
+  SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM benchmark WHERE text IS NOT NULL),
+i AS MATERIALIZED (SELECT q, item_id, w, least(5, len(w)) AS k, len(w) - least(5, len(w)) + 1 AS m FROM t WHERE len(w) > 0),
+item_shingle AS MATERIALIZED (
+  SELECT q, k, g, count(*) AS c FROM (SELECT q, k, array_to_string(w[p:p + k - 1], ' ') AS g FROM (SELECT q, k, w, unnest(range(1, m + 1)) AS p FROM i)) GROUP BY ALL),
+shingle AS MATERIALIZED (
+  SELECT r, k, p, array_to_string(w[p:p + k - 1], ' ') AS g FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM i))),
+met AS MATERIALIZED (  -- item shingles in texts, and how many shingles a window and the text have
+  SELECT s.r, x.q, s.p, s.g, x.c, i.m, least(i.m, len(d.w) - i.k + 1) AS size, len(d.w) - i.k + 1 AS n
+  FROM shingle s JOIN item_shingle x ON x.k = s.k AND x.g = s.g JOIN i ON i.q = x.q JOIN d ON d.r = s.r),
+seen AS (SELECT r, q, g, c, m, size, unnest(range(greatest(p - size + 1, 1), least(p, n - size + 1) + 1)) AS f FROM met),
+counted AS (SELECT r, q, f, m, size, sum(least(times, c)) AS both_have FROM (SELECT r, q, f, g, c, m, size, count(*) AS times FROM seen GROUP BY ALL) GROUP BY ALL),
+alike AS (SELECT r, q, f, both_have::DOUBLE / (size + m - both_have)::DOUBLE AS similarity FROM counted)
+SELECT d.doc_id, i.item_id, (f - 1)::BIGINT AS first_word, similarity
+FROM alike JOIN d USING (r) JOIN i USING (q) WHERE similarity >= 0.8
+QUALIFY row_number() OVER (PARTITION BY r, q ORDER BY similarity DESC, f) = 1
+"""

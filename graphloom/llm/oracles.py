@@ -61,3 +61,91 @@ SELECT d.doc_id, i.item_id, (f - 1)::BIGINT AS first_word, similarity
 FROM alike JOIN d USING (r) JOIN i USING (q) WHERE similarity >= 0.8
 QUALIFY row_number() OVER (PARTITION BY r, q ORDER BY similarity DESC, f) = 1
 """
+
+
+def _xxh64(table: str) -> str:
+    """Steps (name AS (SELECT ...)) that take the table's (g, b: bytes in hex, n: their number) to (g, h), XXH64 with seed 42.
+
+    Products and shifts of 64-bit numbers are taken in 128 bits and cut.
+    """
+    # fixed values of the hash: its five primes
+    p1, p2, p3, p4, p5 = 11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261
+    mod = 1 << 64
+    seed = 42
+
+    def cut(x: str) -> str:
+        return f"(({x}) % {mod}::UHUGEINT)"
+
+    def times(x: str, p: int) -> str:
+        return cut(f"({x})::UHUGEINT * {p}::UHUGEINT")
+
+    def rotated(x: str, by: int) -> str:
+        return cut(f"{x} * {1 << by}::UHUGEINT + {x} // {1 << (64 - by)}::UHUGEINT")
+
+    def plus(x: str, y: str) -> str:
+        return cut(f"({x}) + ({y})")
+
+    def number(o: str, size: int) -> str:
+        """Little-endian number of `size` bytes from byte `o`."""
+        digits = " || ".join(f"substr(b, (2 * ({o} + {i}) + 1)::INT, 2)" for i in reversed(range(size)))
+        return f"('0x' || {digits})::UBIGINT::UHUGEINT"
+
+    steps = []
+    # stripes of 32 bytes: four lanes
+    start = [(seed + p1 + p2) % mod, (seed + p2) % mod, seed, (seed - p1) % mod]
+    lanes = ", ".join(f"{v}::UHUGEINT AS v{i}" for i, v in enumerate(start))
+    more = []
+    for i in range(4):
+        x = plus(f"v{i}", times(number(f"o + {8 * i}", 8), p2))
+        more.append((x, i))
+    turned = ", ".join(f"{times('x.r' + str(i), p1)}" for i in range(4))
+    sums = ", ".join(f"r{i} := {x}" for x, i in more)
+    steps.append(
+        f"stripes AS (SELECT g, b, n, 0 AS o, {lanes} FROM {table} WHERE n >= 32 UNION ALL"
+        f" SELECT g, b, n, o, {turned} FROM (SELECT g, b, n, o + 32 AS o, struct_pack({', '.join(f'r{i} := ' + rotated(f's.r{i}', 31) for i in range(4))}) AS x"
+        f" FROM (SELECT g, b, n, o, struct_pack({sums}) AS s FROM stripes WHERE o + 32 <= n)))"
+    )
+    joined = plus(plus(rotated("v0", 1), rotated("v1", 7)), plus(rotated("v2", 12), rotated("v3", 18)))
+    steps.append(f"m0 AS (SELECT g, b, n, o, v0, v1, v2, v3, {joined} AS h FROM stripes WHERE o + 32 > n)")
+    for i in range(4):
+        steps.append(f"r{i} AS (SELECT *, {times(f'v{i}', p2)} AS y FROM m{i})")
+        steps.append(f"s{i} AS (SELECT * EXCLUDE (y), {times(rotated('y', 31), p1)} AS y FROM r{i})")
+        steps.append(f"m{i + 1} AS (SELECT * EXCLUDE (y, h), {plus(times('xor(h, y)', p1), str(p4) + '::UHUGEINT')} AS h FROM s{i})")
+    steps.append(
+        f"l0 AS MATERIALIZED (SELECT g, b, n, o, {plus('h', 'n::UHUGEINT')} AS h FROM m4 UNION ALL"
+        f" SELECT g, b, n, 0, {plus(f'{(seed + p5) % mod}::UHUGEINT', 'n::UHUGEINT')} FROM {table} WHERE n < 32)"
+    )
+    # what is left: up to three numbers of 8 bytes, one of 4, three bytes
+    for i in range(3):
+        steps.append(f"a{i} AS (SELECT *, CASE WHEN o + 8 <= n THEN {times(number('o', 8), p2)} END AS y FROM l{i})")
+        steps.append(f"b{i} AS (SELECT * EXCLUDE (y), xor(h, {times(rotated('y', 31), p1)}) AS y FROM a{i})")
+        steps.append(f"l{i + 1} AS MATERIALIZED (SELECT g, b, n, o + CASE WHEN y IS NULL THEN 0 ELSE 8 END AS o, coalesce({plus(times(rotated('y', 27), p1), str(p4) + '::UHUGEINT')}, h) AS h FROM b{i})")
+    steps.append(f"f0 AS (SELECT *, CASE WHEN o + 4 <= n THEN xor(h, {times(number('o', 4), p1)}) END AS y FROM l3)")
+    steps.append(f"e0 AS MATERIALIZED (SELECT g, b, n, o + CASE WHEN y IS NULL THEN 0 ELSE 4 END AS o, coalesce({plus(times(rotated('y', 23), p2), str(p3) + '::UHUGEINT')}, h) AS h FROM f0)")
+    for i in range(3):
+        steps.append(f"c{i} AS (SELECT *, CASE WHEN o < n THEN xor(h, {times(number('o', 1), p5)}) END AS y FROM e{i})")
+        steps.append(f"e{i + 1} AS MATERIALIZED (SELECT g, b, n, o + CASE WHEN y IS NULL THEN 0 ELSE 1 END AS o, coalesce({times(rotated('y', 11), p1)}, h) AS h FROM c{i})")
+    # avalanche
+    steps.append(f"z0 AS (SELECT g, {times(f'xor(h, h // {1 << 33}::UHUGEINT)', p2)} AS h FROM e3)")
+    steps.append(f"z1 AS (SELECT g, {times(f'xor(h, h // {1 << 29}::UHUGEINT)', p3)} AS h FROM z0)")
+    steps.append(f"hashed AS MATERIALIZED (SELECT g, xor(h, h // {1 << 32}::UHUGEINT)::UBIGINT AS h FROM z1)")
+    return ",\n".join(steps)
+
+
+_LOWERED = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
+_BIT = "CASE WHEN 2 * count(*) FILTER (WHERE h & {0}::UBIGINT <> 0) > count(*) THEN {0}::UBIGINT ELSE 0::UBIGINT END"
+
+OP10_SQL = f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, {_LOWERED} AS w FROM documents),
+shingle AS MATERIALIZED (
+  SELECT doc_id, array_to_string(w[p:p + 3], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS p FROM d WHERE len(w) > 0)),
+word_run AS MATERIALIZED (SELECT g, hex(encode(g)) AS b, octet_length(encode(g)) AS n FROM (SELECT DISTINCT g FROM shingle)),
+{_xxh64("word_run")},
+bits AS MATERIALIZED (SELECT doc_id, {" + ".join(_BIT.format(1 << i) for i in range(64))} AS fp FROM shingle JOIN hashed USING (g) GROUP BY doc_id),
+print AS MATERIALIZED (SELECT doc_id, coalesce(fp, 0::UBIGINT) AS fp FROM d LEFT JOIN bits USING (doc_id)),
+rep AS MATERIALIZED (SELECT fp, min(doc_id) AS low FROM print GROUP BY fp),
+link AS MATERIALIZED (SELECT a.fp AS a, b.fp AS b FROM rep a JOIN rep b ON a.fp <> b.fp AND bit_count(xor(a.fp, b.fp)) <= 4),
+reach(fp, to_fp) AS (SELECT fp, fp FROM rep UNION SELECT reach.fp, link.b FROM reach JOIN link ON link.a = reach.to_fp),
+part AS (SELECT reach.fp, min(rep.low) AS component_id FROM reach JOIN rep ON rep.fp = reach.to_fp GROUP BY reach.fp)
+SELECT doc_id, lpad(lower(to_hex(fp)), 16, '0') AS fingerprint, component_id FROM print JOIN part USING (fp)
+"""

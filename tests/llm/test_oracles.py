@@ -1,0 +1,33 @@
+"""Queries of the subpackage against their SQL at the smoke scale, and the SQL's own parts."""
+
+from pathlib import Path
+
+import duckdb
+import pytest
+import xxhash
+
+from graphloom.llm import oracles
+from graphloom.llm.queries import ORACLES, QUERIES
+
+DATA = Path("/root/testdata/sf0.001")
+
+
+def test_sql_hash():
+    texts = [("abcdéü漢 " * 40)[:n] for n in range(120)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT unnest(?) AS g", [texts])
+    sql = f"WITH RECURSIVE word_run AS (SELECT g, hex(encode(g)) AS b, octet_length(encode(g)) AS n FROM t), {oracles._xxh64('word_run')} SELECT g, h FROM hashed"
+    assert dict(con.execute(sql).fetchall()) == {t: xxhash.xxh64_intdigest(t.encode(), 42) for t in texts}
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="driver tables are needed")
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query(spark, name):
+    con = duckdb.connect()
+    for p in DATA.glob("*.parquet"):
+        con.execute(f"CREATE VIEW {p.stem} AS SELECT * FROM '{p}'")
+    got = QUERIES[name](spark, str(DATA))
+    want = con.execute(ORACLES[name])
+    names = [d[0] for d in want.description]
+    assert sorted(names) == sorted(got.columns)
+    assert sorted((tuple(r[c] for c in names) for r in got.collect()), key=str) == sorted(want.fetchall(), key=str)

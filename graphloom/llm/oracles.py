@@ -63,6 +63,99 @@ QUALIFY row_number() OVER (PARTITION BY r, q ORDER BY similarity DESC, f) = 1
 """
 
 
+def _hits(name: str, pattern: str) -> str:
+    """(r, x, start, stop) of a pattern's matches, in code points: what stands before a match is its piece of the split text."""
+    return f"""{name} AS MATERIALIZED (
+  SELECT r, x, stop - length(x) AS start, stop FROM (
+    SELECT r, x, sum(length(piece) + length(x)) OVER (PARTITION BY r ORDER BY i) AS stop FROM (
+      SELECT r, unnest(xs) AS x, unnest(pieces[1:len(xs)]) AS piece, unnest(range(len(xs))) AS i
+      FROM (SELECT r, regexp_extract_all(text, '{pattern}') AS xs, string_split_regex(text, '{pattern}') AS pieces FROM d))))"""
+
+
+_ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+
+
+def _normal(z: str) -> str:
+    """P(|Z| >= |z|), Abramowitz and Stegun 7.1.26."""
+    x = f"(abs({z}) / sqrt(2.0::DOUBLE))"
+    t = f"(1 / (1 + 0.3275911::DOUBLE * {x}))"
+    powers = " + ".join(f"{a}::DOUBLE * pow({t}, {i})" for i, a in enumerate(("0.254829592", "(-0.284496736)", "1.421413741", "(-1.453152027)", "1.061405429"), 1))
+    return f"greatest(({powers}) * exp(-{x} * {x}), 1e-12::DOUBLE)"
+
+
+def _chi_squared(z: str) -> str:
+    return f"CASE WHEN {z} > 0 THEN {_normal(z)} / 2 ELSE 1 - {_normal(z)} / 2 END"
+
+
+def _wilson(chi: str, df: str) -> str:
+    return f"(pow({chi} / {df}, 1.0::DOUBLE / 3) - (1 - 2 / (9.0::DOUBLE * {df}))) / sqrt(2 / (9.0::DOUBLE * {df}))"
+
+
+OP7_SQL = rf"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+{_hits("assign", _ASSIGN)},
+{_hits("access", "AKIA[A-Z0-9]+")},
+{_hits("hex", "[0-9a-f]+")},
+{_hits("run", "[A-Za-z0-9+/_-]{20,}={0,2}")},
+base AS MATERIALIZED (
+  SELECT r, 0 AS kind, start, stop FROM assign WHERE length(regexp_extract(x, '{_ASSIGN}', 2)) >= 6
+  UNION ALL SELECT r, 1, start, stop FROM access WHERE length(x) >= 20
+  UNION ALL SELECT r, 2, start, stop FROM hex WHERE length(x) >= 24),
+bare AS (
+  SELECT row_number() OVER () AS q, r, start, stop,
+    CASE WHEN regexp_full_match(x, '[0-9A-Fa-f]{{8}}(-[0-9A-Fa-f]{{4}}){{3}}-[0-9A-Fa-f]{{12}}') THEN replace(x, '-', '') ELSE replace(translate(x, '-_', '+/'), '=', '') END AS t FROM run),
+guessed AS MATERIALIZED (
+  SELECT *, CASE
+    WHEN NOT regexp_matches(t, '[A-Za-z0-9]') THEN ''
+    WHEN regexp_full_match(t, '[0-9]+') THEN '0123456789'
+    WHEN regexp_full_match(t, '[a-z]+') THEN 'abcdefghijklmnopqrstuvwxyz'
+    WHEN regexp_full_match(t, '[A-Z]+') THEN 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'
+    WHEN regexp_full_match(t, '[A-Za-z]+') THEN 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz'
+    WHEN regexp_full_match(t, '[0-9a-f]+') THEN '0123456789abcdef'
+    WHEN regexp_full_match(t, '[0-9A-F]+') THEN '0123456789ABCDEF'
+    WHEN regexp_full_match(t, '[A-Z2-7]+') THEN 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'
+    WHEN regexp_full_match(t, '[A-Z0-9]+') THEN '0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ'
+    WHEN regexp_full_match(t, '[a-z0-9]+') THEN '0123456789abcdefghijklmnopqrstuvwxyz'
+    WHEN regexp_full_match(t, '[a-z0-9+/]+') AND regexp_matches(t, '[0-9]') THEN 'abcdefghijklmnopqrstuvwxyz0123456789+/'
+    WHEN regexp_full_match(t, '[A-Z0-9+/]+') AND regexp_matches(t, '[0-9]') THEN 'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/'
+    ELSE 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/' END AS e FROM bare),
+tested AS MATERIALIZED (SELECT *, length(t)::DOUBLE AS n, length(e)::DOUBLE AS k FROM guessed WHERE e <> '' AND length(t) * ln(length(e)) / ln(2) >= 80 - 1e-9),
+letter AS MATERIALIZED (
+  SELECT q, i, ch, v, k, lag(v) OVER (PARTITION BY q ORDER BY i) AS was, avg(v) OVER (PARTITION BY q) AS m
+  FROM (SELECT q, i, ch, (instr(e, ch) - 1)::DOUBLE AS v, k FROM (SELECT q, e, k, substr(t, i::INT, 1) AS ch, i FROM (SELECT q, e, k, t, unnest(range(1, length(t) + 1)) AS i FROM tested)))),
+sums AS (
+  SELECT q, count(*) FILTER (WHERE v >= k / 2)::DOUBLE AS h, 1 + count(*) FILTER (WHERE was IS NOT NULL AND (v >= k / 2) <> (was >= k / 2)) AS runs,
+    sum((v - m) * (v - m)) AS spread, coalesce(sum((v - m) * (was - m)), 0) AS lagged FROM letter GROUP BY q),
+squares AS (SELECT q, sum(c * c)::DOUBLE AS s2 FROM (SELECT q, ch, count(*) AS c FROM letter GROUP BY q, ch) GROUP BY q),
+class(name, set) AS (VALUES ('vowel', 'aeiou'), ('consonant', 'bcdfghjklmnpqrstvwxyz'), ('VOWEL', 'AEIOU'), ('CONSONANT', 'BCDFGHJKLMNPQRSTVWXYZ'), ('digit', '0123456789'), ('sign', '+/')),
+share AS (SELECT q, n * (length(e) - length(translate(e, set, ''))) / k AS want, length(t) - length(translate(t, set, '')) AS have FROM tested, class),
+kinds AS (SELECT q, count(*) AS c, sum((have - want) * (have - want) / want) AS chi FROM share WHERE want > 0 GROUP BY q),
+z AS (
+  SELECT x.q, x.r, x.start, x.stop, kinds.c, {_wilson('(k / n * s2 - n)', '(k - 1)')} AS by_letter, CASE WHEN kinds.c > 1 THEN {_wilson('chi', '(kinds.c - 1)')} END AS by_kind,
+    CASE WHEN h * (n - h) * (2 * h * (n - h) - n) > 0 THEN (runs - (1 + 2 * h * (n - h) / n)) / sqrt(2 * h * (n - h) * (2 * h * (n - h) - n) / (n * n * (n - 1))) END AS by_runs,
+    CASE WHEN spread > 0 THEN lagged / spread * sqrt(n) END AS by_lag
+  FROM tested x JOIN sums USING (q) JOIN squares USING (q) JOIN kinds USING (q)),
+three AS (
+  SELECT q, r, start, stop, least(1, 2 * least({_chi_squared('by_letter')}, CASE WHEN c > 1 THEN {_chi_squared('by_kind')} ELSE 1 END)) AS p1,
+    CASE WHEN by_runs IS NULL THEN 1e-12 ELSE {_normal('by_runs')} END AS p2, CASE WHEN by_lag IS NULL THEN 1e-12 ELSE {_normal('by_lag')} END AS p3 FROM z),
+fisher AS MATERIALIZED (
+  SELECT r, start, stop, least(63, floor(4 * ln(stop - start) / ln(2) + 1e-9)) AS cls, exp(-x) * (1 + x + x * x / 2) AS p FROM (SELECT *, -(ln(p1) + ln(p2) + ln(p3)) AS x FROM three)),
+step AS (SELECT cls, s, sum(c) OVER (PARTITION BY cls ORDER BY s DESC) AS rank, sum(c) OVER (PARTITION BY cls) AS total
+  FROM (SELECT cls, s, count(*) AS c FROM (SELECT cls, least(floor(-log10(greatest(p, 1e-300)) * 20), 480) AS s FROM fisher) GROUP BY cls, s)),
+cut AS (SELECT cls, pow(10.0::DOUBLE, -min(s) / 20) AS p FROM step WHERE pow(10.0::DOUBLE, -s / 20) <= 0.05 * rank / total GROUP BY cls),
+random AS (
+  SELECT f.r, 3 AS kind, f.start, f.stop FROM fisher f LEFT JOIN cut USING (cls)
+  WHERE f.p > coalesce(cut.p, 0) AND NOT EXISTS (SELECT 1 FROM base b WHERE b.r = f.r AND b.start < f.stop AND f.start < b.stop)),
+written AS (SELECT r, kind, start, ['assign', 'access', 'hex', 'random'][kind + 1] || ':' || start::BIGINT || ':' || stop::BIGINT AS span FROM (SELECT * FROM base UNION ALL SELECT * FROM random)),
+listed AS (
+  SELECT r, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
+    string_agg(span, ',' ORDER BY start, kind) FILTER (WHERE kind < 3) AS base, string_agg(span, ',' ORDER BY start, kind) AS spans FROM written GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN listed USING (r)
+"""
+
+
 def _xxh64(table: str) -> str:
     """Steps (name AS (SELECT ...)) that take the table's (g, b: bytes in hex, n: their number) to (g, h), XXH64 with seed 42.
 

@@ -3,7 +3,7 @@
 from .decontamination import op8_decontaminate
 from .extraction import op6_extract_text
 from .mixing import op9_mix_sources
-from .oracles import OP2_SQL, OP3_SQL, OP5_SQL, OP8_SQL, OP9_SQL, OP10_SQL
+from .oracles import OP2_SQL, OP3_SQL, OP5_SQL, OP7_SQL, OP8_SQL, OP9_SQL, OP10_SQL
 from .secrets import op7_secret_scan
 from .simhash import op10_simhash_neardup
 from .substrings import op5_substring_dedup
@@ -28,6 +28,7 @@ ORACLES: dict[str, str] = {
     "op2_embedding_neardup": OP2_SQL,
     "op3_warc_roundtrip": OP3_SQL,
     "op5_substring_dedup": OP5_SQL,
+    "op7_secret_scan": OP7_SQL,
     "op8_decontaminate": OP8_SQL,
     "op9_mix_sources": OP9_SQL,
     "op10_simhash_neardup": OP10_SQL,

@@ -404,6 +404,22 @@ def _sketches(batches) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(low.view(np.int64)), part.column("toxic")], names=["doc_id", "sketch", "toxic"])
 
 
+def _counts(batches) -> Iterator[pa.RecordBatch]:
+    """Feature hashes, with the toxic and clean documents that hold each; the documents of a kind under hash 0."""
+    for batch in batches:
+        for part in chunks(batch, "text"):
+            toxic = part.column("toxic").to_numpy(zero_copy_only=False) > 0
+            row, _, of, h = features(part.column("text"))
+            row = row[of]
+            order = np.lexsort((h, row))
+            row, h = row[order], h[order]
+            new = np.concatenate([[True], (np.diff(row) != 0) | (h[1:] != h[:-1])]) if len(h) else np.zeros(0, bool)
+            u, inverse, n = np.unique(h[new], return_inverse=True, return_counts=True)
+            ones = np.bincount(inverse, toxic[row[new]], len(u)).astype(np.int64)
+            u, ones, zeros = np.append(u, np.uint64(0)), np.append(ones, int(toxic.sum())), np.append(n - ones, int((~toxic).sum()))
+            yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(ones), pa.array(zeros)], names=["h", "ones", "zeros"])
+
+
 def learn(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> Classifier:
     """A classifier from documents outside the held-out fold, `bound` labelled ones at most.
 
@@ -423,23 +439,9 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> Classifi
             for part in chunks(batch, "text"):
                 yield pa.RecordBatch.from_arrays([part.column("toxic"), restorer.column(part.column("text"))], names=["toxic", "text"])
 
-    def count(batches):
-        for batch in batches:
-            for part in chunks(batch, "text", 4 << 20):
-                toxic = part.column("toxic").to_numpy(zero_copy_only=False) > 0
-                row, _, of, h = features(part.column("text"))
-                row = row[of]
-                order = np.lexsort((h, row))
-                row, h = row[order], h[order]
-                new = np.concatenate([[True], (np.diff(row) != 0) | (h[1:] != h[:-1])]) if len(h) else np.zeros(0, bool)
-                u, inverse, n = np.unique(h[new], return_inverse=True, return_counts=True)
-                ones = np.bincount(inverse, toxic[row[new]], len(u)).astype(np.int64)
-                u, ones, zeros = np.append(u, np.uint64(0)), np.append(ones, int(toxic.sum())), np.append(n - ones, int((~toxic).sum()))
-                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(ones), pa.array(zeros)], names=["h", "ones", "zeros"])
-
-    votes = staged(votes.select("doc_id", "toxic"), "votes")  # as many as the sample at most
+    votes = staged(votes.select("doc_id", "toxic").coalesce(1), "votes")  # as many as the sample at most: one small file, not one a shuffle partition
     chosen = staged(texts.join(F.broadcast(votes), "doc_id").select("toxic", "text").mapInArrow(read, "toxic int, text string"), "read")
-    counts = chosen.mapInArrow(count, "h long, ones long, zeros long")
+    counts = chosen.mapInArrow(_counts, "h long, ones long, zeros long")
     counts = counts.groupBy("h").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
     rows = counts.where("h = 0 or ones >= 3").toPandas()  # words that three or more of `bound` labelled texts share
     whole = rows[rows["h"] == 0]
@@ -455,7 +457,7 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> Classifi
 
     def weigh(batches):  # the lexicon was counted on these texts too, so each is weighed without its own counts
         for batch in batches:
-            for part in chunks(batch, "text", 4 << 20):
+            for part in chunks(batch, "text"):
                 y = (part.column("toxic").to_numpy(zero_copy_only=False) > 0).astype(np.float64)
                 x = known.evidence(part.column("text"), y)
                 yield pa.RecordBatch.from_arrays([pa.array(y), *[pa.array(c) for c in x.T]], names=["y", *[f"x{i}" for i in range(x.shape[1])]])

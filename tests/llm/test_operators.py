@@ -6,6 +6,7 @@ import math
 import random
 import re
 import sys
+import tracemalloc
 from collections import Counter
 from pathlib import Path
 
@@ -334,6 +335,35 @@ def test_toxicity(spark):
     assert none.where("predicted = 1").count() == 0 and toxicity.toxicity(d.limit(0), l).count() == 0
 
 
+def test_votes_are_one_file(spark):
+    docs, labels = toxic_corpus()
+    folder = Path(toxicity.staged(spark.range(1), "here").inputFiles()[0].removeprefix("file://")).parents[1]
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    before = set(folder.glob("votes-*"))
+    try:
+        for k, v in zip(was, ("40", "false")):
+            spark.conf.set(k, v)
+        known = toxicity.learn(frame(spark, docs), frame(spark, labels, "doc_id long, quality int, toxic int"))
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    (votes,) = set(folder.glob("votes-*")) - before
+    assert len(list(votes.glob("*.parquet"))) == 1 and known.n1 and known.n0  # for each file the executor starts processes
+
+
+def test_counts_of_a_batch_take_little_memory():
+    docs, labels = toxic_corpus()
+    batch = pa.table({"text": [t for _, t, *_ in docs] * 24, "toxic": [t for *_, t in labels] * 24}).combine_chunks().to_batches()[0]
+    assert batch.column("text").nbytes > 4 << 20
+    sums = lambda out: {h: (a, b) for h, a, b in pa.Table.from_batches(out).group_by("h").aggregate([("ones", "sum"), ("zeros", "sum")]).select(["h", "ones_sum", "zeros_sum"]).to_pandas().itertuples(index=False)}
+    one = sums(toxicity._counts([batch.slice(0, len(docs))]))
+    tracemalloc.start()
+    out = list(toxicity._counts([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sums(out) == {h: (24 * a, 24 * b) for h, (a, b) in one.items()} and peak < 96 << 20, peak
+
+
 def test_restore(spark):
     docs, labels = toxic_corpus()
     model = toxicity.letter_model(frame(spark, docs))

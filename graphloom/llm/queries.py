@@ -1,5 +1,6 @@
 """Registered queries of this subpackage and, where SQL can express them, their DuckDB oracles."""
 
+from .collocations import OP13_SQL, op13_collocations
 from .decontamination import op8_decontaminate
 from .extraction import op6_extract_text
 from .mixing import op9_mix_sources
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_mix_sources": op9_mix_sources,
     "op10_simhash_neardup": op10_simhash_neardup,
+    "op13_collocations": op13_collocations,
 }
 ORACLES: dict[str, str] = {
     "op2_embedding_neardup": OP2_SQL,
@@ -32,4 +34,5 @@ ORACLES: dict[str, str] = {
     "op8_decontaminate": OP8_SQL,
     "op9_mix_sources": OP9_SQL,
     "op10_simhash_neardup": OP10_SQL,
+    "op13_collocations": OP13_SQL,
 }

@@ -4,6 +4,7 @@ from .collocations import OP13_SQL, op13_collocations
 from .decontamination import op8_decontaminate
 from .extraction import op6_extract_text
 from .mixing import op9_mix_sources
+from .negatives import OP12_SQL, op12_hard_negatives
 from .oracles import OP2_SQL, OP3_SQL, OP5_SQL, OP7_SQL, OP8_SQL, OP9_SQL, OP10_SQL
 from .secrets import op7_secret_scan
 from .simhash import op10_simhash_neardup
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_mix_sources": op9_mix_sources,
     "op10_simhash_neardup": op10_simhash_neardup,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_collocations": op13_collocations,
 }
 ORACLES: dict[str, str] = {
@@ -34,5 +36,6 @@ ORACLES: dict[str, str] = {
     "op8_decontaminate": OP8_SQL,
     "op9_mix_sources": OP9_SQL,
     "op10_simhash_neardup": OP10_SQL,
+    "op12_hard_negatives": OP12_SQL,
     "op13_collocations": OP13_SQL,
 }

@@ -6,6 +6,7 @@ from .extraction import op6_extract_text
 from .mixing import op9_mix_sources
 from .negatives import OP12_SQL, op12_hard_negatives
 from .oracles import OP2_SQL, OP3_SQL, OP5_SQL, OP7_SQL, OP8_SQL, OP9_SQL, OP10_SQL
+from .quality import op11_quality_rules
 from .secrets import op7_secret_scan
 from .simhash import op10_simhash_neardup
 from .substrings import op5_substring_dedup
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_mix_sources": op9_mix_sources,
     "op10_simhash_neardup": op10_simhash_neardup,
+    "op11_quality_rules": op11_quality_rules,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_collocations": op13_collocations,
 }

@@ -7,17 +7,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .cluster import arrow_bytes, staged, width
+from .cluster import arrow_bytes, new_path, release, remove
 from .textops import _LOWER, string_bytes
 
 LEAST = 30
 LONGEST = 4
 COVERED = 80  # per cent
 TOP = 2000
-BLOCK_BYTES = 4 << 20
+SALTS = 64  # parts of a language that are ranked apart before their first ones meet
+BLOCK_BYTES = 16 << 20
 BATCH_BYTES = 32 << 20
 
 _BREAK = np.zeros(256, bool)
@@ -30,6 +31,24 @@ _BLOCKS = "block long, lang string, size long, words array<struct<word:string,n:
 _LEVEL = "block long, pairs array<struct<left:long,right:long,n:long>>, seq binary"
 
 
+class _Tables:
+    """Tables in the shared folder; what is needed no more is deleted, shuffle files of jobs that ended with it."""
+
+    def __init__(self, spark):
+        self.spark, self.paths = spark, {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = new_path(self.spark, name)
+        df.write.option("compression", "zstd").parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (out, path)
+        release(self.spark)
+        return out
+
+    def drop(self, df: DataFrame) -> None:
+        remove(self.spark, self.paths.pop(id(df))[1])
+
+
 def _lists(values: pa.Array) -> pa.Array:
     """One list that holds all the values."""
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
@@ -49,7 +68,7 @@ def _words(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     start[first] = word[first]
     end[last] = word[last]
     starts, ends = np.flatnonzero(start), np.flatnonzero(end) + 1
-    piece = np.cumsum(breaks)[starts] + np.searchsorted(off, starts, side="right") if len(starts) else starts
+    piece = np.searchsorted(np.flatnonzero(breaks), starts) + np.searchsorted(off, starts, side="right")
     return data, starts, ends, piece
 
 
@@ -129,19 +148,29 @@ def _pair(batches) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("block").slice(i, 1), _lists(pairs), pa.array([out.tobytes()], pa.binary())], names=["block", "pairs", "seq"])
 
 
-def _named(counts: DataFrame, keys: list[str], least: int, name: str) -> DataFrame:
-    """The keys that occur `least` times or more, with f and an id from 1, as a table."""
-    frequent = counts.groupBy(*keys).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    return staged(frequent.withColumn("id", F.monotonically_increasing_id() + 1), name)
+def _named(entries: DataFrame, keys: list[str], least: int, tables: _Tables) -> DataFrame:
+    """Entries (block, code, keys, n) of keys that occur `least` times or more, with their f and id, as a table.
 
+    All entries of a key meet in one place, once: their sum, the choice and the name need no further shuffle.  An entry is a
+    block's different phrase, so a phrase that stands everywhere is one row per block, which windows spill.
+    `first` marks one entry of each key.
+    """
+    key = Window.partitionBy(*keys)
+    frequent = entries.withColumn("f", F.sum("n").over(key)).where(F.col("f") >= least).withColumn("at", F.monotonically_increasing_id() + 1)
+    frequent = frequent.withColumn("id", F.min("at").over(key)).withColumn("first", F.col("id") == F.col("at"))
+    return tables.write(frequent.select("block", "code", *keys, "f", "id", "first"), "named")
+
+
+def _entries(table: DataFrame, items: str, keys: list[str]) -> DataFrame:
+    rows = table.select("block", *[c for c in keys if c in table.columns], F.posexplode(items).alias("code", "x"))
+    return rows.select("block", "code", *[F.col(c) if c in table.columns else F.col(f"x.{c}").alias(c) for c in keys], "x.n")
 
-def _next_level(table: DataFrame, items: str, names: DataFrame, keys: list[str]) -> DataFrame:
-    """Pairs of the phrases that `names` names, by block."""
-    entries = table.select("block", *[c for c in keys if c in table.columns], F.posexplode(items).alias("code", "x"))
-    entries = entries.select("block", "code", *[F.col(c) if c in table.columns else F.col(f"x.{c}").alias(c) for c in keys])
-    named = entries.join(names.select("id", *keys), keys).groupBy("block").agg(F.collect_list(F.struct("code", "id")).alias("names"))
+
+def _next_level(table: DataFrame, named: DataFrame, tables: _Tables) -> DataFrame:
+    """Pairs of named phrases that follow each other, by block."""
+    names = named.groupBy("block").agg(F.collect_list(F.struct("code", "id")).alias("names"))
     with arrow_bytes(table.sparkSession, BATCH_BYTES):
-        return staged(table.select("block", "seq").join(named, "block").select("block", "names", "seq").mapInArrow(_pair, _LEVEL), "pairs")
+        return tables.write(table.select("block", "seq").join(names, "block").select("block", "names", "seq").mapInArrow(_pair, _LEVEL), "pairs")
 
 
 def _grown(pairs: DataFrame, parents: DataFrame) -> DataFrame:
@@ -180,25 +209,30 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, co
     every longer phrase that holds a phrase holds one a word longer with at least its own count, it is enough to see whether a
     child has `covered` per cent of the phrase's count, which drops the phrase.
 
-    Texts go over the network once, as numbers by blocks of 4 MB; counts and names are of blocks' different phrases, so a word
-    that stands everywhere is a row per block and joins split it as any skewed key.  Null texts are empty, a null lang is
+    Texts become numbers by blocks of 16 MB; a block's different phrases are counted in it, so what goes over the network per level is
+    each of them once with its count, the names of frequent ones back to the block, and the block's numbers.  Null texts are empty, a null lang is
     'und', like the lang of that name; repeated rows count each time; texts of any length count whole; an empty table and
     languages without frequent phrases give no rows.  Ties go by score, a and then the phrase's bytes; other columns are ignored.
     """
-    spark = docs.sparkSession
+    tables = _Tables(docs.sparkSession)
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    blocks = staged(texts.mapInArrow(cut, _BLOCKS), "blocks")
-    sizes = blocks.groupBy("lang").agg(F.sum("size").alias("n"))
-    names = _named(blocks.select("lang", F.inline("words")), ["lang", "word"], least, "words")
-    known = names.select("id", "lang", "f", F.col("word").alias("phrase"), F.col("word").alias("last"), F.array("f").alias("heads"), F.array("f").alias("tails"))
+    with arrow_bytes(docs.sparkSession, BATCH_BYTES):
+        table = tables.write(texts.mapInArrow(cut, _BLOCKS), "blocks")
+    sizes = tables.write(table.groupBy("lang").agg(F.sum("size").alias("n")).hint("rebalance"), "sizes")
+    named = _named(_entries(table, "words", ["lang", "word"]), ["lang", "word"], least, tables)
+    first = named.where("first")
+    known = first.select("id", "lang", "f", F.col("word").alias("phrase"), F.col("word").alias("last"), F.array("f").alias("heads"), F.array("f").alias("tails"))
+    known = tables.write(known.hint("rebalance"), "phrases")
     levels: list[DataFrame] = []
-    table, items, keys = blocks, "words", ["lang", "word"]
     for _ in range(2, longest + 1):
-        table = _next_level(table, items, names, keys)
-        items, keys = "pairs", ["left", "right"]
-        names = _named(table.select(F.inline(items)), keys, least, "names")
-        known = staged(_grown(names, known), "phrases")
+        last, table = (table, named), _next_level(table, named, tables)
+        for old in last:
+            tables.drop(old)
+        named = _named(_entries(table, "pairs", ["left", "right"]), ["left", "right"], least, tables)
+        known = tables.write(_grown(named.where("first").select("id", "left", "right", "f"), known).hint("rebalance"), "phrases")
         levels.append(known)
+    for old in (table, named):
+        tables.drop(old)
     found = None
     for i, level in enumerate(levels):
         rows = level.withColumn("cut", _weakest_cut(i + 2))
@@ -208,13 +242,11 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, co
             rows = rows.join(cover, "id", "left").where(F.col("most").isNull() | (100 * _exact(F.col("most")) < covered * _exact(F.col("f"))))
         rows = rows.select("lang", "phrase", F.col("f").alias("a"), "cut.l", "cut.r", "cut.score")
         found = rows if found is None else found.unionAll(rows)
-    salt = F.pmod(F.xxhash64("phrase"), F.lit(4 * width(spark)))
+    salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))
     return _first(_first(found.withColumn("salt", salt), ["lang", "salt"], top).drop("rank", "salt"), ["lang"], top).join(sizes, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def _first(rows: DataFrame, by: list[str], top: int) -> DataFrame:
-    from pyspark.sql import Window
-
     order = Window.partitionBy(*by).orderBy(F.desc("score"), F.desc("a"), "phrase")
     return rows.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
 

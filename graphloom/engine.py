@@ -16,7 +16,7 @@ from .functions import metrics as M
 from .model import Graph
 from .operators import algorithms as A
 from .sources.files import convert, delete_converted, read_converted, read_text_graph, write_result
-from .storage import shared_dir, staged
+from .storage import move, remove, run_folder, shared_dir, written
 
 log = logging.getLogger(__name__)
 
@@ -113,12 +113,16 @@ class Engine:
         if name not in self.loaded:
             raise ExecutionError(f"graph {name!r} isn't loaded")
 
-    def run(self, algorithm: str, graph: str | Graph, output: str | None = None, runs: int = 1, job_id: str | None = None, **parameters) -> Run:
+    def run(self, algorithm: str, graph: str | Graph, output: str | None = None, runs: int = 1, job_id: str | None = None, resume: bool = False, **parameters) -> Run:
         """Runs an algorithm to its end; with several runs the time logged is their mean.
 
         Unknown algorithms raise ExecutionError, unknown parameters TypeError; what goes wrong in a run, its
         cancelling included, is raised as ExecutionError.  The result is written to `output` unless that is empty.
         The log tells begin and end of processing, and traces the job, its loading, processing and writing.
+
+        All that a run writes lies in one folder, which goes when it ends, fails or is cancelled; only the result moves to
+        `home`/results/<job_id>.  With `resume` a failed run's folder stays, and a run that is started again under its job_id, by the same
+        driver or a new one, goes on from the last superstep that was finished.
         """
         if algorithm not in ALGORITHMS:
             raise ExecutionError(f"unknown algorithm {algorithm!r}")
@@ -133,18 +137,19 @@ class Engine:
         runs = max(1, runs)
         self.spark.sparkContext.setJobGroup(job_id, f"{algorithm} on {graph if isinstance(graph, str) else graph.name}", interruptOnCancel=True)
         try:
-            with self._traced(lines, job_id, "Job"):
-                with self._traced(lines, job_id, "LoadGraph"):
+            with self._span(lines, job_id, "Job"):
+                with self._span(lines, job_id, "LoadGraph"):
                     if isinstance(graph, str):
                         graph = read_converted(self.spark, f"{self.home}/{graph}", self.loaded[graph].directed, graph)
-                with self._traced(lines, job_id, "ProcessGraph", runs):
-                    begin = _now()
-                    self._say(lines, f"{M.STARTS}{begin}")
-                    for _ in range(runs):
-                        result = staged(spec.run(graph, **values), "result")
-                    self._say(lines, f"{M.ENDS}{begin + round((_now() - begin) / runs)}")
-                with self._traced(lines, job_id, "OffloadGraph"):
-                    write_result(result, spec.value, output)
+                with run_folder(self.spark, job_id, keep=resume) as folder:
+                    with self._span(lines, job_id, "ProcessGraph", runs, (M.STARTS, M.ENDS)):
+                        for k in range(runs):
+                            with run_folder(self.spark, f"{job_id}/{k}", keep=resume):
+                                written(spec.run(graph, **values), f"{folder}/result-{k}")
+                    with self._span(lines, job_id, "OffloadGraph"):
+                        move(self.spark, f"{folder}/result-{runs - 1}", f"{self.home}/results/{job_id}")
+                        result = self.spark.read.parquet(f"{self.home}/results/{job_id}")
+                        write_result(result, spec.value, output)
         except Exception as e:
             raise ExecutionError(f"{algorithm} failed: {e}") from e
         finally:
@@ -156,11 +161,16 @@ class Engine:
         log.info(line)
 
     @contextmanager
-    def _traced(self, lines: list[str], job_id: str, mission: str, runs: int = 1) -> Iterator[None]:
-        """Trace records of an operation's begin and end; of several runs the end is that of one of mean length."""
+    def _span(self, lines: list[str], job_id: str, mission: str, runs: int = 1, marks: tuple[str, str] | None = None) -> Iterator[None]:
+        """Trace records, and marks if wanted, of an operation's begin and end, all out of two readings of the clock; of several runs the end is that of one of mean length."""
         start = _now()
+        if marks:
+            self._say(lines, f"{marks[0]}{start}")
         yield
-        for info, at in (("StartTime", start), ("EndTime", start + round((_now() - start) / runs))):
+        end = start + round((_now() - start) / runs)
+        if marks:
+            self._say(lines, f"{marks[1]}{end}")
+        for info, at in (("StartTime", start), ("EndTime", end)):
             self._say(lines, M.trace_text(dict(zip(M.TRACE_FIELDS, (f"{job_id}-{mission}", self.name, "driver", mission, job_id, info, at, at)))))
 
     def finalize(self, run: Run) -> dict[str, object]:
@@ -171,6 +181,10 @@ class Engine:
             self._handler = None
         return run.metrics()
 
+    def delete_result(self, run: Run) -> bool:
+        """Deletes a run's result."""
+        return remove(self.spark, f"{self.home}/results/{run.job_id}")
+
     def terminate(self, job_id: str) -> None:
-        """Cancels a run's jobs."""
+        """Cancels a run's jobs; the run then fails and takes its folder with it."""
         self.spark.sparkContext.cancelJobGroup(job_id)

@@ -21,6 +21,20 @@ class MissingRootError(GraphError):
     """The root of a traversal is no vertex."""
 
 
+@dataclass(frozen=True)
+class Adjacency:
+    """The loaded form of a graph: its neighbours in both directions, as a table that is bucketed by id and sorted.
+
+    rows: id, other, forth and back (edges from id to other and from other to id), weight (the least of those that go forth), share (the part of
+    id's edges that go forth to other); a row without other stands for the vertex itself.  Of hubs, which lie in several buckets, rows have a salt too.
+    """
+
+    rows: DataFrame
+    buckets: int
+    size: int
+    hubs: DataFrame | None = None
+
+
 @dataclass(frozen=True)
 class Graph:
     """vertices (id); edges (src, dst[, weight]) in the directions they can be walked.
@@ -33,6 +47,7 @@ class Graph:
     edges: DataFrame
     directed: bool = True
     name: str = "graph"
+    adjacency: Adjacency | None = None
 
     @property
     def weighted(self) -> bool:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from contextlib import nullcontext
+from contextlib import AbstractContextManager, nullcontext
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,27 +10,40 @@ from pyspark.sql import functions as F
 from ..model import Graph, GraphError
 from ..storage import new_path, static_plans, written
 from . import primitives as P
-from .iterate import CHAIN, CHAIN_ROWS, HUB, Supersteps, dealt, hops_for, partitions_for, repeat
+from .iterate import CHAIN, CHAIN_ROWS, HUB, Dealt, Supersteps, dealt, hops_for, partitions_for, placed
 
 MERGE = 8  # tables of a traversal's state before they are merged
 
 
-def _nearest(graph: Graph, root: int, edges: DataFrame, value: str, zero: Column, hub: int) -> DataFrame:
+def _ways(graph: Graph, weight: Column, used: Column, hub: int) -> AbstractContextManager[Dealt]:
+    """Edges (src, dst, weight), one per pair, and each vertex's to itself without a weight; of pairs with a null weight none."""
+    least = F.min("weight")
+    if graph.adjacency:
+        rows = graph.adjacency.rows.where(F.col("other").isNull() | ((F.col("forth") > 0) & used))
+        salt = ["salt"] if graph.adjacency.hubs is not None else []
+        ways = rows.select(F.col("id").alias("src"), F.coalesce("other", "id").alias("dst"), F.when(F.col("other").isNotNull(), weight).alias("weight"), *salt)
+        return placed(ways, graph.adjacency, least=least)
+    pairs = graph.edges.withColumn("weight", weight).where(used).groupBy("src", "dst").agg(least.alias("weight"))
+    stay = graph.vertices.select("id", "id", F.lit(None).cast(pairs.schema["weight"].dataType))
+    return dealt(pairs.unionAll(stay), "src", hub, least=least)
+
+
+def _nearest(graph: Graph, root: int, ways: AbstractContextManager[Dealt], value: str, zero: Column) -> DataFrame:
     """(id, value): least sum of weights over edges (src, dst, weight) from the root, of vertices that are reached.
 
     A superstep relaxes several hops as one plan, in which vertices keep what they have by an edge to themselves.
     Only what fell in its last hop is still to be sent on: the next frontier.
     """
     start = P.require_vertex(graph.vertices, root)
-    spark = graph.vertices.sparkSession
-    steps = Supersteps(spark, value)
-    ways = edges.select("src", "dst", "weight")
-    stay = graph.vertices.select("id", "id", F.lit(None).cast(ways.schema["weight"].dataType))
-    with dealt(ways.unionAll(stay), "src", hub, least=F.min("weight")) as ways:
+    steps = Supersteps(graph.vertices.sparkSession, value, graph=graph.name, root=root)
+    with ways as ways:
         if (ways.measures["least"] or 0) < 0:
             raise GraphError("negative weights")
-        frontier, _ = steps.write(start.select("id", zero.alias(value), F.lit(True).alias("front")))
-        hops, rows = 4, 1
+        if not steps.values:
+            steps.write(start.select("id", zero.alias(value), F.lit(True).alias("front")))
+            steps.commit(hops=4, rows=1)
+        hops, rows = steps.values["hops"], steps.values["rows"]
+        frontier = steps.table().where("front")
         while rows:
             found = frontier
             for h in range(1, hops + 1):
@@ -41,6 +54,7 @@ def _nearest(graph: Graph, root: int, edges: DataFrame, value: str, zero: Column
             hops, rows = hops_for(seen["front"], rows, hops), seen["front"]
             if rows and len(steps.paths) > MERGE:
                 steps.replace(P.least(steps.but_last(), value).withColumn("front", F.lit(False)), keep=1)
+            steps.commit(hops=hops, rows=rows)
     return P.least(steps.all(), value)
 
 
@@ -49,8 +63,8 @@ def bfs(graph: Graph, root: int, hub: int = HUB) -> DataFrame:
 
     A missing root raises.
     """
-    once = graph.edges.select("src", "dst").distinct().withColumn("weight", F.lit(1).cast("long"))
-    levels = _nearest(graph, root, once, "level", F.lit(0).cast("long"), hub)
+    ways = _ways(graph, F.lit(1).cast("long"), F.lit(True), hub)
+    levels = _nearest(graph, root, ways, "level", F.lit(0).cast("long"))
     return P.with_default(graph.vertices, levels, "level", F.lit(None).cast("long"))
 
 
@@ -62,8 +76,8 @@ def sssp(graph: Graph, root: int, hub: int = HUB) -> DataFrame:
     """
     if not graph.weighted:
         raise GraphError("distances need a weighted graph")
-    light = graph.edges.groupBy("src", "dst").agg(F.min("weight").alias("weight")).where("weight is not null")
-    distances = _nearest(graph, root, light, "distance", F.lit(0.0), hub)
+    ways = _ways(graph, F.col("weight"), F.col("weight").isNotNull(), hub)
+    distances = _nearest(graph, root, ways, "distance", F.lit(0.0))
     return P.with_default(graph.vertices, distances, "distance", F.lit(None).cast("double"))
 
 
@@ -79,14 +93,16 @@ def pagerank(graph: Graph, damping: float = 0.85, iterations: int = 10, hub: int
     """
     spark = graph.vertices.sparkSession
     times = max(1, iterations)
-    steps = Supersteps(spark, "pagerank")
+    steps = Supersteps(spark, "pagerank", graph=graph.name, times=times)
     n = graph.vertices.count()
     if not n:
         return graph.vertices.select("id", F.lit(0.0).alias("rank"))
-    totals = [float(n)]
-    with dealt(P.shares(graph.edges.select("src", "dst")), "src", hub) as edges:
+    totals = steps.values.get("totals", [float(n)])
+    with _shares(graph, hub) as edges:
         walk = graph.vertices.select("id", F.lit(1.0).alias("rank"))
-        for i in range(1, times + 1, CHAIN):
+        if steps.values:
+            walk = steps.table().where(F.col("step") == len(totals) - 1).select("id", "rank")
+        for i in range(len(totals), times + 1, CHAIN):
             last = min(i + CHAIN - 1, times)
             out = None
             for k in range(i, last + 1):
@@ -95,6 +111,7 @@ def pagerank(graph: Graph, damping: float = 0.85, iterations: int = 10, hub: int
                 out = tagged if out is None else out.unionAll(tagged)
             table, seen = steps.write(out, **{f"t{k}": F.sum(F.when(F.col("step") == k, F.col("rank"))) for k in range(i, last + 1)})
             totals += [seen[f"t{k}"] or 0.0 for k in range(i, last + 1)]
+            steps.commit(totals=totals)
             walk = table.where(F.col("step") == last).select("id", "rank")
     parts = _walk_parts(totals, damping, n, times)
     weight = F.element_at(F.array(*[F.lit(p) for p in parts]), F.col("step") + 1)
@@ -102,6 +119,22 @@ def pagerank(graph: Graph, damping: float = 0.85, iterations: int = 10, hub: int
     return P.affine_apply(graph.vertices.select("id"), sums, 1.0, F.lit(parts[0]))
 
 
+def _shares(graph: Graph, hub: int) -> AbstractContextManager[Dealt]:
+    """Edges (src, dst, share), one per pair."""
+    if not graph.adjacency:
+        return dealt(P.shares(graph.edges.select("src", "dst")), "src", hub)
+    salt = ["salt"] if graph.adjacency.hubs is not None else []
+    return placed(graph.adjacency.rows.where("forth > 0").select(F.col("id").alias("src"), F.col("other").alias("dst"), "share", *salt), graph.adjacency)
+
+
+def _votes(graph: Graph, hub: int) -> AbstractContextManager[Dealt]:
+    """Neighbours (src, dst, times) in both directions, one row per pair."""
+    if not graph.adjacency:
+        return dealt(P.neighbour_counts(graph.edges), "src", hub)
+    salt = ["salt"] if graph.adjacency.hubs is not None else []
+    return placed(graph.adjacency.rows.where("other is not null").select(F.col("id").alias("src"), F.col("other").alias("dst"), (F.col("forth") + F.col("back")).alias("times"), *salt), graph.adjacency)
+
+
 def _walk_parts(totals: list[float], damping: float, n: int, times: int) -> list[float]:
     """Each step's part in the ranks after `times` steps; totals: what is left after 0, 1, 2 ... steps of scattering 1 each."""
     lost = [a - b for a, b in zip(totals, totals[1:])]  # what vertices without out-edges held
@@ -118,23 +151,26 @@ def wcc(graph: Graph, rounds: int = 100) -> DataFrame:
     Links are contracted to stars by alternating steps, which takes about log(n) rounds
     where passing labels along edges takes as many as the longest path.
     """
-    steps = Supersteps(graph.vertices.sparkSession, "wcc")
-    links = graph.edges.where("src <> dst").select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b")).distinct()
-    check = {"links": F.count("*"), "hash": F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))}
-    links, before = steps.write(links, **check)
+    steps = Supersteps(graph.vertices.sparkSession, "wcc", graph=graph.name)
+    check = {"links": F.count("*"), "hash": F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).cast("string")}
+    if not steps.values:
+        if graph.adjacency:  # a pair is there once from either end
+            links = graph.adjacency.rows.where("id > other").select(F.col("id").alias("a"), F.col("other").alias("b"))
+        else:
+            links = graph.edges.where("src <> dst").select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b")).distinct()
+        steps.commit(**steps.write(links, **check)[1], settled=False)
     for _ in range(rounds):
+        if steps.values["settled"]:
+            break
         # few links: one plan and one job; many: plans that adapt, so that a vertex of many links is split
+        links, before = steps.table(), steps.values
         few = before["links"] < CHAIN_ROWS
         with static_plans(steps.spark, partitions_for(steps.spark, before["links"]), compiled=False) if few else nullcontext():
-            stars, now = steps.write(P.star_step(links), **check)
-        steps.drop_first()
-        links = stars
-        if now == before:
-            break
-        before = now
+            _, now = steps.replace(P.star_step(links), **check)
+        steps.commit(**now, settled=all(before[k] == now[k] for k in now))
     else:
         raise RuntimeError(f"no fix-point after {rounds} rounds")
-    return P.with_default(graph.vertices, links.select(F.col("a").alias("id"), F.col("b").alias("component")), "component", F.col("id"))
+    return P.with_default(graph.vertices, steps.table().select(F.col("a").alias("id"), F.col("b").alias("component")), "component", F.col("id"))
 
 
 def cdlp(graph: Graph, iterations: int = 10, isolated: str = "own", hub: int = HUB) -> DataFrame:
@@ -147,48 +183,56 @@ def cdlp(graph: Graph, iterations: int = 10, isolated: str = "own", hub: int = H
     """
     if isolated not in ("own", "first"):
         raise GraphError(f"isolated is 'own' or 'first', not {isolated!r}")
-    steps = Supersteps(graph.vertices.sparkSession, "cdlp")
-    with dealt(P.neighbour_counts(graph.edges), "src", hub) as both:
-        labels = P.initial_state(graph.vertices, "label", F.col("id"))
-        labels = repeat(labels, lambda x: P.most_frequent(P.label_histogram(x, both)), iterations, steps)
+    times = max(1, iterations)
+    steps = Supersteps(graph.vertices.sparkSession, "cdlp", graph=graph.name, times=times)
+    with _votes(graph, hub) as both:
+        done = steps.values.get("done", 0)
+        labels = steps.table() if done else P.initial_state(graph.vertices, "label", F.col("id"))
+        while done < times:
+            upto = min(times, done + CHAIN)
+            for _ in range(done, upto):
+                labels = P.most_frequent(P.label_histogram(labels, both))
+            labels, _ = steps.replace(labels)
+            done = upto
+            steps.commit(done=done)
     alone = F.col("id")
     if isolated == "first":
         alone = F.lit(graph.vertices.agg(F.min("id")).first()[0])
     return P.with_default(graph.vertices, labels, "label", alone)
 
 
-def lcc(graph: Graph) -> DataFrame:
+def _pairs(graph: Graph) -> tuple[DataFrame, DataFrame, dict]:
+    """(id, other, m) of each vertex and neighbour, loops too, with the number of directions that edges between them have; degrees; number of loops."""
+    spark = graph.vertices.sparkSession
+    loops = F.count(F.when(F.col("id") == F.col("other"), 1))
+    m = (F.col("forth") > 0).cast("int") + (F.col("back") > 0).cast("int")
+    if graph.adjacency:
+        ends = graph.adjacency.rows.where("other is not null").select("id", "other", m.alias("m"))
+        seen = ends.agg(loops.alias("loops")).first().asDict()
+    else:
+        edges = graph.edges.select(F.col("src").alias("id"), F.col("dst").alias("other"), F.lit(1).alias("forth"), F.lit(0).alias("back"))
+        both = edges.unionAll(edges.select(F.col("other"), F.col("id"), F.col("back"), F.col("forth")))
+        ends, seen = written(both.groupBy("id", "other").agg(F.max("forth").alias("forth"), F.max("back").alias("back")).select("id", "other", m.alias("m")), new_path(spark, "pairs"), loops=loops)
+    degrees = ends.where("id <> other").groupBy("id").agg(F.count("*").alias("d"), F.sum("m").alias("touching"))
+    return ends, written(degrees, new_path(spark, "degrees"))[0], seen
+
+
+def lcc(graph: Graph, block: int = P.BLOCK) -> DataFrame:
     """(id, lcc): share of ordered pairs of neighbours that an edge joins.
 
     Neighbours are the distinct in- and out-neighbours, the vertex itself too if it has a
-    loop.  Triangles are found once each, from their vertex of least degree, so a hub's pairs of
-    neighbours are never listed; then each counts for its three vertices by the directed edges between the other two.
+    loop.  Triangles are found once each, from their vertex of least degree: lists of neighbours of higher degree, of which none is
+    longer than the root of twice the edges, go to the neighbours in blocks and are intersected with theirs.
+    A triangle counts for its three vertices by the directed edges between the other two.
     """
     spark = graph.vertices.sparkSession
-    forth, back = F.max((F.col("src") < F.col("dst")).cast("int")), F.max((F.col("src") > F.col("dst")).cast("int"))
-    pairs = graph.edges.groupBy(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")).agg((forth + back).alias("m"))
-    pairs, seen = written(pairs, new_path(spark, "pairs"), loops=F.count(F.when(F.col("m") == 0, 1)))
-    loops, pairs = pairs.where("u = v").select(F.col("u").alias("id")), pairs.where("u < v")
-    degrees = pairs.select(F.explode(F.array("u", "v")).alias("id"), "m").groupBy("id").agg(F.count("*").alias("d"), F.sum("m").alias("touching"))
-    degrees, _ = written(degrees, new_path(spark, "degrees"))
-    du, dv = (degrees.select(F.col("id").alias(k), F.col("d").alias(f"d{k}")) for k in "uv")
-    up = F.struct("du", "u") < F.struct("dv", "v")
-    low = pairs.join(du, "u").join(dv, "v").select(
-        F.when(up, F.col("u")).otherwise(F.col("v")).alias("a"),
-        F.when(up, F.col("v")).otherwise(F.col("u")).alias("b"),
-        F.when(up, F.col("dv")).otherwise(F.col("du")).alias("d"),
-        "m",
-    )
-    low, _ = written(low, new_path(spark, "ranked"))
-    one, two = (low.select("a", F.col("b").alias(f"b{i}"), F.col("d").alias(f"d{i}"), F.col("m").alias(f"m{i}")) for i in (1, 2))
-    wedges = one.join(two, "a").where(F.struct("d1", "b1") < F.struct("d2", "b2"))
-    closing = low.select(F.col("a").alias("b1"), F.col("b").alias("b2"), F.col("m").alias("m12"))
-    triangles = wedges.join(closing, ["b1", "b2"])
-    counts = triangles.select(F.inline(F.array(F.struct(F.col("a").alias("id"), F.col("m12").alias("t")), F.struct(F.col("b1").alias("id"), F.col("m2").alias("t")), F.struct(F.col("b2").alias("id"), F.col("m1").alias("t")))))
+    ends, degrees, seen = _pairs(graph)
+    lists, _ = written(P.ranked_lists(P.ranked(ends, degrees)), new_path(spark, "lists"))
+    counts = P.closed_triangles(lists, block)
+    loops, pairs = ends.where("id = other").select("id"), ends.where("id <> other")
     if seen["loops"]:
         # one at a neighbour is an edge among neighbours; a vertex's own makes it its own neighbour
-        others = pairs.select(F.col("u").alias("id"), F.col("v").alias("w")).unionAll(pairs.select(F.col("v").alias("id"), F.col("u").alias("w")))
-        counts = counts.unionAll(others.join(loops.select(F.col("id").alias("w")), "w", "left_semi").select("id", F.lit(1).alias("t")))
+        counts = counts.unionAll(pairs.join(loops.select(F.col("id").alias("other")), "other", "left_semi").select("id", F.lit(1).cast("long").alias("t")))
     counts = counts.groupBy("id").agg(F.sum("t").alias("t"))
     state = graph.vertices.join(degrees, "id", "left").join(counts, "id", "left")
     state = state.join(loops.withColumn("loop", F.lit(1)), "id", "left") if seen["loops"] else state.withColumn("loop", F.lit(0))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..model import Graph, MissingRootError, symmetrized
+from ..storage import new_path, written
 from .iterate import Dealt
 
 
@@ -127,6 +128,92 @@ def intersection_sizes(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, ["b", "dst"]).groupBy("a", "b").agg(F.count("*").alias("n"))
 
 
+def prefix_sums(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """rows with before: the sum of `value` over all rows of smaller `key`, which is unique.
+
+    Rows are dealt into ranges of the key; each range sums on its own, and what stands before it is one number a range.
+    """
+    spark = rows.sparkSession
+    ranges, _ = written(rows.repartitionByRange(key).withColumn("_range", F.spark_partition_id()), new_path(spark, "ranges"))
+    totals = ranges.groupBy("_range").agg(F.sum(value).alias("_total"))
+    offsets = totals.select("_range", (F.sum("_total").over(Window.orderBy("_range")) - F.col("_total")).alias("_offset"))  # a row per range
+    inside = F.sum(value).over(Window.partitionBy("_range").orderBy(key)) - F.col(value)
+    return ranges.withColumn("_inside", inside).join(F.broadcast(offsets), "_range").withColumn("before", F.col("_offset") + F.col("_inside")).drop("_range", "_inside", "_offset")
+
+
+def edge_positions(edges: DataFrame) -> tuple[DataFrame, int]:
+    """(id, degree, before) of each source: its edges are numbers before .. before + degree - 1 in the order of sources; and the number of all edges."""
+    degrees = prefix_sums(edges.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("degree")), "id", "degree")
+    return degrees, degrees.agg(F.coalesce(F.sum("degree"), F.lit(0))).first()[0]
+
+
+def edge_bounds(edges: DataFrame, parts: int) -> DataFrame:
+    """(part, id, skip): where each of `parts` ranges of equally many edges begins: at the source id, after `skip` of its edges.
+
+    A hub may stretch over several ranges.  Part p begins at edge ceil(p * edges / parts); parts that begin behind the last edge, and graphs without edges, have no rows.
+    """
+    degrees, total = edge_positions(edges)
+    if not total:
+        return degrees.select(F.lit(0).cast("long").alias("part"), "id", F.lit(0).cast("long").alias("skip")).limit(0)
+    part = lambda at: F.call_function("div", at * F.lit(parts), F.lit(total))
+    first = F.when(F.col("before") > 0, part(F.col("before") - 1) + 1).otherwise(F.lit(0).cast("long"))
+    last = part(F.col("before") + F.col("degree") - 1)
+    cuts = degrees.where(first <= last).withColumn("part", F.explode(F.sequence(first, last)))
+    begins = F.call_function("div", F.col("part") * F.lit(total) + F.lit(parts - 1), F.lit(parts))
+    return cuts.select("part", "id", (begins - F.col("before")).alias("skip"))
+
+
+def edge_parts(edges: DataFrame, parts: int) -> DataFrame:
+    """edges with part: the range of edge_bounds in which each lies, with a hub's edges in the order of a hash of their targets.
+
+    Parts have about equally many edges whatever the degrees; parallel edges stay together.
+    """
+    degrees, total = edge_positions(edges)
+    at = F.col("before") + F.pmod(F.xxhash64("dst"), F.col("degree"))
+    part = F.call_function("div", at * F.lit(parts), F.lit(max(total, 1))).cast("int")
+    return edges.join(degrees.withColumnRenamed("id", "_id"), F.col("src") == F.col("_id")).withColumn("part", part).drop("_id", "degree", "before")
+
+
+BLOCK = 4096  # neighbours that are sent on at once
+
+
+def ranked(ends: DataFrame, degrees: DataFrame) -> DataFrame:
+    """Pairs (a, b, d, m) of ends (id, other, m), once each, from the end of less degree, of equals of less id; d is b's degree."""
+    d = degrees.select(F.col("id").alias("_id"), "d")
+    low = ends.where("id <> other").join(d.withColumnRenamed("d", "da"), F.col("id") == F.col("_id")).drop("_id").join(d, F.col("other") == F.col("_id"))
+    return low.where(F.struct("da", "id") < F.struct("d", "other")).select(F.col("id").alias("a"), F.col("other").alias("b"), "d", "m")
+
+
+def ranked_lists(low: DataFrame) -> DataFrame:
+    """(id, next): each vertex's pairs (b, m), those of one direction and those of both apart by m, in order of degree and id."""
+    lists = low.groupBy("a").agg(F.array_sort(F.collect_list(F.struct("d", "b", "m"))).alias("next"))
+    return lists.select(F.col("a").alias("id"), F.transform("next", lambda x: F.struct(x["b"].alias("b"), x["m"].alias("m"))).alias("next"))
+
+
+def closed_triangles(lists: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(id, t): for each triangle and each of its vertices the number of directed edges between the other two, partly summed.
+
+    Each vertex sends to each neighbour b on its list what follows b there, at most `block` ids a row; b's own list is
+    intersected with that.  Lists are kept apart by m, the directions of their edges, so counts of hits are enough for two of the vertices.
+    """
+    of = lambda x, m: F.transform(F.filter(x, lambda y: y["m"] == m), lambda y: y["b"])
+    sent = lists.select(F.col("id").alias("a"), F.size("next").alias("n"), "next", F.posexplode("next").alias("p", "x"))
+    sent = sent.where("p + 1 < n").withColumn("i", F.explode(F.sequence(F.col("p") + 2, F.col("n"), F.lit(block))))
+    rest = F.slice("next", F.col("i"), F.lit(block))
+    sent = sent.select("a", F.col("x.b").alias("b"), F.col("x.m").alias("m"), of(rest, 1).alias("one"), of(rest, 2).alias("two"))
+    own = lists.select(F.col("id").alias("b"), of(F.col("next"), 1).alias("own_one"), of(F.col("next"), 2).alias("own_two"))
+    hits = sent.join(own, "b").select("a", "b", "m", *[F.array_intersect(x, f"own_{y}").alias(f"{x}_{y}") for x in ("one", "two") for y in ("one", "two")])
+    size = lambda x, y: F.size(f"{x}_{y}").cast("long")
+    for_a = size("one", "one") + size("two", "one") + 2 * (size("one", "two") + size("two", "two"))
+    for_b = size("one", "one") + size("one", "two") + 2 * (size("two", "one") + size("two", "two"))
+    found = F.concat("one_one", "one_two", "two_one", "two_two")
+    m = F.col("m").cast("long")
+    rows = hits.where(F.size(found) > 0).select(
+        F.inline(F.concat(F.array(F.struct(F.col("a").alias("id"), for_a.alias("t")), F.struct(F.col("b").alias("id"), for_b.alias("t"))), F.transform(found, lambda c: F.struct(c.alias("id"), m.alias("t")))))
+    )
+    return rows.groupBy("id").agg(F.sum("t").alias("t"))
+
+
 def guarded_ratio(count: Column, degree: Column) -> Column:
     """count / (degree * (degree - 1)), 0 where the degree is under 2."""
     d = degree.cast("double")

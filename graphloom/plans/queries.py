@@ -13,7 +13,7 @@ from ..model import Graph
 from ..operators import algorithms as A
 from ..operators import primitives as P
 from ..sources.files import convert, read_text_graph, write_result, write_text_graph
-from ..storage import new_path, staged
+from ..storage import new_path
 from . import oracles
 from .fixtures import FIXTURES, graph, root
 
@@ -21,8 +21,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def derived(g: Graph) -> Graph:
-    """The graph written once, for algorithms, which read it more than once."""
-    return Graph(staged(g.vertices, "vertices"), staged(g.edges, "edges"), g.directed, g.name)
+    """The graph in its loaded form, on which algorithms run."""
+    return convert(g, new_path(g.vertices.sparkSession, "loaded"))
 
 
 def on(name: str, f: Callable[[Graph], DataFrame]) -> Query:
@@ -94,6 +94,8 @@ RELAXED = "x AS (SELECT e.dst AS id, min(s.distance + e.weight) AS distance FROM
 HISTOGRAM = "h AS (SELECT b.s AS id, b.d % 10 AS label, count(*) AS n FROM (SELECT src AS s, dst AS d FROM e UNION ALL SELECT dst, src FROM e) b GROUP BY 1, 2)"
 SETS = "b AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e)"
 
+PARTS = 12  # ranges of edges
+
 PRIMITIVES: dict[str, tuple[str, Callable[[Graph], DataFrame], str, str]] = {
     "graph_stats": ("flow", P.graph_stats, "", "SELECT (SELECT count(*) FROM v) AS vertices, (SELECT count(*) FROM e) AS edges"),
     "out_degree": ("flow", P.out_degrees, "", "SELECT v.id, count(e.src) AS degree FROM v LEFT JOIN e ON e.src = v.id GROUP BY v.id"),
@@ -132,6 +134,19 @@ PRIMITIVES: dict[str, tuple[str, Callable[[Graph], DataFrame], str, str]] = {
         SETS,
         "SELECT p.src AS a, p.dst AS b, count(*) AS n FROM (SELECT DISTINCT src, dst FROM e WHERE src < dst) p JOIN b x ON x.src = p.src JOIN b y ON y.src = p.dst AND y.dst = x.dst GROUP BY 1, 2",
     ),
+    "edge_bounds": (
+        "flow",
+        lambda g: P.edge_bounds(g.edges, PARTS),
+        "",
+        f"""SELECT p.part, r.src AS id, r.pos - r.low AS skip FROM (SELECT unnest(range({PARTS})) AS part) p, (SELECT count(*) AS n FROM e) t
+        JOIN (SELECT src, pos, min(pos) OVER (PARTITION BY src) AS low FROM (SELECT src, row_number() OVER (ORDER BY src) - 1 AS pos FROM e)) r ON r.pos = (p.part * t.n + {PARTS} - 1) // {PARTS}""",
+    ),
+    "degree_prefix": (
+        "coorder",
+        lambda g: P.edge_positions(g.edges)[0].select("id", "degree", "before"),
+        "",
+        "SELECT src AS id, degree, (sum(degree) OVER (ORDER BY src) - degree)::BIGINT AS before FROM (SELECT src, count(*) AS degree FROM e GROUP BY src)",
+    ),
     "guarded_ratio": (
         "flow",
         lambda g: P.out_degrees(g).select("id", F.round(P.guarded_ratio(F.col("degree") + 1, F.col("degree")), 10).alias("ratio")),
@@ -188,6 +203,14 @@ SOURCES_AND_SINKS: dict[str, tuple[str, Callable[[Graph], DataFrame], str, str]]
     "text_edges": ("flow", lambda g: _reread(g).edges, "", _EDGES),
     "text_edges_undirected": ("coorder", lambda g: _reread(g).edges, "", _EDGES),
     "converted_scan": ("flow", lambda g: _converted(g).edges, "", _EDGES),
+    "converted_adjacency": (
+        "flow",
+        lambda g: _converted(g).adjacency.rows.select("id", "other", "forth", "back", "weight", F.round("share", 10).alias("share")),
+        """x AS (SELECT src AS id, dst AS other, count(*) AS forth, 0 AS back, min(weight) AS weight FROM e GROUP BY 1, 2 UNION ALL SELECT dst, src, 0, count(*), NULL FROM e GROUP BY 1, 2 UNION ALL SELECT id, NULL, 0, 0, NULL FROM v),
+        k AS (SELECT src, count(*) AS degree FROM e GROUP BY src)""",
+        """SELECT id, other, sum(forth)::BIGINT AS forth, sum(back)::BIGINT AS back, min(weight)::DOUBLE AS weight, round(CASE WHEN sum(forth) > 0 THEN sum(forth)::DOUBLE / any_value(k.degree) END, 10) AS share
+        FROM x LEFT JOIN k ON k.src = x.id GROUP BY id, other""",
+    ),
     "written_lines": ("flow", _written_lines, "", "SELECT v.id || ' ' || count(e.src) AS line FROM v LEFT JOIN e ON e.src = v.id GROUP BY v.id"),
 }
 for _name, (_g, _f, _more, _select) in {**PRIMITIVES, **FORMS, **SOURCES_AND_SINKS}.items():

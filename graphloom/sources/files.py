@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.formatting import result_lines
-from ..model import EDGE_SCHEMA, VERTEX_SCHEMA, WEIGHTED_EDGE_SCHEMA, Graph, GraphError
-from ..storage import remove
+from ..model import EDGE_SCHEMA, VERTEX_SCHEMA, WEIGHTED_EDGE_SCHEMA, Adjacency, Graph, GraphError
+from ..operators.iterate import HUB, partitions_for, salted, salts_of
+from ..storage import bucketed, bucketed_at, get_json, new_path, put_json, remove, written
 
 
 def _columns(spark: SparkSession, path: str, sep: str, schema: StructType) -> DataFrame:
@@ -40,19 +42,56 @@ def read_text_graph(spark: SparkSession, vertices: str, edges: str, directed: bo
     return Graph.of(read_vertices(spark, vertices), read_edges(spark, edges, weighted), directed, name)
 
 
-def convert(graph: Graph, path: str) -> Graph:
-    """Writes the loaded form, edges in ranges of (source, target), over what was there, and returns it as read from there.
+ADJACENCY = "id long, other long, forth long, back long, weight double, share double"
 
-    A vertex with many edges may stretch over several ranges, so no file or task has to hold them all.
+
+def adjacency_rows(graph: Graph) -> DataFrame:
+    """Each vertex with each of its neighbours once, and each vertex alone (other is null); see Adjacency."""
+    weight = F.min("weight") if graph.weighted else F.lit(None).cast("double")
+    pairs = graph.edges.groupBy("src", "dst").agg(F.count("*").alias("n"), weight.alias("weight"))
+    degrees = graph.edges.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("degree"))
+    none, zero = F.lit(None), F.lit(0).cast("long")
+    forth = pairs.select(F.col("src").alias("id"), F.col("dst").alias("other"), F.col("n").alias("forth"), zero.alias("back"), "weight")
+    back = pairs.select("dst", "src", zero, "n", none.cast("double"))
+    own = graph.vertices.select("id", none.cast("long"), zero, zero, none.cast("double"))
+    rows = forth.unionAll(back).unionAll(own).groupBy("id", "other").agg(F.sum("forth").alias("forth"), F.sum("back").alias("back"), F.min("weight").alias("weight"))
+    return rows.join(degrees, "id", "left").select("id", "other", "forth", "back", "weight", F.when(F.col("forth") > 0, F.col("forth") / F.col("degree")).alias("share"))
+
+
+def convert(graph: Graph, path: str, hub: int = HUB) -> Graph:
+    """Writes the loaded form over what was there, and returns it as read from there.
+
+    Edges lie in ranges of (source, target), so a vertex with many edges may stretch over several files.  The adjacency in both
+    directions is a table bucketed by id (of hubs by salt too) and sorted, in which later runs find each vertex's neighbours without a shuffle.
     """
+    spark = graph.vertices.sparkSession
+    remove(spark, f"{path}/adjacency.json")
     graph.vertices.write.mode("overwrite").parquet(f"{path}/vertices")
     graph.edges.repartitionByRange("src", "dst").sortWithinPartitions("src", "dst").write.mode("overwrite").parquet(f"{path}/edges")
-    return read_converted(graph.vertices.sparkSession, path, graph.directed, graph.name)
+    plain = Graph(spark.read.parquet(f"{path}/vertices"), spark.read.parquet(f"{path}/edges"), graph.directed, graph.name)
+    at = new_path(spark, "adjacency")
+    rows, seen = written(adjacency_rows(plain), at, size=F.count("*"))
+    buckets = partitions_for(spark, seen["size"])
+    remove(spark, f"{path}/hubs")
+    hubs = salts_of(rows, "id", seen["size"], buckets, hub, f"{path}/hubs")
+    table = f"adjacency_{uuid.uuid4().hex}"
+    by, order = (["id"], ["id", "other"]) if hubs is None else (["id", "salt"], ["id", "salt", "other"])
+    remove(spark, f"{path}/adjacency")
+    bucketed(rows if hubs is None else salted(rows, "id", hubs), f"{path}/adjacency", table, buckets, by, order)
+    remove(spark, at)
+    put_json(spark, f"{path}/adjacency.json", {"table": table, "buckets": buckets, "size": seen["size"], "hubs": hubs is not None, "directed": graph.directed})
+    return read_converted(spark, path, graph.directed, graph.name)
 
 
 def read_converted(spark: SparkSession, path: str, directed: bool = True, name: str = "graph") -> Graph:
-    """A converted graph: edges already stand in all directions they can be walked."""
-    return Graph(spark.read.parquet(f"{path}/vertices"), spark.read.parquet(f"{path}/edges"), directed, name)
+    """A converted graph: edges already stand in all directions they can be walked.  This session, too, then knows the adjacency as a table."""
+    said = get_json(spark, f"{path}/adjacency.json")
+    at = None
+    if said:
+        hubs = spark.read.parquet(f"{path}/hubs") if said["hubs"] else None
+        by, order, more = (["id", "salt"], ["id", "salt", "other"], ", salt int") if said["hubs"] else (["id"], ["id", "other"], "")
+        at = Adjacency(bucketed_at(spark, f"{path}/adjacency", said["table"], ADJACENCY + more, said["buckets"], by, order), said["buckets"], said["size"], hubs)
+    return Graph(spark.read.parquet(f"{path}/vertices"), spark.read.parquet(f"{path}/edges"), directed, name, at)
 
 
 def write_text_graph(graph: Graph, path: str) -> tuple[str, str]:
@@ -75,4 +114,6 @@ def delete_converted(spark: SparkSession, path: str, name: str) -> bool:
     """Deletes a converted graph; refused unless the path holds the graph's name."""
     if not name or name not in path:
         raise GraphError(f"{path} isn't the folder of graph {name!r}")
+    if said := get_json(spark, f"{path}/adjacency.json"):
+        spark.sql(f"DROP TABLE IF EXISTS {said['table']}")
     return remove(spark, path)

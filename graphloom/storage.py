@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
+_run: ContextVar[str | None] = ContextVar("run", default=None)  # folder of the run that is going on
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir.
@@ -27,7 +32,30 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path of its own in the folder of the run that is going on, or else in the shared folder."""
+    return f"{_run.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession, run: str, keep: bool = False) -> Iterator[str]:
+    """Inside, all tables are made in one folder named after the run.
+
+    It is deleted at the end, and if what is done inside fails or is cancelled; with `keep` a failed run's folder stays, to be
+    resumed.  Where the driver is lost it stays too: a run of the same name goes on from it or replaces it.
+    """
+    folder = f"{shared_dir(spark)}/runs/{run}"
+    token, done = _run.set(folder), False
+    try:
+        yield folder
+        done = True
+    finally:
+        _run.reset(token)
+        if done or not keep:
+            remove(spark, folder)
+
+
+def this_run() -> str | None:
+    return _run.get()
 
 
 def staged(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None) -> DataFrame:
@@ -48,10 +76,73 @@ def written(df: DataFrame, path: str, **measures: Column) -> tuple[DataFrame, di
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get if measures else {}
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def put_json(spark: SparkSession, path: str, value: object) -> None:
+    """Writes a small value as a file that is there whole or not at all: under another name first, then renamed.
+
+    The rename is atomic on HDFS and local disks; stores that copy instead make the file visible when it is complete, too.
+    """
+    p, fs = _file_system(spark, path)
+    t, _ = _file_system(spark, f"{path}-{uuid.uuid4().hex}.tmp")
+    out = fs.create(t, True)
+    out.write(bytearray(json.dumps(value).encode()))
+    out.close()
+    if not fs.rename(t, p):
+        raise RuntimeError(f"{path} can't be written")
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Renames a folder; what was there before goes."""
+    p, fs = _file_system(spark, path)
+    t, _ = _file_system(spark, to)
+    fs.delete(t, True)
+    fs.mkdirs(t.getParent())
+    if not fs.rename(p, t):
+        raise RuntimeError(f"{path} can't be moved to {to}")
+
+
+def get_json(spark: SparkSession, path: str) -> object | None:
+    """What put_json wrote; None if there is no such file."""
+    p, fs = _file_system(spark, path)
+    try:
+        stream = fs.open(p)
+    except Py4JJavaError as e:
+        if "FileNotFoundException" in str(e.java_exception):
+            return None
+        raise
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, in order; none if it isn't there."""
+    p, fs = _file_system(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def bucketed(df: DataFrame, path: str, table: str, buckets: int, by: list[str], order: list[str]) -> DataFrame:
+    """df written as an external table of that many buckets, one file each, sorted; read back, it needs no shuffle by these columns."""
+    spark = df.sparkSession
+    rows = df.repartition(buckets, *by)
+    rows.write.bucketBy(buckets, *by).sortBy(*order).option("path", path).option("compression", "zstd").format("parquet").saveAsTable(table)
+    return spark.table(table)
+
+
+def bucketed_at(spark: SparkSession, path: str, table: str, schema: str, buckets: int, by: list[str], order: list[str]) -> DataFrame:
+    """A table that `bucketed` wrote, in this session or another."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({schema}) USING parquet CLUSTERED BY ({', '.join(by)}) SORTED BY ({', '.join(order)}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(table)
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     """Deletes a folder through Hadoop's file system; False if it wasn't there."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    p, fs = _file_system(spark, path)
     return fs.exists(p) and fs.delete(p, True)
 
 

@@ -38,11 +38,11 @@ class _Tables:
         self.spark, self.paths = spark, {}
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
+        release(self.spark)  # what the job before moved is held by nothing any more
         path = new_path(self.spark, name)
         df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = (out, path)
-        release(self.spark)
         return out
 
     def drop(self, df: DataFrame) -> None:
@@ -153,12 +153,13 @@ def _named(entries: DataFrame, keys: list[str], least: int, tables: _Tables) ->
 
     All entries of a key meet in one place, once: their sum, the choice and the name need no further shuffle.  An entry is a
     block's different phrase, so a phrase that stands everywhere is one row per block, which windows spill.
-    `first` marks one entry of each key.
+    `first` marks one entry of each key, which alone tells the key and f.
     """
     key = Window.partitionBy(*keys)
     frequent = entries.withColumn("f", F.sum("n").over(key)).where(F.col("f") >= least).withColumn("at", F.monotonically_increasing_id() + 1)
     frequent = frequent.withColumn("id", F.min("at").over(key)).withColumn("first", F.col("id") == F.col("at"))
-    return tables.write(frequent.select("block", "code", *keys, "f", "id", "first"), "named")
+    once = [F.when(F.col("first"), F.col(c)).alias(c) for c in [*keys, "f"]]
+    return tables.write(frequent.select("block", "code", "id", "first", *once), "named")
 
 
 def _entries(table: DataFrame, items: str, keys: list[str]) -> DataFrame:

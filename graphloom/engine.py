@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 import time
 import uuid
 from collections.abc import Callable, Iterator
@@ -11,6 +12,7 @@ from dataclasses import dataclass, field
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .functions import metrics as M
 from .model import Graph
@@ -65,6 +67,12 @@ class Run:
         return M.enriched({"processing_time": M.processing_seconds(self.lines), "unit": "s"}, M.operations(M.trace_records(log)))
 
 
+    def operations(self) -> DataFrame:
+        """The run's operations in the engine's job model; ModelError if they don't fit it."""
+        log = self.result.sparkSession.createDataFrame([(x,) for x in self.lines], "line string")
+        return M.linked(M.modelled(M.operations(M.trace_records(log)).withColumn("run", F.lit(self.job_id)), by=["run"]))
+
+
 class Engine:
     """Loads, runs and deletes graphs in one Spark session; converted graphs lie in `home`/<name>."""
 
@@ -76,6 +84,27 @@ class Engine:
         self._log_file = log_file
 
     name = "graphloom"
+    job_model = M.JOB_MODEL
+
+    @classmethod
+    def configured(cls, spark: SparkSession, properties: str) -> "Engine":
+        """An engine set up by a properties file: home, log-file, num-machines and num-threads (1 each), all under `graphloom.`.
+
+        The product of machines and threads, if either is given, becomes the session's number of shuffle partitions.  A file that can't be
+        read, and numbers that are none, abort with ExecutionError.
+        """
+        try:
+            lines = [x.strip() for x in Path(properties).read_text().splitlines()]
+            pairs = [re.split(r"\s*[=:]\s*|\s+", x, maxsplit=1) for x in lines if x and x[0] not in "#!"]
+            said = {k.removeprefix("graphloom."): (v[0] if v else "") for k, *v in pairs if k.startswith("graphloom.")}
+            machines, threads = int(said.get("num-machines", 1)), int(said.get("num-threads", 1))
+            if min(machines, threads) < 1:
+                raise ValueError("machines and threads are 1 at least")
+        except (OSError, ValueError) as e:
+            raise ExecutionError(f"the configuration {properties} can't be read: {e}") from e
+        if {"num-machines", "num-threads"} & set(said):
+            spark.conf.set("spark.sql.shuffle.partitions", machines * threads)
+        return cls(spark, said.get("home") or None, said.get("log-file") or None)
 
     def verify_setup(self) -> None:
         """Raises if the session is gone."""

@@ -2,22 +2,63 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from decimal import ROUND_CEILING, Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # How runs mark begin and end in their logs.
 STARTS, ENDS = "Processing starts at: ", "Processing ends at: "
 MARKER = "TRACE"
 TRACE_FIELDS = ("OperationUuid", "ActorType", "ActorId", "MissionType", "MissionId", "InfoName", "InfoValue", "Timestamp")
-PARENTS = {"Job": "TopActor", "LoadGraph": "Job", "ProcessGraph": "Job", "OffloadGraph": "Job"}
 
 
 class MissingTimesError(ValueError):
     """A log without a begin or an end."""
 
 
+class ModelError(ValueError):
+    """A hierarchy of operations that can't be one, or operations that don't fit it."""
+
+
+@dataclass(frozen=True)
+class Mission:
+    """A kind of operation in a job model: its parent, which of its times come from its children, and whether a run that logs none gets one."""
+
+    name: str
+    parent: str | None = None
+    derived: tuple[str, ...] = ()  # of "start" and "end"
+    filled: bool = False
+
+
+#: what a run of the engine consists of
+JOB_MODEL = (
+    Mission("TopActor", derived=("start", "end"), filled=True),
+    Mission("Job", "TopActor"),
+    Mission("LoadGraph", "Job"),
+    Mission("ProcessGraph", "Job"),
+    Mission("OffloadGraph", "Job"),
+)
+PARENTS = {m.name: m.parent for m in JOB_MODEL if m.parent}
+
+
+def levels(model: tuple[Mission, ...]) -> dict[str, int]:
+    """Each mission's distance from its root; ModelError for repeated names, unknown parents and circles."""
+    parents = {m.name: m.parent for m in model}
+    if len(parents) < len(model):
+        raise ModelError("a mission is declared twice")
+    out = {}
+    for name in parents:
+        way = [name]
+        while (up := parents[way[-1]]) is not None:
+            if up not in parents or up in way:
+                raise ModelError(f"{way[-1]} has no parent {up!r} above it")
+            way.append(up)
+        out[name] = len(way) - 1
+    return out
+
+
 def processing_seconds(lines: list[str]) -> Decimal:
     """Seconds from the last begin to the last end in a run's own lines, three decimals, rounded up."""
     found = {}
@@ -31,9 +72,16 @@ def processing_seconds(lines: list[str]) -> Decimal:
 
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_number, line) of all files under a path, each file as one text so that lines keep their order."""
-    files = spark.read.option("recursiveFileLookup", "true").option("wholetext", "true").text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    return files.select("file", F.posexplode(F.split("value", "\r?\n"))).select("file", (F.col("pos") + 1).alias("line_number"), F.col("col").alias("line"))
+    """(file, line_number, line) of all files under a path, in parts, so that several tasks share a large file.
+
+    Lines of a part keep their order; their numbers come from the parts before, of which there is one row each.
+    """
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    parts = lines.groupBy("file", "part").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("part")) - F.col("n")
+    parts = parts.select("file", "part", (before - F.col("first") + 1).alias("shift"))
+    return lines.join(parts, ["file", "part"]).select("file", (F.col("at") + F.col("shift")).alias("line_number"), "line")
 
 
 def processing_times(logs: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -108,6 +156,51 @@ def operations(records: DataFrame) -> DataFrame:
     return times.withColumn("parent", F.try_element_at(parents, "mission")).withColumn("duration_ms", F.col("end_ms") - F.col("start_ms"))
 
 
+def modelled(ops: DataFrame, model: tuple[Mission, ...] = JOB_MODEL, by: list[str] | None = None) -> DataFrame:
+    """Operations (by..., operation, mission, start_ms, end_ms) in the hierarchy that a model declares, of any depth.
+
+    Adds parent and level of the mission, parents (how many operations of the parent mission the run has; a link is good if that is one)
+    and duration_ms.  Missions that the model doesn't know are left out; `filled` ones that a run lacks are added, named <run>-<mission>.  Derived
+    times are those of the linked children, first start and last end, from the lowest level up; without such children
+    they stay as logged.  by: the columns that tell runs apart.
+    """
+    by = by or []
+    depth = levels(model)
+    spark = ops.sparkSession
+    dim = spark.createDataFrame([(m.name, m.parent, depth[m.name], "start" in m.derived, "end" in m.derived) for m in model], "mission string, parent string, level int, _start boolean, _end boolean")
+    rows = ops.select(*by, "operation", "mission", "start_ms", "end_ms")
+    none = F.lit(None).cast("long")
+    for m in model:
+        if m.filled:
+            lacks = rows.groupBy(*by).agg(F.max((F.col("mission") == m.name).cast("int")).alias("_has")).where("_has = 0")
+            rows = rows.unionAll(lacks.select(*by, F.concat_ws("-", *by, F.lit(m.name)), F.lit(m.name), none, none))
+    rows = rows.join(F.broadcast(dim), "mission").withColumn("parents", F.lit(None).cast("long"))  # a row per declared mission
+    for upper in range(max(depth.values()) - 1, -1, -1):
+        above, below = F.col("level") == upper, F.col("level") == upper + 1
+        family = F.when(above, F.concat(F.lit("of "), "mission")).when(below, F.concat(F.lit("of "), "parent")).otherwise(F.concat(F.lit("own "), "operation"))
+        w = Window.partitionBy(*by, "_family")
+        rows = rows.withColumn("_family", family).withColumns(
+            {"_n": F.sum(above.cast("long")).over(w), "_first": F.min(F.when(below, F.col("start_ms"))).over(w), "_last": F.max(F.when(below, F.col("end_ms"))).over(w)}
+        )
+        good = above & (F.col("_n") == 1)
+        rows = rows.withColumns(
+            {
+                "parents": F.when(below, F.col("_n")).otherwise(F.col("parents")),
+                "start_ms": F.when(good & F.col("_start"), F.coalesce("_first", "start_ms")).otherwise(F.col("start_ms")),
+                "end_ms": F.when(good & F.col("_end"), F.coalesce("_last", "end_ms")).otherwise(F.col("end_ms")),
+            }
+        ).drop("_family", "_n", "_first", "_last")
+    return rows.select(*by, "operation", "mission", "parent", "level", "parents", "start_ms", "end_ms", (F.col("end_ms") - F.col("start_ms")).alias("duration_ms"))
+
+
+def linked(ops: DataFrame) -> DataFrame:
+    """Operations of `modelled` as they are; ModelError if one has no parent or several."""
+    bad = ops.where("parent is not null and parents <> 1").select("mission", "parent", "parents").first()
+    if bad:
+        raise ModelError(f"{bad.mission} has {bad.parents} operations {bad.parent} above it")
+    return ops
+
+
 def top_operation(ops: DataFrame) -> DataFrame:
     """One row: the whole run, from its children's first start to their last end."""
     return ops.where("parent is not null").agg(F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms")).withColumn("duration_ms", F.col("end_ms") - F.col("start_ms"))

@@ -179,28 +179,79 @@ def cdlp(graph: Graph, iterations: int = 10, isolated: str = "own", hub: int = H
     Each vertex takes the most frequent label among its in- and out-neighbours, of equals
     the smallest; reciprocal and parallel edges vote as often as they are there.  A vertex without
     neighbours keeps its own label (isolated='own') or gets the smallest id of all ('first').
-    Votes are counted by (vertex, label) before they meet, so hubs don't gather their neighbours.
+    Votes are counted by (vertex, label) before they meet, so hubs don't gather their neighbours.  Once a quarter of
+    the voters or fewer change their label in a step, only the changes are sent (_settled).
     """
     if isolated not in ("own", "first"):
         raise GraphError(f"isolated is 'own' or 'first', not {isolated!r}")
     times = max(1, iterations)
-    steps = Supersteps(graph.vertices.sparkSession, "cdlp", graph=graph.name, times=times)
+    spark = graph.vertices.sparkSession
+    steps = Supersteps(spark, "cdlp", graph=graph.name, times=times)
     with _votes(graph, hub) as both:
         done = steps.values.get("done", 0)
-        labels = steps.table() if done else P.initial_state(graph.vertices, "label", F.col("id"))
-        while done < times:
+        labels = steps.table().select("id", "label") if done else P.initial_state(graph.vertices, "label", F.col("id"))
+        while done < times and not _settling(steps.values):
             upto = min(times, done + CHAIN)
             for _ in range(done, upto):
-                labels = P.most_frequent(P.label_histogram(labels, both))
-            labels, _ = steps.replace(labels)
+                last, labels = labels, P.most_frequent(P.label_histogram(labels, both))
+            labels, seen = steps.replace(labels.join(last.withColumnRenamed("label", "old"), "id"), changed=F.count(F.when(F.col("label") != F.col("old"), 1)), voters=F.count("*"))
+            labels = labels.select("id", "label")
             done = upto
-            steps.commit(done=done)
+            steps.commit(done=done, **seen)
+        if done < times and steps.values["changed"]:
+            labels = _settled(steps, both, done, times)
     alone = F.col("id")
     if isolated == "first":
         alone = F.lit(graph.vertices.agg(F.min("id")).first()[0])
     return P.with_default(graph.vertices, labels, "label", alone)
 
 
+SETTLING = 0.25  # of the voters changed their label in the last step: from there on only changes are sent
+
+
+def _settling(values: dict) -> bool:
+    return bool(values) and values["changed"] <= SETTLING * values["voters"]
+
+
+def _settled(steps: Supersteps, both: Dealt, done: int, times: int) -> DataFrame:
+    """(id, label) after the rest of the votes, in which only vertices that changed send: one vote less for the old label, one more for the new.
+
+    Histograms are kept as tables of signed entries, bucketed by id, together with the labels that were taken in each step.  A vertex votes again
+    if its histogram changed, by its entries in all tables.  A step in which nothing changes is the last.
+    """
+    log = Supersteps(steps.spark, "cdlp-votes", both.parts, **steps.parameters)
+    votes = lambda t: t.where("step is null").select("id", "label", "n")
+    taken = lambda t: t.where("step is not null").select("id", "label", "step", "old")
+    none = F.lit(None)
+    as_votes = lambda t: t.select("id", "label", "n", none.cast("int").alias("step"), none.cast("long").alias("old"))
+    as_taken = lambda t, step: t.select("id", "label", none.cast("long").alias("n"), step.cast("int").alias("step"), "old")
+    changed = F.count(F.when(F.col("old") != F.col("label"), 1))
+    if not log.values:
+        before = steps.table()
+        all_votes = P.label_histogram(before.select("id", "label"), both)
+        new = P.most_frequent(all_votes).join(before.select("id", F.col("label").alias("old")), "id")
+        _, seen = log.write(as_votes(all_votes).unionAll(as_taken(new, F.lit(done + 1))), changed=changed)
+        log.commit(done=done + 1, **seen)
+    while log.values["done"] < times and log.values["changed"]:
+        step = log.values["done"] + 1
+        tables = log.tables()
+        delta = P.histogram_changes(taken(tables[-1]).where(F.col("step") == step - 1).where("old <> label"), both)
+        new = P.voted_again(delta, [votes(t) for t in tables])
+        have = None
+        for t in tables:
+            some = taken(t).join(delta.select("id").distinct().hint("shuffle_hash"), "id", "left_semi")
+            have = some if have is None else have.unionAll(some)
+        have = have.groupBy("id").agg(F.max_by("label", "step").alias("old"))
+        _, seen = log.write(as_votes(delta).unionAll(as_taken(new.join(have, "id").where("old <> label"), F.lit(step))), changed=changed, sent=F.count(F.when(F.col("step").isNull(), 1)))
+        if len(log.paths) > MERGE:
+            every = log.all()
+            sums = as_votes(votes(every).groupBy("id", "label").agg(F.sum("n").alias("n")).where("n <> 0"))
+            latest = taken(every).groupBy("id").agg(F.max(F.struct("step", "label", "old")).alias("x")).select("id", "x.*")
+            log.replace(sums.unionAll(as_taken(latest, F.col("step"))))
+        log.commit(done=step, **seen)
+    return taken(log.all()).groupBy("id").agg(F.max_by("label", "step").alias("label"))
+
+
 def _pairs(graph: Graph) -> tuple[DataFrame, DataFrame, dict]:
     """(id, other, m) of each vertex and neighbour, loops too, with the number of directions that edges between them have; degrees; number of loops."""
     spark = graph.vertices.sparkSession

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..model import Adjacency
-from ..storage import get_json, listed, new_path, put_json, remove, static_plans, this_run, written
+from ..storage import bucketed, bucketed_at, get_json, listed, new_path, put_json, remove, static_plans, this_run, written
 
 HUB = 100_000  # a source with more edges is dealt over several partitions, once that is more than a share of 1 / SHARES of one
 SHARES = 16
@@ -29,10 +30,13 @@ class Supersteps:
     In a run (see run_folder) each superstep ends in a manifest: the tables that make the state, and the values with which
     the loop goes on.  A new driver that starts the run again under its name finds the last one and goes on from there; a manifest of
     other parameters is thrown away.  What is superseded is deleted only once a manifest no longer names it.
+
+    With `buckets` tables are bucketed by id, so that joins by id leave them where they are.
     """
 
-    def __init__(self, spark: SparkSession, name: str, **parameters: object):
+    def __init__(self, spark: SparkSession, name: str, buckets: int | None = None, **parameters: object):
         self.spark = spark
+        self.buckets = buckets
         self.run = this_run()
         self.folder = f"{self.run}/{name}" if self.run else new_path(spark, name)
         self.parameters = {k: str(v) for k, v in parameters.items()}
@@ -54,7 +58,7 @@ class Supersteps:
         self.values, self.made, self.schema = last["values"], last["made"], StructType.fromJson(last["schema"])
         self.paths = [f"{self.folder}/{x}" for x in last["tables"]]
         for x in {*found} - {*last["tables"], *manifests}:  # begun, never committed
-            remove(self.spark, f"{self.folder}/{x}")
+            self._remove(f"{self.folder}/{x}")
 
     def commit(self, **values: object) -> None:
         """The superstep is over: the loop can be taken up from here with these values."""
@@ -63,21 +67,44 @@ class Supersteps:
             tables = [p.rsplit("/", 1)[1] for p in self.paths]
             put_json(self.spark, f"{self.folder}/manifest-{self.made:06d}.json", {"parameters": self.parameters, "tables": tables, "values": values, "made": self.made, "schema": json.loads(self.schema.json())})
         for path in self.stale:
-            remove(self.spark, path)
+            self._remove(path)
         self.stale = []
 
+    def _name(self, path: str) -> str:
+        return f"superstep_{hashlib.md5(path.encode()).hexdigest()}"
+
+    def _remove(self, path: str) -> None:
+        if self.buckets:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(path)}")
+        remove(self.spark, path)
+
+    def _read(self, path: str) -> DataFrame:
+        if self.buckets:
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in self.schema)
+            return bucketed_at(self.spark, path, self._name(path), columns, self.buckets, ["id"], ["id"])
+        return self.spark.read.schema(self.schema).parquet(path)
+
     def write(self, df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
         """df as a new table, and the measures taken while it was written."""
         path = f"{self.folder}/{self.made}"
-        out, seen = written(df, path, **measures)
         self.schema = self.schema or df.schema
+        if self.buckets:
+            seen = Observation()
+            watched = df.observe(seen, *[c.alias(k) for k, c in measures.items()]) if measures else df
+            out = bucketed(watched, path, self._name(path), self.buckets, ["id"], ["id"])
+            seen = seen.get if measures else {}
+        else:
+            out, seen = written(df, path, **measures)
         self.paths.append(path)
         self.made += 1
         return out, seen
 
     def table(self, i: int = -1) -> DataFrame:
         """One of the tables that are there, by default the last."""
-        return self.spark.read.schema(self.schema).parquet(self.paths[i])
+        return self._read(self.paths[i])
+
+    def tables(self) -> list[DataFrame]:
+        return [self._read(p) for p in self.paths]
 
     def all(self) -> DataFrame:
         """Rows of all tables that are there."""
@@ -110,6 +137,7 @@ class Dealt:
     edges: DataFrame
     key: str
     hubs: DataFrame | None
+    parts: int
     measures: dict
 
     def sends(self, state: DataFrame) -> DataFrame:
@@ -149,7 +177,7 @@ def placed(df: DataFrame, at: Adjacency, **measures: Column) -> Iterator[Dealt]:
     with static_plans(spark, at.buckets, compiled=at.size > CHAIN_ROWS):
         kept = df.persist()
         try:
-            yield Dealt(kept, "src", at.hubs, kept.agg(*[c.alias(k) for k, c in measures.items()]).first().asDict() if measures else {})
+            yield Dealt(kept, "src", at.hubs, at.buckets, kept.agg(*[c.alias(k) for k, c in measures.items()]).first().asDict() if measures else {})
         finally:
             kept.unpersist()
 
@@ -171,7 +199,7 @@ def dealt(df: DataFrame, key: str = "src", hub: int = HUB, **measures: Column) -
     kept = rows.repartition(parts, *by).persist()
     try:
         with static_plans(spark, parts, compiled=seen["_n"] > CHAIN_ROWS):
-            yield Dealt(kept, key, hubs, seen)
+            yield Dealt(kept, key, hubs, parts, seen)
     finally:
         kept.unpersist()
         remove(spark, path)

@@ -128,6 +128,29 @@ def intersection_sizes(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, ["b", "dst"]).groupBy("a", "b").agg(F.count("*").alias("n"))
 
 
+def signed_changes(changes: DataFrame) -> DataFrame:
+    """(id, label, sign): for each vertex that changed from label `old` to `label` one vote less and one more."""
+    return changes.select(F.inline(F.array(F.struct("id", F.col("old").alias("label"), F.lit(-1).alias("sign")), F.struct("id", "label", F.lit(1).alias("sign")))))
+
+
+def histogram_changes(changes: DataFrame, both: DataFrame | Dealt) -> DataFrame:
+    """(id, label, n): what changes (id, old, label) add to the neighbours' label histograms, where it isn't 0."""
+    sent = expand_out(signed_changes(changes), both)
+    return sent.groupBy(F.col("dst").alias("id"), "label").agg(F.sum(F.col("sign") * F.col("times")).alias("n")).where("n <> 0")
+
+
+def voted_again(delta: DataFrame, stored: list[DataFrame]) -> DataFrame:
+    """(id, label): the most frequent label of the vertices whose histogram changed, out of the stored entries (id, label, n) and their changes.
+
+    Stored entries that are bucketed by id don't move but for those of these vertices.
+    """
+    touched = delta.select("id").distinct()
+    entries = delta
+    for table in stored:
+        entries = entries.unionAll(table.join(touched.hint("shuffle_hash"), "id", "left_semi").select("id", "label", "n"))
+    return most_frequent(entries.groupBy("id", "label").agg(F.sum("n").alias("n")).where("n > 0"))
+
+
 def prefix_sums(rows: DataFrame, key: str, value: str) -> DataFrame:
     """rows with before: the sum of `value` over all rows of smaller `key`, which is unique.
 

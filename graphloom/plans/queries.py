@@ -13,7 +13,7 @@ from ..model import Graph
 from ..operators import algorithms as A
 from ..operators import primitives as P
 from ..sources.files import convert, read_text_graph, write_result, write_text_graph
-from ..storage import new_path
+from ..storage import new_path, settings, written
 from . import oracles
 from .fixtures import FIXTURES, graph, root
 
@@ -120,6 +120,14 @@ PRIMITIVES: dict[str, tuple[str, Callable[[Graph], DataFrame], str, str]] = {
     ),
     "label_histogram": ("flow", _histogram, HISTOGRAM, "SELECT * FROM h"),
     "label_argmax": ("flow", lambda g: P.most_frequent(_histogram(g)), HISTOGRAM, "SELECT id, label FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC, label) AS rn FROM h) WHERE rn = 1"),
+    "histogram_changes": (
+        "flow",
+        lambda g: P.histogram_changes(P.most_frequent(_histogram(g)).join(_labels(g).withColumnRenamed("label", "old"), "id").where("old <> label"), P.neighbour_counts(g.edges)),
+        HISTOGRAM + """, l AS (SELECT v.id, v.id % 10 AS old, coalesce(x.label, v.id % 10) AS label FROM v LEFT JOIN (SELECT id, label FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC, label) AS rn FROM h) WHERE rn = 1) x USING (id)),
+        b AS (SELECT src AS s, dst AS d FROM e UNION ALL SELECT dst, src FROM e)""",
+        """SELECT id, label, sum(n)::BIGINT AS n FROM (SELECT b.s AS id, l.label, count(*) AS n FROM b JOIN l ON l.id = b.d GROUP BY 1, 2 UNION ALL SELECT b.s, l.old, -count(*) FROM b JOIN l ON l.id = b.d GROUP BY 1, 2)
+        GROUP BY id, label HAVING sum(n) <> 0""",
+    ),
     "min_label_push": ("flow", lambda g: P.scatter_min(P.initial_state(g.vertices, "component", F.col("id")), g.edges, "component"), "", "SELECT dst AS id, min(src) AS component FROM e GROUP BY dst"),
     "relax_step": ("flow", lambda g: P.relax(_state(g), g.edges).select("id", F.round("distance", 4).alias("distance")), f"{STATE}, {RELAXED}", "SELECT id, round(distance, 4) AS distance FROM x"),
     "activate_improved": (
@@ -278,11 +286,50 @@ def _top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.top_operation(M.operations(M.trace_records(_trace(spark, sf_dir))))
 
 
+#: a model of four levels: times of Run and Job come from below, those of ProcessGraph but for its end are logged
+MODEL = (
+    M.Mission("Run", derived=("start", "end"), filled=True),
+    M.Mission("Job", "Run", derived=("start", "end")),
+    M.Mission("LoadGraph", "Job"),
+    M.Mission("ProcessGraph", "Job", derived=("end",)),
+    M.Mission("OffloadGraph", "Job"),
+    M.Mission("Compute", "ProcessGraph"),
+)
+
+
+def _modelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operations in the model: a Compute in each ProcessGraph, no OffloadGraph where the run has an even number of events, two Jobs where it is divisible by 7."""
+    runs = _runs(spark, sf_dir).withColumn("times", F.when(F.col("n") % 7 == 0, 2).otherwise(1))
+    spans = [("Job", F.col("t0") - 9, F.col("t3") + 100), ("LoadGraph", F.col("t0"), F.col("t0") + F.col("n")), ("ProcessGraph", F.col("t0") + F.col("n"), F.col("t0") + 3 * F.col("n")), ("OffloadGraph", F.col("t3"), F.col("t3") + 50)]
+    spans.append(("Compute", F.col("t0") + F.col("n") + 1, F.col("t0") + 5 * F.col("n")))
+    rows = F.array(*[F.struct(F.lit(m).alias("mission"), a.alias("start_ms"), b.alias("end_ms")) for m, a, b in spans])
+    ops = runs.select("run", "n", "times", F.inline(rows)).where("mission <> 'OffloadGraph' or n % 2 = 1")
+    ops = ops.withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(F.col("mission") == "Job", F.col("times")).otherwise(1)))).withColumn("operation", F.concat_ws("-", "run", "mission", "copy"))
+    return M.modelled(ops, MODEL, ["run"]).drop("parent")
+
+
+def _log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Processing times out of log files that were written as text and are read in parts of a few kilobytes."""
+    path = new_path(spark, "logs")
+    lines = F.array(*[F.concat(F.lit("run "), F.col("run"), F.lit(" "), x) for x in (F.lit("loading"), F.concat(F.lit(M.STARTS), F.col("t0") - 5000), F.concat(F.lit(M.STARTS), F.col("t0")), F.concat(F.lit(M.ENDS), F.col("t3")))])
+    _runs(spark, sf_dir).select(F.explode(lines).alias("value")).write.text(path)
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "64"}):
+        found = M.processing_times(M.read_logs(spark, path).withColumn("run", F.split("line", " ")[1].cast("long")), ["run"])
+        return written(found.select("run", F.col("processing_time").cast("double").alias("processing_time")), new_path(spark, "times"))[0]
+
+
 _T = f"WITH r AS ({oracles.LOG_TIMES}), o AS (SELECT run, t0, t3, n, unnest(['Job', 'LoadGraph', 'ProcessGraph', 'OffloadGraph']) AS mission FROM r), "
 _T += """s AS (SELECT *, CASE mission WHEN 'ProcessGraph' THEN t0 + n WHEN 'OffloadGraph' THEN t3 ELSE t0 END AS a,
  CASE mission WHEN 'Job' THEN t3 + 100 WHEN 'LoadGraph' THEN t0 + n WHEN 'ProcessGraph' THEN t0 + 3 * n ELSE t3 + 50 END AS b FROM o) """
-QUERIES |= {"processing_time": _processing, "trace_parse": _records, "trace_durations": _durations, "trace_breakdown": _breakdown, "trace_top": _top}
+QUERIES |= {"processing_time": _processing, "trace_parse": _records, "trace_durations": _durations, "trace_breakdown": _breakdown, "trace_top": _top, "trace_model": _modelled, "log_files": _log_files}
 ORACLES |= {
+    "log_files": f"SELECT run, round((t3 - t0) / 1000.0, 3)::DOUBLE AS processing_time FROM ({oracles.LOG_TIMES})",
+    "trace_model": f"""WITH r AS ({oracles.LOG_TIMES}), j AS (SELECT *, t0 + 5 * n AS done, CASE WHEN n % 2 = 1 THEN greatest(t0 + 5 * n, t3 + 50) ELSE t0 + 5 * n END AS last, CASE WHEN n % 7 = 0 THEN 2 ELSE 1 END AS jobs FROM r),
+    o AS (SELECT run, run || '-Run' AS operation, 'Run' AS mission, 0 AS level, NULL::BIGINT AS parents, CASE WHEN jobs = 1 THEN t0 ELSE t0 - 9 END AS a, CASE WHEN jobs = 1 THEN last ELSE t3 + 100 END AS b FROM j
+    UNION ALL SELECT run, run || '-Job-' || c, 'Job', 1, 1, CASE WHEN jobs = 1 THEN t0 ELSE t0 - 9 END, CASE WHEN jobs = 1 THEN last ELSE t3 + 100 END FROM (SELECT *, unnest(range(1, jobs + 1)) AS c FROM j)
+    UNION ALL SELECT run, run || '-LoadGraph-1', 'LoadGraph', 2, jobs, t0, t0 + n FROM j UNION ALL SELECT run, run || '-ProcessGraph-1', 'ProcessGraph', 2, jobs, t0 + n, done FROM j
+    UNION ALL SELECT run, run || '-OffloadGraph-1', 'OffloadGraph', 2, jobs, t3, t3 + 50 FROM j WHERE n % 2 = 1 UNION ALL SELECT run, run || '-Compute-1', 'Compute', 3, 1, t0 + n + 1, done FROM j)
+    SELECT run, operation, mission, level::INT AS level, parents, a::BIGINT AS start_ms, b::BIGINT AS end_ms, (b - a)::BIGINT AS duration_ms FROM o""",
     "processing_time": f"SELECT run, round((t3 - t0) / 1000.0, 3)::DOUBLE AS processing_time FROM ({oracles.LOG_TIMES})",
     "trace_parse": _T + "SELECT run, mission, 'Graph Engine' AS actor_type, 'host:' || run AS actor, info, (CASE info WHEN 'StartTime' THEN a ELSE b END)::VARCHAR AS value FROM s, (SELECT unnest(['StartTime', 'EndTime']) AS info)",
     "trace_durations": _T + "SELECT run || '-' || mission AS operation, mission, CASE mission WHEN 'Job' THEN 'TopActor' ELSE 'Job' END AS parent, (b - a)::BIGINT AS duration_ms FROM s",

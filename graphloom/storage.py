@@ -146,6 +146,19 @@ def remove(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and fs.delete(p, True)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The session's settings as given, inside."""
+    was = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @contextmanager
 def static_plans(spark: SparkSession, partitions: int, compiled: bool) -> Iterator[None]:
     """Plans run as they were planned, as one job, over that many shuffle partitions; where few rows are known to come, interpreted.
@@ -153,11 +166,5 @@ def static_plans(spark: SparkSession, partitions: int, compiled: bool) -> Iterat
     For chains of many shuffles whose sizes are known and whose partitions are even by construction.
     """
     names = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(partitions), "spark.sql.codegen.wholeStage": str(compiled).lower()}
-    was = {k: spark.conf.get(k) for k in names}
-    for k, v in names.items():
-        spark.conf.set(k, v)
-    try:
+    with settings(spark, names):
         yield
-    finally:
-        for k, v in was.items():
-            spark.conf.set(k, v)

@@ -154,3 +154,27 @@ def test_failed_and_cancelled_runs_leave_nothing(spark, tmp_path):
     for name in ("wcc", "lcc", "pr", "cdlp"):
         engine.run(name, bad)
     assert set(os.listdir(folder)) <= before and not os.listdir(f"{folder}/runs")
+
+
+@pytest.mark.parametrize("merge", [2, 8])
+def test_votes_of_changes_only(spark, tmp_path, monkeypatch, merge):
+    """Signed changes give the labels of whole votes, and what is sent falls with the changes."""
+    r = random.Random(merge)
+    edges = [(20 * c + r.randrange(20), 20 * c + r.randrange(20), 1.0) for c in range(30) for _ in range(120)] + [(r.randrange(600), r.randrange(600), 1.0) for _ in range(120)] + [(0, i, 1.0) for i in range(0, 600, 3)]
+    g = make(spark, edges, range(620))
+    for graph in (g, convert(g, str(tmp_path / "g"), 60)):
+        for iterations in (3, 12):
+            monkeypatch.setattr(A, "SETTLING", -1)
+            want = values(A.cdlp(graph, iterations), "label")
+            monkeypatch.setattr(A, "SETTLING", 1)
+            monkeypatch.setattr(A, "CHAIN", 1)
+            monkeypatch.setattr(A, "MERGE", merge)
+            seen, commit = [], iterate.Supersteps.commit
+            monkeypatch.setattr(iterate.Supersteps, "commit", lambda self, **v: (seen.append(v), commit(self, **v))[1])
+            got = values(A.cdlp(graph, iterations), "label")
+            monkeypatch.undo()
+            assert got == want
+            sent = [v["sent"] for v in seen if "sent" in v]
+            changed = [v["changed"] for v in seen]
+            assert sent and (iterations == 3 or sent[-1] * 4 < sent[0] and changed[-1] * 4 < changed[0])
+    assert values(A.cdlp(g, 10, "first"), "label")[615] == 0

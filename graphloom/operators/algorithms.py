@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from contextlib import AbstractContextManager, nullcontext
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..model import Graph, GraphError
@@ -12,6 +12,11 @@ from ..storage import new_path, static_plans, written
 from . import primitives as P
 from .iterate import CHAIN, CHAIN_ROWS, HUB, Dealt, Supersteps, dealt, hops_for, partitions_for, placed
 
+def _planned(spark: SparkSession, rows: int) -> AbstractContextManager[None]:
+    """Of few rows a plan is one job over as many partitions as they fill; of many it adapts, so that a vertex of many rows is split."""
+    return static_plans(spark, partitions_for(spark, rows), compiled=False) if rows < CHAIN_ROWS else nullcontext()
+
+
 MERGE = 8  # tables of a traversal's state before they are merged
 
 
@@ -162,10 +167,8 @@ def wcc(graph: Graph, rounds: int = 100) -> DataFrame:
     for _ in range(rounds):
         if steps.values["settled"]:
             break
-        # few links: one plan and one job; many: plans that adapt, so that a vertex of many links is split
         links, before = steps.table(), steps.values
-        few = before["links"] < CHAIN_ROWS
-        with static_plans(steps.spark, partitions_for(steps.spark, before["links"]), compiled=False) if few else nullcontext():
+        with _planned(steps.spark, before["links"]):
             _, now = steps.replace(P.star_step(links), **check)
         steps.commit(**now, settled=all(before[k] == now[k] for k in now))
     else:
@@ -259,13 +262,14 @@ def _pairs(graph: Graph) -> tuple[DataFrame, DataFrame, dict]:
     m = (F.col("forth") > 0).cast("int") + (F.col("back") > 0).cast("int")
     if graph.adjacency:
         ends = graph.adjacency.rows.where("other is not null").select("id", "other", m.alias("m"))
-        seen = ends.agg(loops.alias("loops")).first().asDict()
+        seen = ends.agg(loops.alias("loops"), F.count("*").alias("n")).first().asDict()
     else:
         edges = graph.edges.select(F.col("src").alias("id"), F.col("dst").alias("other"), F.lit(1).alias("forth"), F.lit(0).alias("back"))
         both = edges.unionAll(edges.select(F.col("other"), F.col("id"), F.col("back"), F.col("forth")))
-        ends, seen = written(both.groupBy("id", "other").agg(F.max("forth").alias("forth"), F.max("back").alias("back")).select("id", "other", m.alias("m")), new_path(spark, "pairs"), loops=loops)
+        ends, seen = written(both.groupBy("id", "other").agg(F.max("forth").alias("forth"), F.max("back").alias("back")).select("id", "other", m.alias("m")), new_path(spark, "pairs"), loops=loops, n=F.count("*"))
     degrees = ends.where("id <> other").groupBy("id").agg(F.count("*").alias("d"), F.sum("m").alias("touching"))
-    return ends, written(degrees, new_path(spark, "degrees"))[0], seen
+    with _planned(spark, seen["n"]):
+        return ends, written(degrees, new_path(spark, "degrees"))[0], seen
 
 
 def lcc(graph: Graph, block: int = P.BLOCK) -> DataFrame:
@@ -278,8 +282,9 @@ def lcc(graph: Graph, block: int = P.BLOCK) -> DataFrame:
     """
     spark = graph.vertices.sparkSession
     ends, degrees, seen = _pairs(graph)
-    lists, _ = written(P.ranked_lists(P.ranked(ends, degrees)), new_path(spark, "lists"))
-    counts = P.closed_triangles(lists, block)
+    with _planned(spark, seen["n"]):
+        lists, _ = written(P.ranked_lists(P.ranked(ends, degrees)), new_path(spark, "lists"))
+        counts, _ = written(P.closed_triangles(lists, block), new_path(spark, "triangles"))
     loops, pairs = ends.where("id = other").select("id"), ends.where("id <> other")
     if seen["loops"]:
         # one at a neighbour is an edge among neighbours; a vertex's own makes it its own neighbour

@@ -208,33 +208,40 @@ def ranked(ends: DataFrame, degrees: DataFrame) -> DataFrame:
 
 
 def ranked_lists(low: DataFrame) -> DataFrame:
-    """(id, next): each vertex's pairs (b, m), those of one direction and those of both apart by m, in order of degree and id."""
-    lists = low.groupBy("a").agg(F.array_sort(F.collect_list(F.struct("d", "b", "m"))).alias("next"))
-    return lists.select(F.col("a").alias("id"), F.transform("next", lambda x: F.struct(x["b"].alias("b"), x["m"].alias("m"))).alias("next"))
+    """(id, next, one, two): each vertex's pairs in order of degree and id, and their ids apart by m, the directions of their edges.
+
+    next has b, m and how many ids of `one` and of `two` stand before what follows b.
+    """
+    order = Window.partitionBy("a").orderBy("d", "b")
+    upto = lambda m: F.sum((F.col("m") == m).cast("int")).over(order).cast("int")
+    rows = low.select("a", "d", "b", "m", upto(1).alias("ones"), upto(2).alias("twos"))
+    lists = rows.groupBy("a").agg(F.array_sort(F.collect_list(F.struct("d", "b", "m", "ones", "twos"))).alias("next"))
+    of = lambda m: F.transform(F.filter("next", lambda y: y["m"] == m), lambda y: y["b"])
+    return lists.select(F.col("a").alias("id"), "next", of(1).alias("one"), of(2).alias("two"))
 
 
 def closed_triangles(lists: DataFrame, block: int = BLOCK) -> DataFrame:
     """(id, t): for each triangle and each of its vertices the number of directed edges between the other two, partly summed.
 
-    Each vertex sends to each neighbour b on its list what follows b there, at most `block` ids a row; b's own list is
-    intersected with that.  Lists are kept apart by m, the directions of their edges, so counts of hits are enough for two of the vertices.
+    Each vertex sends to each neighbour b on its list what follows b there, at most `block` ids of either kind a row; b's own lists are
+    intersected with that.  As they are kept apart by m, the numbers of hits are enough for two of the vertices.
     """
-    of = lambda x, m: F.transform(F.filter(x, lambda y: y["m"] == m), lambda y: y["b"])
-    sent = lists.select(F.col("id").alias("a"), F.size("next").alias("n"), "next", F.posexplode("next").alias("p", "x"))
-    sent = sent.where("p + 1 < n").withColumn("i", F.explode(F.sequence(F.col("p") + 2, F.col("n"), F.lit(block))))
-    rest = F.slice("next", F.col("i"), F.lit(block))
-    sent = sent.select("a", F.col("x.b").alias("b"), F.col("x.m").alias("m"), of(rest, 1).alias("one"), of(rest, 2).alias("two"))
-    own = lists.select(F.col("id").alias("b"), of(F.col("next"), 1).alias("own_one"), of(F.col("next"), 2).alias("own_two"))
-    hits = sent.join(own, "b").select("a", "b", "m", *[F.array_intersect(x, f"own_{y}").alias(f"{x}_{y}") for x in ("one", "two") for y in ("one", "two")])
+    sent = lists.select(F.col("id").alias("a"), "one", "two", F.inline("next"))
+    blocks = F.ceil(F.greatest(F.size("one") - F.col("ones"), F.size("two") - F.col("twos")) / block)
+    sent = sent.withColumn("blocks", blocks.cast("int")).where("blocks > 0").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rest = lambda x: F.slice(x, F.col(f"{x}s") + F.col("i") * block + 1, F.lit(block)).alias(x)
+    own = lists.select(F.col("id").alias("b"), F.col("one").alias("own_one"), F.col("two").alias("own_two"))
+    both = sent.select("a", "b", "m", rest("one"), rest("two")).join(own, "b")
+    none = F.array().cast("array<bigint>")
+    hit = lambda x, y: F.when((F.size(x) > 0) & (F.size(f"own_{y}") > 0), F.array_intersect(x, f"own_{y}")).otherwise(none).alias(f"{x}_{y}")
+    hits = both.select("a", "b", "m", *[hit(x, y) for x in ("one", "two") for y in ("one", "two")])
     size = lambda x, y: F.size(f"{x}_{y}").cast("long")
     for_a = size("one", "one") + size("two", "one") + 2 * (size("one", "two") + size("two", "two"))
     for_b = size("one", "one") + size("one", "two") + 2 * (size("two", "one") + size("two", "two"))
-    found = F.concat("one_one", "one_two", "two_one", "two_two")
-    m = F.col("m").cast("long")
-    rows = hits.where(F.size(found) > 0).select(
-        F.inline(F.concat(F.array(F.struct(F.col("a").alias("id"), for_a.alias("t")), F.struct(F.col("b").alias("id"), for_b.alias("t"))), F.transform(found, lambda c: F.struct(c.alias("id"), m.alias("t")))))
-    )
-    return rows.groupBy("id").agg(F.sum("t").alias("t"))
+    found, m = F.concat("one_one", "one_two", "two_one", "two_two"), F.col("m").cast("long")
+    row = lambda i, t: F.struct(i.alias("id"), t.alias("t"))
+    ends = F.filter(F.array(row(F.col("a"), for_a), row(F.col("b"), for_b)), lambda x: x["t"] > 0)
+    return hits.select(F.inline(F.concat(ends, F.transform(found, lambda c: row(c, m))))).groupBy("id").agg(F.sum("t").alias("t"))
 
 
 def guarded_ratio(count: Column, degree: Column) -> Column:

@@ -5,14 +5,14 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.formatting import result_lines
 from ..model import EDGE_SCHEMA, VERTEX_SCHEMA, WEIGHTED_EDGE_SCHEMA, Adjacency, Graph, GraphError
 from ..operators.iterate import HUB, partitions_for, salted, salts_of
-from ..storage import bucketed, bucketed_at, get_json, new_path, put_json, remove, written
+from ..storage import bucketed, bucketed_at, get_json, put_json, remove, written
 
 
 def _columns(spark: SparkSession, path: str, sep: str, schema: StructType) -> DataFrame:
@@ -65,21 +65,20 @@ def convert(graph: Graph, path: str, hub: int = HUB) -> Graph:
     directions is a table bucketed by id (of hubs by salt too) and sorted, in which later runs find each vertex's neighbours without a shuffle.
     """
     spark = graph.vertices.sparkSession
-    remove(spark, f"{path}/adjacency.json")
-    graph.vertices.write.mode("overwrite").parquet(f"{path}/vertices")
-    graph.edges.repartitionByRange("src", "dst").sortWithinPartitions("src", "dst").write.mode("overwrite").parquet(f"{path}/edges")
-    plain = Graph(spark.read.parquet(f"{path}/vertices"), spark.read.parquet(f"{path}/edges"), graph.directed, graph.name)
-    at = new_path(spark, "adjacency")
-    rows, seen = written(adjacency_rows(plain), at, size=F.count("*"))
-    buckets = partitions_for(spark, seen["size"])
-    remove(spark, f"{path}/hubs")
-    hubs = salts_of(rows, "id", seen["size"], buckets, hub, f"{path}/hubs")
+    for part in ("adjacency.json", "vertices", "edges", "hubs", "adjacency"):
+        remove(spark, f"{path}/{part}")
+    vertices, v = written(graph.vertices, f"{path}/vertices", n=F.count("*"))
+    edges, e = written(graph.edges.repartitionByRange("src", "dst").sortWithinPartitions("src", "dst"), f"{path}/edges", n=F.count("*"))
+    most = v["n"] + 2 * e["n"]  # rows of the adjacency, unless edges are parallel or reciprocal
+    buckets = partitions_for(spark, most)
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("id"))
+    hubs = salts_of(ends, "id", most, buckets, hub, f"{path}/hubs")
     table = f"adjacency_{uuid.uuid4().hex}"
     by, order = (["id"], ["id", "other"]) if hubs is None else (["id", "salt"], ["id", "salt", "other"])
-    remove(spark, f"{path}/adjacency")
-    bucketed(rows if hubs is None else salted(rows, "id", hubs), f"{path}/adjacency", table, buckets, by, order)
-    remove(spark, at)
-    put_json(spark, f"{path}/adjacency.json", {"table": table, "buckets": buckets, "size": seen["size"], "hubs": hubs is not None, "directed": graph.directed})
+    rows = adjacency_rows(Graph(vertices, edges, graph.directed, graph.name))
+    seen = Observation()
+    bucketed((rows if hubs is None else salted(rows, "id", hubs)).observe(seen, F.count("*").alias("size")), f"{path}/adjacency", table, buckets, by, order)
+    put_json(spark, f"{path}/adjacency.json", {"table": table, "buckets": buckets, "size": seen.get["size"], "hubs": hubs is not None, "directed": graph.directed})
     return read_converted(spark, path, graph.directed, graph.name)
 
 

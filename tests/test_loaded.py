@@ -30,8 +30,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("which", ["d", "u"])
-@pytest.mark.parametrize("hub", [iterate.HUB, 1])
+@pytest.mark.parametrize("which,hub", [("d", 1), ("u", iterate.HUB)])
 def test_golden_on_loaded_form(spark, tmp_path, which, hub):
     g = convert(make(spark, parsed(DIRECTED if which == "d" else UNDIRECTED), directed=which == "d"), str(tmp_path / "g"), hub)
     assert (g.adjacency.hubs is not None) == (hub == 1)
@@ -46,7 +45,7 @@ def test_loaded_form_equals_edges(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(iterate, "PART_EDGES", 500)
     g = make(spark, power_law(), range(650))
     loaded = convert(g, str(tmp_path / "g"), 300)
-    assert loaded.adjacency.buckets == 4 and loaded.adjacency.hubs is not None
+    assert loaded.adjacency.buckets > 2 and loaded.adjacency.hubs is not None
     for name, (column, f) in ALGORITHMS.items():
         a, b = values(f(g), column), values(f(loaded), column)
         assert a.keys() == b.keys() and all(x == b[i] or math.isclose(x, b[i], rel_tol=1e-12) for i, x in a.items()), name

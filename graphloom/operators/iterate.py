@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..model import Adjacency
-from ..storage import bucketed, bucketed_at, get_json, listed, new_path, put_json, remove, static_plans, this_run, written
+from ..storage import bucketed, bucketed_at, get_json, listed, new_path, put_json, remove, resumable_path, static_plans, written
 
 HUB = 100_000  # a source with more edges is dealt over several partitions, once that is more than a share of 1 / SHARES of one
 SHARES = 16
@@ -37,15 +37,16 @@ class Supersteps:
     def __init__(self, spark: SparkSession, name: str, buckets: int | None = None, **parameters: object):
         self.spark = spark
         self.buckets = buckets
-        self.run = this_run()
-        self.folder = f"{self.run}/{name}" if self.run else new_path(spark, name)
+        path = resumable_path(name)
+        self.resumable = path is not None
+        self.folder = path or new_path(spark, name)
         self.parameters = {k: str(v) for k, v in parameters.items()}
         self.paths: list[str] = []
         self.values: dict = {}
         self.stale: list[str] = []
         self.schema = None
         self.made = 0
-        if self.run:
+        if self.resumable:
             self._resume()
 
     def _resume(self) -> None:
@@ -63,7 +64,7 @@ class Supersteps:
     def commit(self, **values: object) -> None:
         """The superstep is over: the loop can be taken up from here with these values."""
         self.values = values
-        if self.run:
+        if self.resumable:
             tables = [p.rsplit("/", 1)[1] for p in self.paths]
             put_json(self.spark, f"{self.folder}/manifest-{self.made:06d}.json", {"parameters": self.parameters, "tables": tables, "values": values, "made": self.made, "schema": json.loads(self.schema.json())})
         for path in self.stale:

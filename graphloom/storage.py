@@ -5,14 +5,26 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
-_run: ContextVar[str | None] = ContextVar("run", default=None)  # folder of the run that is going on
+
+@dataclass
+class _Run:
+    """The run that is going on: its folder, how often each name was used in it, and the tables that the session knows of it."""
+
+    folder: str
+    used: Counter = field(default_factory=Counter)
+    tables: list[str] = field(default_factory=list)
+
+
+_run: ContextVar[_Run | None] = ContextVar("run", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,7 +45,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path of its own in the folder of the run that is going on, or else in the shared folder."""
-    return f"{_run.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    run = _run.get()
+    return f"{run.folder if run else shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @contextmanager
@@ -43,19 +56,32 @@ def run_folder(spark: SparkSession, run: str, keep: bool = False) -> Iterator[st
     It is deleted at the end, and if what is done inside fails or is cancelled; with `keep` a failed run's folder stays, to be
     resumed.  Where the driver is lost it stays too: a run of the same name goes on from it or replaces it.
     """
-    folder = f"{shared_dir(spark)}/runs/{run}"
-    token, done = _run.set(folder), False
+    now = _Run(f"{shared_dir(spark)}/runs/{run}")
+    token, done = _run.set(now), False
     try:
-        yield folder
+        yield now.folder
         done = True
     finally:
         _run.reset(token)
+        for table in now.tables:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
         if done or not keep:
-            remove(spark, folder)
+            remove(spark, now.folder)
 
 
-def this_run() -> str | None:
-    return _run.get()
+def resumable_path(name: str) -> str | None:
+    """The path that the n-th use of a name has in the run that is going on, whichever driver runs it; None outside runs."""
+    run = _run.get()
+    if not run:
+        return None
+    run.used[name] += 1
+    return f"{run.folder}/{name}-{run.used[name]}"
+
+
+def _known(table: str) -> str:
+    if run := _run.get():
+        run.tables.append(table)
+    return table
 
 
 def staged(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None) -> DataFrame:
@@ -130,14 +156,15 @@ def bucketed(df: DataFrame, path: str, table: str, buckets: int, by: list[str],
     """df written as an external table of that many buckets, one file each, sorted; read back, it needs no shuffle by these columns."""
     spark = df.sparkSession
     rows = df.repartition(buckets, *by)
-    rows.write.bucketBy(buckets, *by).sortBy(*order).option("path", path).option("compression", "zstd").format("parquet").saveAsTable(table)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")  # one of a run that was lost; files of external tables stay
+    rows.write.bucketBy(buckets, *by).sortBy(*order).option("path", path).option("compression", "zstd").format("parquet").saveAsTable(_known(table))
     return spark.table(table)
 
 
 def bucketed_at(spark: SparkSession, path: str, table: str, schema: str, buckets: int, by: list[str], order: list[str]) -> DataFrame:
     """A table that `bucketed` wrote, in this session or another."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({schema}) USING parquet CLUSTERED BY ({', '.join(by)}) SORTED BY ({', '.join(order)}) INTO {buckets} BUCKETS LOCATION '{path}'")
-    return spark.table(table)
+    return spark.table(_known(table))
 
 
 def remove(spark: SparkSession, path: str) -> bool:

@@ -119,3 +119,4 @@ def test_cancel_a_running_job(spark, tmp_path):
     engine.terminate("slow")
     t.join(50)
     assert seen and time.time() < begin + 55
+    assert "slow" not in os.listdir(f"{spark.sparkContext.getCheckpointDir().removeprefix('file:')}/runs")

@@ -14,6 +14,8 @@ from graphloom.operators import iterate
 from graphloom.operators import primitives as P
 from graphloom.sources.files import convert, delete_converted, read_converted
 
+from graphloom.storage import run_folder
+
 from .test_golden import DIRECTED, GOLDEN, IDS, UNDIRECTED, make, parsed, values
 
 ALGORITHMS = {"bfs": ("level", lambda g: A.bfs(g, 10)), "sssp": ("distance", lambda g: A.sssp(g, 10)), "wcc": ("component", A.wcc), "cdlp": ("label", A.cdlp), "lcc": ("lcc", A.lcc), "pr": ("rank", A.pagerank)}
@@ -143,16 +145,29 @@ def test_a_new_driver_resumes(spark, tmp_path, monkeypatch, name):
     assert other.delete_result(run)
 
 
-def test_failed_and_cancelled_runs_leave_nothing(spark, tmp_path):
+def test_failed_and_repeated_runs_leave_nothing(spark, tmp_path, monkeypatch):
     folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
     engine = Engine(spark, str(tmp_path / "home"))
     bad = make(spark, [(1, 2, -1.0)], [1, 2])
     before = set(os.listdir(folder)) | {"runs"}
     with pytest.raises(ExecutionError):
         engine.run("sssp", bad, root=1)
-    for name in ("wcc", "lcc", "pr", "cdlp"):
-        engine.run(name, bad)
+    monkeypatch.setattr(A, "SETTLING", 1)
+    for name in ("wcc", "lcc", "pr", "cdlp", "cdlp"):
+        engine.run(name, bad, job_id="twice")
     assert set(os.listdir(folder)) <= before and not os.listdir(f"{folder}/runs")
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("superstep_")]
+
+
+def test_runs_keep_uses_of_a_name_apart(spark):
+    """Two traversals of one run don't take each other's supersteps for their own."""
+    a, b = make(spark, [(1, 2, 1.0)], [1, 2, 3]), make(spark, [(1, 3, 1.0)], [1, 2, 3])
+    with run_folder(spark, "both"):
+        assert [values(A.bfs(g, 1), "level") for g in (a, b)] == [{1: 0, 2: 1, 3: None}, {1: 0, 2: None, 3: 1}]
+
+
+def test_partitions_follow_the_rows(spark):
+    assert [iterate.partitions_for(spark, n) for n in (0, 25_001, 10**6, 10**9)] == [1, 2, 4, 500]
 
 
 @pytest.mark.parametrize("merge", [2, 8])

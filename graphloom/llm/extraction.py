@@ -36,8 +36,10 @@ READERS = frozenset("comment comments reply replies respond disqus".split())
 APART_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog form menu".split())
 STRAY = 2  # characters that may stand outside the main container: separators and the like
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*(?:>|\Z)|</[^A-Za-z>][^>]*(?:>|\Z)|<(?=/?[A-Za-z]).*\Z", re.S)
-_ATTR = re.compile(r"([^\s=\"'/]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"']+)")
+_ATTRIBUTE = r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+))?+"  # quotes inside an unquoted value are part of it
+_BARE = _ATTRIBUTE.replace("(", "(?:").replace("(?:?:", "(?:")
+_MARKUP = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?:[\s/]++|{_BARE})*+)>|<[!?][^>]*(?:>|\Z)|</[^A-Za-z>][^>]*(?:>|\Z)|<(?=/?[A-Za-z]).*\Z", re.S)
+_ATTR = re.compile(_ATTRIBUTE)
 _PARTS = re.compile(r"[\W\d_]+")
 _DIGITS = re.compile(r"\d+")
 
@@ -82,7 +84,7 @@ class Page:
 def _attributes(raw: str) -> dict[str, str]:
     out: dict[str, str] = {}
     for k, v in _ATTR.findall(raw):
-        out.setdefault(k.lower(), v[1:-1] if v[0] in "\"'" else v)
+        out.setdefault(k.lower(), v[1:-1] if v[:1] in ("'", '"') else v)
     return out
 
 

@@ -90,18 +90,30 @@ class TokenRollup:
     counters: dict[str, Callable]
 
     def _mark(self, name: str, **content) -> bool:
-        """Writes a marker; False if there is one of that name."""
-        jvm = self.spark._jvm
+        """Writes a marker; False if there is one of that name.
+
+        It is written under another name and then renamed, which fails if the name is taken: a marker is there whole or not at all (on HDFS and
+        local disks; on stores without such a rename one driver at a time may write).  A marker without content, as a driver may have
+        left that was lost between creating and writing one, counts as none.
+        """
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         p = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/markers/{name}")
-        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs = p.getFileSystem(conf)
+        if fs.exists(p) and not fs.getFileStatus(p).getLen():
+            fs.delete(p, False)
+        t = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/claims/{uuid.uuid4().hex}")
+        out = fs.create(t, False)
+        out.write(bytearray(json.dumps(content).encode()))
+        out.close()
+        fs.mkdirs(p.getParent())
+        plain = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
         try:
-            out = fs.create(p, False)
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), conf).rename(fs.makeQualified(t), fs.makeQualified(p), plain)
         except Py4JJavaError:
+            fs.delete(t, False)
             if fs.exists(p):
                 return False
             raise
-        out.write(bytearray(json.dumps(content).encode()))
-        out.close()
         return True
 
     def _state(self) -> tuple[list[str], set[str], int]:

@@ -192,3 +192,21 @@ def test_votes_of_changes_only(spark, tmp_path, monkeypatch, merge):
             changed = [v["changed"] for v in seen]
             assert sent and (iterations == 3 or sent[-1] * 4 < sent[0] and changed[-1] * 4 < changed[0])
     assert values(A.cdlp(g, 10, "first"), "label")[615] == 0
+
+
+def test_stored_histograms_stay_where_they_lie(spark, monkeypatch):
+    """Voting again joins the stored entries bucket by bucket: only what changed, and what these vertices hold, is shuffled."""
+    monkeypatch.setattr(iterate, "PART_EDGES", 500)
+    g = make(spark, power_law(5), range(650))
+    with A._votes(g, iterate.HUB) as both:
+        log = iterate.Supersteps(spark, "entries", both.parts)
+        labels = P.initial_state(g.vertices, "label", F.col("id"))
+        for _ in range(2):
+            log.write(P.label_histogram(labels, both))
+        changes = labels.where("id < 5").select("id", F.col("label").alias("old"), F.lit(1).cast("long").alias("label"))
+        text = plan(P.voted_again(P.histogram_changes(changes, both), log.tables()))
+        scans = [i for i, x in enumerate(text.splitlines()) if "Bucketed: true" in x]
+        assert both.parts > 1 and len(scans) == 2
+        for i in scans:  # up from the scan, no exchange before the join
+            up = next(x for x in reversed(text.splitlines()[:i]) if "Join" in x or "Exchange" in x)
+            assert "Join" in up, up

@@ -46,7 +46,8 @@ class _Tables:
         return out
 
     def drop(self, df: DataFrame) -> None:
-        remove(self.spark, self.paths.pop(id(df))[1])
+        if id(df) in self.paths:
+            remove(self.spark, self.paths.pop(id(df))[1])
 
 
 def _lists(values: pa.Array) -> pa.Array:
@@ -140,11 +141,13 @@ def _pair(batches) -> Iterator[pa.RecordBatch]:
             ids[code + 1] = name
             known = ids[seq] > 0
             at = np.flatnonzero(known[:-1] & known[1:])
-            key, inverse, n = np.unique(seq[at].astype(np.int64) * len(ids) + seq[at + 1], return_inverse=True, return_counts=True)
+            local, place = np.unique(ids, return_inverse=True)  # pairs in the order of their names, which packs well
+            place = place[seq]
+            key, inverse, n = np.unique(place[at] * len(local) + place[at + 1], return_inverse=True, return_counts=True)
             gap = np.concatenate([[0], np.cumsum(np.diff(at) != 1)]) if len(at) else at
             out = np.zeros(len(at) + int(gap[-1]) if len(at) else 0, np.int32)
             out[np.arange(len(at)) + gap] = inverse + 1
-            pairs = pa.StructArray.from_arrays([pa.array(ids[key // len(ids)]), pa.array(ids[key % len(ids)]), pa.array(n.astype(np.int64))], fields=list(_PAIR))
+            pairs = pa.StructArray.from_arrays([pa.array(local[key // len(local)]), pa.array(local[key % len(local)]), pa.array(n.astype(np.int64))], fields=list(_PAIR))
             yield pa.RecordBatch.from_arrays([batch.column("block").slice(i, 1), _lists(pairs), pa.array([out.tobytes()], pa.binary())], names=["block", "pairs", "seq"])
 
 
@@ -229,6 +232,8 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, co
         last, table = (table, named), _next_level(table, named, tables)
         for old in last:
             tables.drop(old)
+        if table.isEmpty() and levels:  # no two named phrases follow each other: nothing longer is frequent
+            break
         named = _named(_entries(table, "pairs", ["left", "right"]), ["left", "right"], least, tables)
         known = tables.write(_grown(named.where("first").select("id", "left", "right", "f"), known).hint("rebalance"), "phrases")
         levels.append(known)

@@ -167,6 +167,18 @@ def test_bpe_of_long_white_space(monkeypatch):
     assert all(x > 0 for x in count([" " * 1_000_000, "a" * 1_000_000, "x \n" * 300_000, "word" + "\n" * 1_000_000 + " end", "é" * 500_000]))
 
 
+def test_marker_of_a_lost_driver(spark, tmp_path):
+    """An empty marker is none: the batch can be committed; a whole one isn't replaced."""
+    roll = tokencounts.TokenRollup(spark, str(tmp_path / "roll"), {"v1": lambda: lambda ts: [len(t) for t in ts]})
+    (tmp_path / "roll" / "markers").mkdir(parents=True)
+    (tmp_path / "roll" / "markers" / "batch-x").touch()
+    assert not roll.committed("x")
+    rows = spark.createDataFrame([("insert", 1, "s", "en", "abc")], "op string, doc_id long, source string, lang string, text string")
+    assert roll.commit("x", rows) and roll.committed("x") and not roll.commit("x", rows)
+    assert not roll._mark("batch-x", id="x", path="other") and [r.n_tokens for r in roll.totals().collect()] == [3]
+    assert not list((tmp_path / "roll" / "claims").glob("[!.]*"))
+
+
 # --- 2 embeddings ---------------------------------------------------------------------------------------
 
 
@@ -219,6 +231,25 @@ def test_small_world_recall():
     assert np.mean([np.isin(node[t], f).mean() for t, f in zip(true, found)]) >= 0.9
 
 
+def test_near_vectors_search_graphs(spark, monkeypatch):
+    """Links come from searches of the shards' graphs; brute force only answers audits; recall of the query is whole against brute force."""
+    counted = Counter()
+    search, everything = vectors.SmallWorld.search, vectors._all_near
+    monkeypatch.setattr(vectors.SmallWorld, "search", lambda self, q, beam, block=256: (counted.update(searched=len(q)), search(self, q, beam, block))[1])
+    monkeypatch.setattr(vectors, "_all_near", lambda graph, q, rows, least, block=512: (counted.update(compared=len(rows)), everything(graph, q, rows, least, block))[1])
+    r = np.random.default_rng(2)
+    x = r.normal(size=(4000, 24))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    graph, leaders, _ = vectors.build(np.arange(4000), x)
+    counted.clear()
+    q = x[:1000] + 0.05 * r.normal(size=(1000, 24))
+    q /= np.linalg.norm(q, axis=1)[:, None]
+    a, b = vectors.near_leaders(graph, q, 0.8)
+    true = set(zip(*(y.tolist() for y in np.nonzero(q @ graph.x[: graph.n].astype(np.float64).T >= 0.8))))
+    assert counted["searched"] >= 1000 + vectors.AUDIT and counted["compared"] == 0
+    assert len(true & set(zip(a.tolist(), b.tolist()))) >= 0.99 * len(true) and len(true) > 900
+
+
 # --- 3 archives -----------------------------------------------------------------------------------------
 
 
@@ -550,6 +581,13 @@ def test_parse_is_linear():
     begin = time.time()
     deep = "<div class=a1>" * 60_000 + "text"
     assert extraction.extract(deep) == "text" and extraction.extract(deep, extraction.best_path(extraction.parse(deep))) == "text"
+    for attribute in ("data-x=it's", "x=a\"b", "x='it\"s'", "it's", '"', "=", "x=", "x = 'a>b'", "checked x=1/", "x='a'y='b'"):
+        assert extraction.extract(f"<div class='content'><p {attribute}>Hello world</p><p>and more</p></div>") == "Hello world\n\nand more", attribute
+    assert extraction._attributes(" Class='a b' id=x's data= \"q\" hidden href=/a/b") == {"class": "a b", "id": "x's", "data": "q", "hidden": "", "href": "/a/b"}
+    for long in ("a" * 300_000, "a=" * 150_000, "a " * 150_000, "'" * 300_000, "a='" * 100_000, " " * 300_000, "=" * 300_000, "/" * 300_000):
+        begin = time.time()
+        extraction.extract(f"<div class='content'><p {long}>text</p></div>")
+        assert time.time() - begin < 5, long[:4]
     assert extraction.extract("<b>" * 20_000 + "</i>" * 40_000 + "x") == "x"
     assert extraction.extract("<table><tr><td><p>" + "<td>" + "<b>" * 8000 + "<div>y</div>" * 8000).count("y") == 8000
     assert len(extraction.extract("<article><p>" + "many words " * 100_000)) == 1_099_999
@@ -594,6 +632,14 @@ def test_secrets(spark):
     assert secrets.redacted(df).columns == df.columns and secrets.with_spans(df.limit(0)).count() == 0
 
 
+def test_columns_of_secrets_stay(spark):
+    df = frame(spark, [(1, "api_key='s3cr3tv4lue' 3f2b8c1e9d4a4e6f8a7b5c0d1e2f3a4b5c6d7e8f")], _tokens="a", _cut="b", _Tests="c", x="d")
+    for out in (secrets.with_spans(df), secrets.redacted(df)):
+        row = out.first()
+        assert (row["_tokens"], row["_cut"], row["_Tests"], row["x"]) == ("a", "b", "c", "d")
+    assert len(secrets.with_spans(df).first().spans) == 2
+
+
 def test_secrets_of_every_alphabet(spark):
     r = random.Random(9)
     low, up, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"

@@ -144,8 +144,8 @@ _INFER = f"""case
 _UUID = "^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$"
 
 
-def random_tests(tokens: str) -> Column:
-    """Tested ones of a column of tokens: start, end, length class and p-value; tokens of signs alone and those with too few bits aren't tested."""
+def random_tests(text: str, tokens: str = "_tokens") -> Column:
+    """Tested ones of a text's tokens, which stand in a column of their own: start, end, length class and p-value; tokens of signs alone and those with too few bits aren't tested."""
     test = _let("t", f"if(c.token rlike '{_UUID}', replace(c.token, '-', ''), translate(translate(c.token, '-_', '+/'), '=', ''))", _let("e", _INFER, f"if(e = '' or length(t) * log2(length(e)) < {LEAST_BITS}, null, {_battery('t', 'e')})"))
     cls = f"least({CLASSES - 1}, cast(floor(4 * log2(c.end - c.start)) as int))"
     return F.expr(f"filter(transform({tokens}, c -> struct(c.start as start, c.end as end, {cls} as cls, {test} as p)), x -> x.p is not null)")
@@ -157,7 +157,7 @@ def thresholds(docs: DataFrame) -> dict[int, float]:
     Benjamini-Hochberg on p-values rounded up to a fixed grid; CLASSES x STEPS x DEPTH
     counts at most reach the driver, whatever the input.
     """
-    tests = docs.select(_tokens("text").alias("_tokens")).where(F.size("_tokens") > 0).select(F.explode(random_tests("_tokens")).alias("x"))
+    tests = docs.select(_tokens("text").alias("_tokens")).where(F.size("_tokens") > 0).select(F.explode(random_tests("text")).alias("x"))
     step = F.least(F.floor(-F.log10(F.greatest("x.p", F.lit(1e-300))) * STEPS), F.lit(STEPS * DEPTH)).cast("int")
     rows = tests.groupBy(F.col("x.cls").alias("cls"), step.alias("step")).agg(F.count("*").alias("n")).collect()
     out = {}
@@ -192,7 +192,7 @@ def with_spans(docs: DataFrame) -> DataFrame:
     cut = F.create_map(*[F.lit(x) for kv in sorted(cuts.items()) for x in kv]) if cuts else F.expr("map(-1, 0D)")
     tokens, tests, limits = (_free(docs, k) for k in ("_tokens", "_tests", "_cut"))
     out = docs.withColumn("base", F.coalesce(base_spans("text"), F.expr(_EMPTY))).withColumn(tokens, F.coalesce(_tokens("text"), F.expr(_TOKENS)))
-    out = out.withColumn(tests, F.when(F.size(tokens) > 0, random_tests(tokens))).withColumn(limits, cut)
+    out = out.withColumn(tests, F.when(F.size(tokens) > 0, random_tests("text", tokens))).withColumn(limits, cut)
     extra = F.expr(
         f"transform(filter({tests}, x -> x.p > coalesce(element_at({limits}, x.cls), 0D) and not exists(base, b -> b.start < x.end and x.start < b.end)),"
         f" x -> struct(x.start as start, {KINDS.index('random')} as kind, x.end as end))"

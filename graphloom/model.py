@@ -33,6 +33,12 @@ class Adjacency:
     buckets: int
     size: int
     hubs: DataFrame | None = None
+    vertices: int | None = None
+
+    @property
+    def sparse(self) -> bool:
+        """Whether a vertex has at most about two neighbours in each bucket, so that summing by vertex inside buckets saves little."""
+        return self.hubs is None and self.vertices is not None and self.size <= 2 * self.vertices * self.buckets
 
 
 @dataclass(frozen=True)

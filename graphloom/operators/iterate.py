@@ -19,6 +19,7 @@ from ..storage import bucketed, bucketed_at, get_json, listed, new_path, put_jso
 HUB = 100_000  # a source with more edges is dealt over several partitions, once that is more than a share of 1 / SHARES of one
 SHARES = 16
 PART_EDGES = 25_000  # fewer edges don't fill a partition: small graphs are dealt over fewer than the session's number
+FULL_EDGES = 250_000  # this many fill one well: more partitions than cores only once each of them gets that many, as a shuffle has as many blocks as its partitions squared
 MOST_EDGES = 2_000_000  # more don't fit beside the state of their vertices: large graphs are dealt over more than the session's number
 CHAIN = 5  # steps of fixed-count iterations planned as one job
 MOST_HOPS, CHAIN_ROWS = 10, 1_000_000  # hops of a traversal planned as one job, as long as they are expected to reach no more rows
@@ -126,9 +127,13 @@ class Supersteps:
 
 
 def partitions_for(spark: SparkSession, rows: int) -> int:
-    """The session's number, but fewer where they wouldn't be filled, and more where their rows, and so the state that is hashed beside them, would grow too large."""
+    """The session's number, but fewer where they wouldn't be filled, and more where their rows, and so the state that is hashed beside them, would grow too large.
+
+    Up to the number of cores PART_EDGES rows are enough for one, from there on it takes FULL_EDGES.
+    """
     most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // MOST_EDGES))
-    return max(1, min(most, -(-rows // PART_EDGES)))
+    filled = min(-(-rows // PART_EDGES), max(spark.sparkContext.defaultParallelism, -(-rows // FULL_EDGES)))
+    return max(1, min(most, filled))
 
 
 @dataclass
@@ -140,6 +145,14 @@ class Dealt:
     hubs: DataFrame | None
     parts: int
     measures: dict
+    sparse: bool = False
+
+    def meeting(self, sent: DataFrame) -> DataFrame:
+        """What is sent (id, ...), before it is summed by id and more: where the ids have few edges, moved to its id's partition, once for all sums by id.
+
+        Elsewhere it stays where it is, so that what one partition sends to a hub, or to an id of many edges, is summed before it moves.
+        """
+        return sent.repartition(self.parts, "id") if self.sparse else sent
 
     def sends(self, state: DataFrame) -> DataFrame:
         """state (id, ...), a row or two per id, joined with the edges of its ids.
@@ -178,7 +191,7 @@ def placed(df: DataFrame, at: Adjacency, **measures: Column) -> Iterator[Dealt]:
     with static_plans(spark, at.buckets, compiled=at.size > CHAIN_ROWS):
         kept = df.persist()
         try:
-            yield Dealt(kept, "src", at.hubs, at.buckets, kept.agg(*[c.alias(k) for k, c in measures.items()]).first().asDict() if measures else {})
+            yield Dealt(kept, "src", at.hubs, at.buckets, kept.agg(*[c.alias(k) for k, c in measures.items()]).first().asDict() if measures else {}, at.sparse)
         finally:
             kept.unpersist()
 

@@ -15,6 +15,10 @@ def expand_out(frontier: DataFrame, edges: DataFrame | Dealt) -> DataFrame:
     return edges.sends(frontier) if isinstance(edges, Dealt) else frontier.join(edges, frontier.id == edges.src).drop("src")
 
 
+def _meeting(sent: DataFrame, edges: DataFrame | Dealt) -> DataFrame:
+    return edges.meeting(sent) if isinstance(edges, Dealt) else sent
+
+
 def expand_in(frontier: DataFrame, edges: DataFrame) -> DataFrame:
     """Edges that enter the frontier."""
     return frontier.join(edges, frontier.id == edges.dst).drop("dst")
@@ -113,7 +117,8 @@ def least(states: DataFrame, value: str) -> DataFrame:
 
 def label_histogram(labels: DataFrame, both: DataFrame | Dealt) -> DataFrame:
     """(id, label, n): labels (id, label) that each vertex's neighbours send over edges (src, dst, times) to dst."""
-    return expand_out(labels, both).groupBy(F.col("dst").alias("id"), "label").agg(F.sum("times").alias("n"))
+    sent = expand_out(labels, both).select(F.col("dst").alias("id"), "label", "times")
+    return _meeting(sent, both).groupBy("id", "label").agg(F.sum("times").alias("n"))
 
 
 def most_frequent(histogram: DataFrame) -> DataFrame:
@@ -135,8 +140,8 @@ def signed_changes(changes: DataFrame) -> DataFrame:
 
 def histogram_changes(changes: DataFrame, both: DataFrame | Dealt) -> DataFrame:
     """(id, label, n): what changes (id, old, label) add to the neighbours' label histograms, where it isn't 0."""
-    sent = expand_out(signed_changes(changes), both)
-    return sent.groupBy(F.col("dst").alias("id"), "label").agg(F.sum(F.col("sign") * F.col("times")).alias("n")).where("n <> 0")
+    sent = expand_out(signed_changes(changes), both).select(F.col("dst").alias("id"), "label", (F.col("sign") * F.col("times")).alias("n"))
+    return _meeting(sent, both).groupBy("id", "label").agg(F.sum("n").alias("n")).where("n <> 0")
 
 
 def voted_again(delta: DataFrame, stored: list[DataFrame]) -> DataFrame:

@@ -78,7 +78,7 @@ def convert(graph: Graph, path: str, hub: int = HUB) -> Graph:
     rows = adjacency_rows(Graph(vertices, edges, graph.directed, graph.name))
     seen = Observation()
     bucketed((rows if hubs is None else salted(rows, "id", hubs)).observe(seen, F.count("*").alias("size")), f"{path}/adjacency", table, buckets, by, order)
-    put_json(spark, f"{path}/adjacency.json", {"table": table, "buckets": buckets, "size": seen.get["size"], "hubs": hubs is not None, "directed": graph.directed})
+    put_json(spark, f"{path}/adjacency.json", {"table": table, "buckets": buckets, "size": seen.get["size"], "vertices": v["n"], "hubs": hubs is not None, "directed": graph.directed})
     return read_converted(spark, path, graph.directed, graph.name)
 
 
@@ -89,7 +89,7 @@ def read_converted(spark: SparkSession, path: str, directed: bool = True, name:
     if said:
         hubs = spark.read.parquet(f"{path}/hubs") if said["hubs"] else None
         by, order, more = (["id", "salt"], ["id", "salt", "other"], ", salt int") if said["hubs"] else (["id"], ["id", "other"], "")
-        at = Adjacency(bucketed_at(spark, f"{path}/adjacency", said["table"], ADJACENCY + more, said["buckets"], by, order), said["buckets"], said["size"], hubs)
+        at = Adjacency(bucketed_at(spark, f"{path}/adjacency", said["table"], ADJACENCY + more, said["buckets"], by, order), said["buckets"], said["size"], hubs, said.get("vertices"))
     return Graph(spark.read.parquet(f"{path}/vertices"), spark.read.parquet(f"{path}/edges"), directed, name, at)
 
 

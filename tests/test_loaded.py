@@ -14,7 +14,7 @@ from graphloom.operators import iterate
 from graphloom.operators import primitives as P
 from graphloom.sources.files import convert, delete_converted, read_converted
 
-from graphloom.storage import run_folder
+from graphloom.storage import run_folder, settings
 
 from .test_golden import DIRECTED, GOLDEN, IDS, UNDIRECTED, make, parsed, values
 
@@ -210,3 +210,27 @@ def test_stored_histograms_stay_where_they_lie(spark, monkeypatch):
         for i in scans:  # up from the scan, no exchange before the join
             up = next(x for x in reversed(text.splitlines()[:i]) if "Join" in x or "Exchange" in x)
             assert "Join" in up, up
+
+
+def test_partitions_are_filled_beyond_the_cores(spark):
+    """A session of many partitions doesn't cut a graph into as many: blocks of a shuffle grow by their square."""
+    with settings(spark, {"spark.sql.shuffle.partitions": "600"}):
+        assert [iterate.partitions_for(spark, n) for n in (50_000, 10**6, 5 * 10**6, 30 * 10**6, 10**9)] == [2, 4, 20, 120, 600]
+
+
+def test_votes_of_sparse_graphs_move_once(spark, tmp_path, monkeypatch):
+    """Labels go to the voters' partitions once, where they are counted and compared; where vertices have many edges counts are made before they move."""
+    monkeypatch.setattr(iterate, "PART_EDGES", 500)
+    r = random.Random(3)
+    thin = make(spark, [(i, r.randrange(900), 1.0) for i in range(900) for _ in range(2)], range(950))
+    thick = make(spark, [(r.randrange(40), r.randrange(40), 1.0) for _ in range(20_000)], range(45))
+    for name, g, moves in (("thin", thin, 2), ("thick", thick, 3)):
+        loaded = convert(g, str(tmp_path / name))
+        assert loaded.adjacency.buckets > 1 and loaded.adjacency.sparse == (name == "thin")
+        with A._votes(loaded, iterate.HUB) as both:
+            labels = P.initial_state(loaded.vertices, "label", F.col("id"))
+            text = plan(P.most_frequent(P.label_histogram(labels, both)))
+            assert text[: text.index("InMemoryTableScan")].count("Exchange") + text[text.index("InMemoryTableScan") :].count("Exchange") == moves, text
+        for settling in (-1, 1):
+            monkeypatch.setattr(A, "SETTLING", settling)
+            assert values(A.cdlp(g, 6), "label") == values(A.cdlp(loaded, 6), "label")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -45,17 +45,25 @@ def read_text_graph(spark: SparkSession, vertices: str, edges: str, directed: bo
 ADJACENCY = "id long, other long, forth long, back long, weight double, share double"
 
 
-def adjacency_rows(graph: Graph) -> DataFrame:
-    """Each vertex with each of its neighbours once, and each vertex alone (other is null); see Adjacency."""
-    weight = F.min("weight") if graph.weighted else F.lit(None).cast("double")
-    pairs = graph.edges.groupBy("src", "dst").agg(F.count("*").alias("n"), weight.alias("weight"))
-    degrees = graph.edges.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("degree"))
-    none, zero = F.lit(None), F.lit(0).cast("long")
-    forth = pairs.select(F.col("src").alias("id"), F.col("dst").alias("other"), F.col("n").alias("forth"), zero.alias("back"), "weight")
-    back = pairs.select("dst", "src", zero, "n", none.cast("double"))
+def adjacency_rows(graph: Graph, buckets: int | None = None) -> DataFrame:
+    """Each vertex with each of its neighbours once, and each vertex alone (other is null); see Adjacency.
+
+    With `buckets` the ends of edges move to their vertex's bucket once, where they are summed and degrees are taken; hubs, which
+    would make a bucket heavy, need the form without.
+    """
+    weight = F.col("weight") if graph.weighted else F.lit(None).cast("double").alias("weight")
+    none, zero, one = F.lit(None), F.lit(0).cast("long"), F.lit(1).cast("long")
+    forth = graph.edges.select(F.col("src").alias("id"), F.col("dst").alias("other"), one.alias("forth"), zero.alias("back"), weight)
+    back = graph.edges.select("dst", "src", zero, one, none.cast("double"))
     own = graph.vertices.select("id", none.cast("long"), zero, zero, none.cast("double"))
-    rows = forth.unionAll(back).unionAll(own).groupBy("id", "other").agg(F.sum("forth").alias("forth"), F.sum("back").alias("back"), F.min("weight").alias("weight"))
-    return rows.join(degrees, "id", "left").select("id", "other", "forth", "back", "weight", F.when(F.col("forth") > 0, F.col("forth") / F.col("degree")).alias("share"))
+    rows = forth.unionAll(back).unionAll(own)
+    rows = rows.repartition(buckets, "id") if buckets else rows
+    rows = rows.groupBy("id", "other").agg(F.sum("forth").alias("forth"), F.sum("back").alias("back"), F.min("weight").alias("weight"))
+    if buckets:
+        rows = rows.withColumn("degree", F.sum("forth").over(Window.partitionBy("id")))
+    else:
+        rows = rows.join(graph.edges.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("degree")), "id", "left")
+    return rows.select("id", "other", "forth", "back", "weight", F.when(F.col("forth") > 0, F.col("forth") / F.col("degree")).alias("share"))
 
 
 def convert(graph: Graph, path: str, hub: int = HUB) -> Graph:
@@ -75,7 +83,7 @@ def convert(graph: Graph, path: str, hub: int = HUB) -> Graph:
     hubs = salts_of(ends, "id", most, buckets, hub, f"{path}/hubs")
     table = f"adjacency_{uuid.uuid4().hex}"
     by, order = (["id"], ["id", "other"]) if hubs is None else (["id", "salt"], ["id", "salt", "other"])
-    rows = adjacency_rows(Graph(vertices, edges, graph.directed, graph.name))
+    rows = adjacency_rows(Graph(vertices, edges, graph.directed, graph.name), buckets if hubs is None else None)
     seen = Observation()
     bucketed((rows if hubs is None else salted(rows, "id", hubs)).observe(seen, F.count("*").alias("size")), f"{path}/adjacency", table, buckets, by, order)
     put_json(spark, f"{path}/adjacency.json", {"table": table, "buckets": buckets, "size": seen.get["size"], "vertices": v["n"], "hubs": hubs is not None, "directed": graph.directed})

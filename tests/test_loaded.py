@@ -12,7 +12,7 @@ from graphloom.engine import Engine, ExecutionError
 from graphloom.operators import algorithms as A
 from graphloom.operators import iterate
 from graphloom.operators import primitives as P
-from graphloom.sources.files import convert, delete_converted, read_converted
+from graphloom.sources.files import adjacency_rows, convert, delete_converted, read_converted
 
 from graphloom.storage import run_folder, settings
 
@@ -234,3 +234,11 @@ def test_votes_of_sparse_graphs_move_once(spark, tmp_path, monkeypatch):
         for settling in (-1, 1):
             monkeypatch.setattr(A, "SETTLING", settling)
             assert values(A.cdlp(g, 6), "label") == values(A.cdlp(loaded, 6), "label")
+
+
+def test_ends_move_to_their_bucket_once(spark):
+    """Loading sums edges and takes degrees where they are written; both forms give equal rows."""
+    g = make(spark, power_law(2, 100, 900), range(110))
+    once = adjacency_rows(g, 3)
+    assert plan(once).split("== Initial Plan ==")[-1].count("Exchange") == 1
+    assert sorted(map(str, once.collect())) == sorted(map(str, adjacency_rows(g).collect()))

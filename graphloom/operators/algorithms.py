@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..model import Graph, GraphError
-from ..storage import new_path, static_plans, written
+from ..storage import new_path, remove, static_plans, written
 from . import primitives as P
 from .iterate import CHAIN, CHAIN_ROWS, HUB, Dealt, Supersteps, dealt, hops_for, partitions_for, placed
 
@@ -33,33 +33,70 @@ def _ways(graph: Graph, weight: Column, used: Column, hub: int) -> AbstractConte
     return dealt(pairs.unionAll(stay), "src", hub, least=least)
 
 
-def _nearest(graph: Graph, root: int, ways: AbstractContextManager[Dealt], value: str, zero: Column) -> DataFrame:
+def _nearest(graph: Graph, root: int, ways: AbstractContextManager[Dealt], value: str, zero: Column, hub: int) -> DataFrame:
     """(id, value): least sum of weights over edges (src, dst, weight) from the root, of vertices that are reached.
 
-    A superstep relaxes several hops as one plan, in which vertices keep what they have by an edge to themselves.
-    Only what fell in its last hop is still to be sent on: the next frontier.
+    Where most vertices stand inside chains these are walked as one edge, so that the supersteps don't grow with their length; what is inside
+    takes its value from where its chain begins.
     """
     start = P.require_vertex(graph.vertices, root)
-    steps = Supersteps(graph.vertices.sparkSession, value, graph=graph.name, root=root)
     with ways as ways:
         if (ways.measures["least"] or 0) < 0:
             raise GraphError("negative weights")
-        if not steps.values:
-            steps.write(start.select("id", zero.alias(value), F.lit(True).alias("front")))
-            steps.commit(hops=4, rows=1)
-        hops, rows = steps.values["hops"], steps.values["rows"]
-        frontier = steps.table().where("front")
-        while rows:
-            found = frontier
-            for h in range(1, hops + 1):
-                found = P.relax(found, ways, value, last=h == hops)
-            fresh = P.improved(found, P.least(steps.all(), value), value)
-            table, seen = steps.write(fresh, front=F.count(F.when(F.col("front"), 1)))
-            frontier = table.where("front")
-            hops, rows = hops_for(seen["front"], rows, hops), seen["front"]
-            if rows and len(steps.paths) > MERGE:
-                steps.replace(P.least(steps.but_last(), value).withColumn("front", F.lit(False)), keep=1)
-            steps.commit(hops=hops, rows=rows)
+        inner = _inner(graph, ways, root)
+        if inner is None:
+            return _relaxed(graph, root, start, ways, value, zero)
+        pairs = P.shortcuts(_walked(ways), inner)
+        stay = graph.vertices.join(inner.select("id"), "id", "left_anti").select("id", "id", F.lit(None).cast(pairs.schema["weight"].dataType))
+        with dealt(pairs.unionAll(stay), "src", hub) as short:
+            found = _relaxed(graph, root, start, short, value, zero, chains=True)
+    inside = inner.join(found.withColumnRenamed("id", "head"), "head").select("id", (F.col(value) + F.col("ahead")).alias(value))
+    return found.unionAll(inside)
+
+
+CHAINED = 1000  # vertices inside chains; fewer are walked one by one
+
+
+def _walked(ways: Dealt) -> DataFrame:
+    return ways.edges.where("weight is not null").select("src", "dst", "weight")
+
+
+def _inner(graph: Graph, ways: Dealt, root: int) -> DataFrame | None:
+    """(id, head, ahead) of the vertices inside chains, if these are most of those with edges; none are in undirected graphs."""
+    if not graph.directed:
+        return None
+    spark = graph.vertices.sparkSession
+    path = new_path(spark, "inner")
+    inner, seen = P.inner_vertices(_walked(ways), root, path)
+    many = seen["inner"] >= CHAINED and 2 * seen["inner"] > seen["ends"]
+    heads = P.chain_heads(inner, seen["inner"]) if many else None
+    remove(spark, path)
+    return heads
+
+
+def _relaxed(graph: Graph, root: int, start: DataFrame, ways: Dealt, value: str, zero: Column, chains: bool = False) -> DataFrame:
+    """(id, value) as in _nearest, over dealt edges.
+
+    A superstep relaxes several hops as one plan, in which vertices keep what they have by an edge to themselves.
+    Only what fell in its last hop is still to be sent on: the next frontier.
+    """
+    steps = Supersteps(graph.vertices.sparkSession, value, graph=graph.name, root=root, **({"chains": True} if chains else {}))
+    if not steps.values:
+        steps.write(start.select("id", zero.alias(value), F.lit(True).alias("front")))
+        steps.commit(hops=4, rows=1)
+    hops, rows = steps.values["hops"], steps.values["rows"]
+    frontier = steps.table().where("front")
+    while rows:
+        found = frontier
+        for h in range(1, hops + 1):
+            found = P.relax(found, ways, value, last=h == hops)
+        fresh = P.improved(found, P.least(steps.all(), value), value)
+        table, seen = steps.write(fresh, front=F.count(F.when(F.col("front"), 1)))
+        frontier = table.where("front")
+        hops, rows = hops_for(seen["front"], rows, hops), seen["front"]
+        if rows and len(steps.paths) > MERGE:
+            steps.replace(P.least(steps.but_last(), value).withColumn("front", F.lit(False)), keep=1)
+        steps.commit(hops=hops, rows=rows)
     return P.least(steps.all(), value)
 
 
@@ -69,7 +106,7 @@ def bfs(graph: Graph, root: int, hub: int = HUB) -> DataFrame:
     A missing root raises.
     """
     ways = _ways(graph, F.lit(1).cast("long"), F.lit(True), hub)
-    levels = _nearest(graph, root, ways, "level", F.lit(0).cast("long"))
+    levels = _nearest(graph, root, ways, "level", F.lit(0).cast("long"), hub)
     return P.with_default(graph.vertices, levels, "level", F.lit(None).cast("long"))
 
 
@@ -82,7 +119,7 @@ def sssp(graph: Graph, root: int, hub: int = HUB) -> DataFrame:
     if not graph.weighted:
         raise GraphError("distances need a weighted graph")
     ways = _ways(graph, F.col("weight"), F.col("weight").isNotNull(), hub)
-    distances = _nearest(graph, root, ways, "distance", F.lit(0.0))
+    distances = _nearest(graph, root, ways, "distance", F.lit(0.0), hub)
     return P.with_default(graph.vertices, distances, "distance", F.lit(None).cast("double"))
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..model import Graph, MissingRootError, symmetrized
-from ..storage import new_path, written
+from ..storage import new_path, remove, written
 from .iterate import Dealt
 
 
@@ -115,6 +115,49 @@ def least(states: DataFrame, value: str) -> DataFrame:
     return states.groupBy("id").agg(F.min(value).alias(value))
 
 
+def inner_vertices(edges: DataFrame, keep: int, path: str) -> tuple[DataFrame, dict]:
+    """(id, head, ahead) of the vertices with one edge (src, dst, weight) in and one out, but for `keep`: where it comes from and its weight.
+
+    Written to the path; also how many these are (inner) of how many vertices with edges (ends).
+    """
+    none, one, zero = F.lit(None), F.lit(1), F.lit(0)
+    leaves = F.struct(F.col("src").alias("id"), one.alias("out"), zero.alias("into"), none.cast("long").alias("head"), none.cast(edges.schema["weight"].dataType).alias("ahead"))
+    enters = F.struct(F.col("dst").alias("id"), zero.alias("out"), one.alias("into"), F.col("src").alias("head"), F.col("weight").alias("ahead"))
+    ends = edges.select(F.inline(F.array(leaves, enters))).groupBy("id").agg(F.sum("out").alias("out"), F.sum("into").alias("into"), F.max("head").alias("head"), F.max("ahead").alias("ahead"))
+    inner = F.expr("out = 1 and into = 1 and head <> id") & (F.col("id") != F.lit(keep))
+    seen = Observation()
+    watched = ends.observe(seen, F.count("*").alias("ends"), F.count(F.when(inner, 1)).alias("inner"))
+    table, _ = written(watched.where(inner).select("id", "head", "ahead"), path)
+    return table, seen.get
+
+
+def chain_heads(inner: DataFrame, n: int) -> DataFrame:
+    """(id, head, ahead) of `n` inner vertices, as a table: the vertex at which each one's chain begins, which is no inner one, and the sum of weights from there.
+
+    Each round doubles how far a vertex looks back, so chains of any length take about log n.  Circles of inner vertices begin nowhere and are left out.
+    """
+    spark, old = inner.sparkSession, None
+    back = lambda t: t.select(F.col("id").alias("_id"), F.col("head").alias("_head"), F.col("ahead").alias("_ahead"))
+    for _ in range(n.bit_length() + 1):
+        further = inner.join(back(inner), F.col("head") == F.col("_id"), "left")
+        path = new_path(spark, "chains")
+        inner, seen = written(further.select("id", F.coalesce("_head", "head").alias("head"), (F.coalesce("_ahead", F.lit(0)) + F.col("ahead")).alias("ahead"), F.col("_id").isNotNull().alias("open")), path, open=F.count(F.when(F.col("open"), 1)))
+        if old:
+            remove(spark, old)
+        old = path
+        inner = inner.select("id", "head", "ahead")
+        if not seen["open"]:
+            return inner
+    return inner.join(inner.select(F.col("id").alias("head")), "head", "left_anti").select("id", "head", "ahead")
+
+
+def shortcuts(edges: DataFrame, inner: DataFrame) -> DataFrame:
+    """Edges (src, dst, weight) of the other vertices, in which each chain of inner vertices (id, head, ahead) is one edge of its whole weight."""
+    outside = edges.join(inner.select(F.col("id").alias("dst")), "dst", "left_anti")
+    begun = outside.join(inner, F.col("src") == F.col("id"), "left")
+    return begun.groupBy(F.coalesce("head", "src").alias("src"), "dst").agg(F.min(F.coalesce("ahead", F.lit(0)) + F.col("weight")).alias("weight"))
+
+
 def label_histogram(labels: DataFrame, both: DataFrame | Dealt) -> DataFrame:
     """(id, label, n): labels (id, label) that each vertex's neighbours send over edges (src, dst, times) to dst."""
     sent = expand_out(labels, both).select(F.col("dst").alias("id"), "label", "times")

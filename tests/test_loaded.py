@@ -242,3 +242,26 @@ def test_ends_move_to_their_bucket_once(spark):
     once = adjacency_rows(g, 3)
     assert plan(once).split("== Initial Plan ==")[-1].count("Exchange") == 1
     assert sorted(map(str, once.collect())) == sorted(map(str, adjacency_rows(g).collect()))
+
+
+@pytest.mark.parametrize("root", [0, 7])
+def test_long_chains_take_few_supersteps(spark, tmp_path, monkeypatch, root):
+    """A vertex inside a chain gets its value from where the chain begins; supersteps don't grow with the chains' length."""
+    r, chains, length = random.Random(root), 4, 30
+    pairs = {}
+    for c in range(chains):  # c*length .. c*length + length - 1 is a chain, its last vertex leads to beginnings
+        pairs |= {(c * length + i, c * length + i + 1): 1.0 + r.randrange(9) for i in range(length - 1)}
+        pairs |= {(c * length + length - 1, r.randrange(chains) * length): 1.0 + r.randrange(9) for _ in range(3)}
+    pairs |= {(5000 + i, 5000 + (i + 1) % 40): 1.0 for i in range(40)}  # a circle that nothing leads to
+    pairs |= {(3, 3): 2.0, (4, 6): 1.0, (20, 0): 0.5}  # a loop, a way round, a way out of a chain
+    g = make(spark, [(a, b, w) for (a, b), w in pairs.items()], [*range(chains * length), *range(5000, 5042)])
+    write, made = iterate.Supersteps.write, []
+    monkeypatch.setattr(iterate.Supersteps, "write", lambda self, *a, **k: (made.append(1), write(self, *a, **k))[1])
+    want = {name: values(f(g, root), column) for name, column, f in (("bfs", "level", A.bfs), ("sssp", "distance", A.sssp))}
+    slow = len(made)
+    made.clear()
+    monkeypatch.setattr(A, "CHAINED", 10)
+    loaded = convert(g, str(tmp_path / "g"))
+    assert {name: values(f(loaded, root), column) for name, column, f in (("bfs", "level", A.bfs), ("sssp", "distance", A.sssp))} == want
+    assert want["bfs"][5000] is None and sum(x is not None for x in want["sssp"].values()) >= length - root
+    assert len(made) < slow, (len(made), slow)

@@ -148,7 +148,8 @@ def pagerank(graph: Graph, damping: float = 0.85, iterations: int = 10, hub: int
             last = min(i + CHAIN - 1, times)
             out = None
             for k in range(i, last + 1):
-                walk = P.scatter_add(walk, edges).withColumnRenamed("sum", "rank")
+                # stated, as the next step's join implies it: so this step's shuffle serves both that and the total
+                walk = P.scatter_add(walk, edges).where("id is not null").withColumnRenamed("sum", "rank")
                 tagged = walk.withColumn("step", F.lit(k))
                 out = tagged if out is None else out.unionAll(tagged)
             table, seen = steps.write(out, **{f"t{k}": F.sum(F.when(F.col("step") == k, F.col("rank"))) for k in range(i, last + 1)})

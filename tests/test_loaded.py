@@ -265,3 +265,18 @@ def test_long_chains_take_few_supersteps(spark, tmp_path, monkeypatch, root):
     assert {name: values(f(loaded, root), column) for name, column, f in (("bfs", "level", A.bfs), ("sssp", "distance", A.sssp))} == want
     assert want["bfs"][5000] is None and sum(x is not None for x in want["sssp"].values()) >= length - root
     assert len(made) < slow, (len(made), slow)
+
+
+def test_rank_moves_once_a_step(spark, tmp_path, monkeypatch):
+    """A step's scattered rank is used by the next step and by the table of the chain, but worked out once."""
+    seen, write = [], iterate.Supersteps.write
+
+    def watched(self, df, **measures):
+        seen.append(plan(df).splitlines())
+        return write(self, df, **measures)
+
+    monkeypatch.setattr(iterate.Supersteps, "write", watched)
+    A.pagerank(convert(make(spark, power_law(), range(650)), str(tmp_path / "g")))
+    assert len(seen) == 2
+    for lines in seen:
+        assert sum("ReusedExchange" not in x and "Exchange hash" in x for x in lines) == iterate.CHAIN + 1  # the ranks before, and one a step

@@ -27,6 +27,7 @@ class Adjacency:
 
     rows: id, other, forth and back (edges from id to other and from other to id), weight (the least of those that go forth), share (the part of
     id's edges that go forth to other); a row without other stands for the vertex itself.  Of hubs, which lie in several buckets, rows have a salt too.
+    edges: their number; ids: the least and the greatest vertex.
     """
 
     rows: DataFrame
@@ -34,12 +35,22 @@ class Adjacency:
     size: int
     hubs: DataFrame | None = None
     vertices: int | None = None
+    edges: int | None = None
+    ids: tuple[int, int] | None = None
 
     @property
     def sparse(self) -> bool:
         """Whether a vertex has at most about two neighbours in each bucket, so that summing by vertex inside buckets saves little."""
         return self.hubs is None and self.vertices is not None and self.size <= 2 * self.vertices * self.buckets
 
+    @property
+    def votes_within(self) -> tuple[int, int] | None:
+        """The greatest id and the bits of the range of ids, if the number of all votes fits above these bits in a long."""
+        if not self.ids or self.edges is None:
+            return None
+        bits = (self.ids[1] - self.ids[0]).bit_length()
+        return (self.ids[1], bits) if bits + (2 * self.edges).bit_length() <= 63 else None
+
 
 @dataclass(frozen=True)
 class Graph:

@@ -228,19 +228,20 @@ def cdlp(graph: Graph, iterations: int = 10, isolated: str = "own", hub: int = H
     times = max(1, iterations)
     spark = graph.vertices.sparkSession
     steps = Supersteps(spark, "cdlp", graph=graph.name, times=times)
+    within = graph.adjacency.votes_within if graph.adjacency else None
     with _votes(graph, hub) as both:
         done = steps.values.get("done", 0)
         labels = steps.table().select("id", "label") if done else P.initial_state(graph.vertices, "label", F.col("id"))
         while done < times and not _settling(steps.values):
             upto = min(times, done + CHAIN)
             for _ in range(done, upto):
-                last, labels = labels, P.most_frequent(P.label_histogram(labels, both))
+                last, labels = labels, P.most_frequent(P.label_histogram(labels, both), within)
             labels, seen = steps.replace(labels.join(last.withColumnRenamed("label", "old"), "id"), changed=F.count(F.when(F.col("label") != F.col("old"), 1)), voters=F.count("*"))
             labels = labels.select("id", "label")
             done = upto
             steps.commit(done=done, **seen)
         if done < times and steps.values["changed"]:
-            labels = _settled(steps, both, done, times)
+            labels = _settled(steps, both, done, times, within)
     alone = F.col("id")
     if isolated == "first":
         alone = F.lit(graph.vertices.agg(F.min("id")).first()[0])
@@ -254,7 +255,7 @@ def _settling(values: dict) -> bool:
     return bool(values) and values["changed"] <= SETTLING * values["voters"]
 
 
-def _settled(steps: Supersteps, both: Dealt, done: int, times: int) -> DataFrame:
+def _settled(steps: Supersteps, both: Dealt, done: int, times: int, within: tuple[int, int] | None) -> DataFrame:
     """(id, label) after the rest of the votes, in which only vertices that changed send: one vote less for the old label, one more for the new.
 
     Histograms are kept as tables of signed entries, bucketed by id, together with the labels that were taken in each step.  A vertex votes again
@@ -270,14 +271,14 @@ def _settled(steps: Supersteps, both: Dealt, done: int, times: int) -> DataFrame
     if not log.values:
         before = steps.table()
         all_votes = P.label_histogram(before.select("id", "label"), both)
-        new = P.most_frequent(all_votes).join(before.select("id", F.col("label").alias("old")), "id")
+        new = P.most_frequent(all_votes, within).join(before.select("id", F.col("label").alias("old")), "id")
         _, seen = log.write(as_votes(all_votes).unionAll(as_taken(new, F.lit(done + 1))), changed=changed)
         log.commit(done=done + 1, **seen)
     while log.values["done"] < times and log.values["changed"]:
         step = log.values["done"] + 1
         tables = log.tables()
         delta = P.histogram_changes(taken(tables[-1]).where(F.col("step") == step - 1).where("old <> label"), both)
-        new = P.voted_again(delta, [votes(t) for t in tables])
+        new = P.voted_again(delta, [votes(t) for t in tables], within)
         have = None
         for t in tables:
             some = taken(t).join(delta.select("id").distinct().hint("shuffle_hash"), "id", "left_semi")

@@ -164,8 +164,16 @@ def label_histogram(labels: DataFrame, both: DataFrame | Dealt) -> DataFrame:
     return _meeting(sent, both).groupBy("id", "label").agg(F.sum("times").alias("n"))
 
 
-def most_frequent(histogram: DataFrame) -> DataFrame:
-    """(id, label): the most frequent label, of equals the smallest."""
+def most_frequent(histogram: DataFrame, within: tuple[int, int] | None = None) -> DataFrame:
+    """(id, label): the most frequent label, of equals the smallest.
+
+    Where labels are known to lie `within` (the greatest, bits of the range) and counts to fit above these bits, both are one number, of which
+    the greatest is found by hashing; pairs of numbers have to be sorted by id.
+    """
+    if within:
+        greatest, bits = within
+        best = histogram.groupBy("id").agg(F.max(F.shiftleft("n", bits) + (F.lit(greatest) - F.col("label"))).alias("x"))
+        return best.select("id", (F.lit(greatest) - F.col("x").bitwiseAND(F.lit((1 << bits) - 1))).alias("label"))
     best = histogram.groupBy("id").agg(F.min(F.struct((-F.col("n")).alias("n"), "label")).alias("x"))
     return best.select("id", "x.label")
 
@@ -187,7 +195,7 @@ def histogram_changes(changes: DataFrame, both: DataFrame | Dealt) -> DataFrame:
     return _meeting(sent, both).groupBy("id", "label").agg(F.sum("n").alias("n")).where("n <> 0")
 
 
-def voted_again(delta: DataFrame, stored: list[DataFrame]) -> DataFrame:
+def voted_again(delta: DataFrame, stored: list[DataFrame], within: tuple[int, int] | None = None) -> DataFrame:
     """(id, label): the most frequent label of the vertices whose histogram changed, out of the stored entries (id, label, n) and their changes.
 
     Stored entries that are bucketed by id don't move but for those of these vertices.
@@ -196,7 +204,7 @@ def voted_again(delta: DataFrame, stored: list[DataFrame]) -> DataFrame:
     entries = delta
     for table in stored:
         entries = entries.unionAll(table.join(touched.hint("shuffle_hash"), "id", "left_semi").select("id", "label", "n"))
-    return most_frequent(entries.groupBy("id", "label").agg(F.sum("n").alias("n")).where("n > 0"))
+    return most_frequent(entries.groupBy("id", "label").agg(F.sum("n").alias("n")).where("n > 0"), within)
 
 
 def prefix_sums(rows: DataFrame, key: str, value: str) -> DataFrame:

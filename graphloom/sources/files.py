@@ -75,7 +75,7 @@ def convert(graph: Graph, path: str, hub: int = HUB) -> Graph:
     spark = graph.vertices.sparkSession
     for part in ("adjacency.json", "vertices", "edges", "hubs", "adjacency"):
         remove(spark, f"{path}/{part}")
-    vertices, v = written(graph.vertices, f"{path}/vertices", n=F.count("*"))
+    vertices, v = written(graph.vertices, f"{path}/vertices", n=F.count("*"), least=F.min("id"), most=F.max("id"))
     edges, e = written(graph.edges.repartitionByRange("src", "dst").sortWithinPartitions("src", "dst"), f"{path}/edges", n=F.count("*"))
     most = v["n"] + 2 * e["n"]  # rows of the adjacency, unless edges are parallel or reciprocal
     buckets = partitions_for(spark, most)
@@ -86,7 +86,7 @@ def convert(graph: Graph, path: str, hub: int = HUB) -> Graph:
     rows = adjacency_rows(Graph(vertices, edges, graph.directed, graph.name), buckets if hubs is None else None)
     seen = Observation()
     bucketed((rows if hubs is None else salted(rows, "id", hubs)).observe(seen, F.count("*").alias("size")), f"{path}/adjacency", table, buckets, by, order)
-    put_json(spark, f"{path}/adjacency.json", {"table": table, "buckets": buckets, "size": seen.get["size"], "vertices": v["n"], "hubs": hubs is not None, "directed": graph.directed})
+    put_json(spark, f"{path}/adjacency.json", {"table": table, "buckets": buckets, "size": seen.get["size"], "vertices": v["n"], "edges": e["n"], "ids": [v["least"], v["most"]] if v["n"] else None, "hubs": hubs is not None, "directed": graph.directed})
     return read_converted(spark, path, graph.directed, graph.name)
 
 
@@ -97,7 +97,7 @@ def read_converted(spark: SparkSession, path: str, directed: bool = True, name:
     if said:
         hubs = spark.read.parquet(f"{path}/hubs") if said["hubs"] else None
         by, order, more = (["id", "salt"], ["id", "salt", "other"], ", salt int") if said["hubs"] else (["id"], ["id", "other"], "")
-        at = Adjacency(bucketed_at(spark, f"{path}/adjacency", said["table"], ADJACENCY + more, said["buckets"], by, order), said["buckets"], said["size"], hubs, said.get("vertices"))
+        at = Adjacency(bucketed_at(spark, f"{path}/adjacency", said["table"], ADJACENCY + more, said["buckets"], by, order), said["buckets"], said["size"], hubs, said.get("vertices"), said.get("edges"), said.get("ids"))
     return Graph(spark.read.parquet(f"{path}/vertices"), spark.read.parquet(f"{path}/edges"), directed, name, at)
 
 

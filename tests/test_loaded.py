@@ -280,3 +280,17 @@ def test_rank_moves_once_a_step(spark, tmp_path, monkeypatch):
     assert len(seen) == 2
     for lines in seen:
         assert sum("ReusedExchange" not in x and "Exchange hash" in x for x in lines) == iterate.CHAIN + 1  # the ranks before, and one a step
+
+
+@pytest.mark.parametrize("far", [0, -(2**40), 2**62])
+def test_votes_without_sorting(spark, tmp_path, far):
+    """Where ids and votes fit a long together labels are found by hashing, else by sorting; they are equal."""
+    edges = [(a + far, b - far if far == 2**62 else b, w) for a, b, w in power_law(m=2000)]
+    g = make(spark, edges, sorted({x for a, b, _ in edges for x in (a, b)}))
+    loaded = convert(g, str(tmp_path / "g"))
+    assert (loaded.adjacency.votes_within is None) == (far == 2**62)
+    with A._votes(loaded, iterate.HUB) as both:
+        votes = P.label_histogram(P.initial_state(loaded.vertices, "label", F.col("id")), both)
+        found = P.most_frequent(votes, loaded.adjacency.votes_within)
+        assert ("SortAggregate" in plan(found)) == (far == 2**62)
+        assert values(found, "label") == values(P.most_frequent(votes), "label")
